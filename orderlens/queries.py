@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.plans import marts, warehouse
+from orderlens.plans import marts, quality, rfm, warehouse
 from orderlens.sources.adapter import RawTables, from_testdata
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,10 @@ class Layers:
     def cohort(self) -> DataFrame:
         return marts.model_cohort(self.enriched)
 
+    @property
+    def customer_rfm(self) -> DataFrame:
+        return rfm.customer_rfm(self.order_facts, self.raw.customers)
+
 
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
     return Layers(from_testdata(spark, sf_dir))
@@ -137,3 +141,77 @@ def model_cohort(spark, sf_dir):
 @register
 def low_review_by_bucket(spark, sf_dir):
     return rounded(marts.low_review_by_bucket(layers(spark, sf_dir).cohort))
+
+
+@register
+def customer_rfm(spark, sf_dir):
+    return layers(spark, sf_dir).customer_rfm
+
+
+# --- data-quality jobs ---
+@register
+def qa_fact(spark, sf_dir):
+    return quality.fact_profile(layers(spark, sf_dir).fact_order_items)
+
+
+@register
+def qa_dim_keys(spark, sf_dir):
+    r = layers(spark, sf_dir).raw
+    return quality.key_profile({
+        "dim_customer": (warehouse.dim_customer(r.customers), "customer_id"),
+        "dim_sellers": (warehouse.dim_sellers(r.sellers), "seller_id"),
+        "dim_products": (warehouse.dim_products(r.products, r.category_translation), "product_id"),
+        "dim_date": (warehouse.dim_date(r.orders), "date_key"),
+    })
+
+
+@register
+def qa_duplicate_keys(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    return quality.duplicate_key_counts({
+        "fact_order_items": (L.fact_order_items, ["order_id", "order_item_id"]),
+        "order_facts": (L.order_facts, ["order_id"]),
+        "item_facts": (marts.item_facts(L.fact_order_items), ["order_id", "order_item_id"]),
+        "delivery_review": (L.delivery_review, ["order_id"]),
+    })
+
+
+@register
+def qa_nulls(spark, sf_dir):
+    L = layers(spark, sf_dir)
+    return quality.null_counts({"fact_order_items": (L.fact_order_items, ["order_id", "order_item_id"])})
+
+
+@register
+def qa_rfm(spark, sf_dir):
+    return quality.rfm_profile(layers(spark, sf_dir).customer_rfm)
+
+
+@register
+def qa_segments(spark, sf_dir):
+    return quality.segment_distribution(layers(spark, sf_dir).customer_rfm)
+
+
+@register
+def qa_top_monetary(spark, sf_dir):
+    return quality.top_customers(layers(spark, sf_dir).customer_rfm, "monetary_value")
+
+
+@register
+def qa_top_frequency(spark, sf_dir):
+    return quality.top_customers(layers(spark, sf_dir).customer_rfm, "frequency")
+
+
+@register
+def qa_late_percentiles(spark, sf_dir):
+    return rounded(quality.late_percentiles(layers(spark, sf_dir).sla_orders))
+
+
+@register
+def qa_very_late(spark, sf_dir):
+    return quality.very_late(layers(spark, sf_dir).sla_orders)
+
+
+@register
+def qa_recent_days(spark, sf_dir):
+    return rounded(quality.recent_delivered_days(layers(spark, sf_dir).sla_orders))
