@@ -89,6 +89,13 @@ def safe_ratio(num: Column | str, den: Column | str) -> Column:
     return F.when(d == 0, F.lit(None).cast("double")).otherwise(n.cast("double") / d.cast("double"))
 
 
+def round_half_up(value: Column | str, places: int = 6) -> Column:
+    """Decimal half-up rounding of a double (via a 15-place decimal, so a value that is a tie in
+    decimal rounds up whatever its binary error). Values of 1e20 or more, inf and NaN give NULL."""
+    v = col(value)
+    return F.round(F.when(F.abs(v) < 1e20, v).cast("decimal(38,15)"), places)
+
+
 def round_ratio(num: Column | str, den: Column | str, places: int = 6) -> Column:
     """round(num / den, places) with exact decimal half-up rounding, as double; NULL when den is 0."""
     n, d = col(num), col(den)

@@ -41,12 +41,12 @@ def customer_rfm(order_facts: DataFrame, customers: DataFrame, tiles: int = RFM_
     NTILEs are three distributed global rankings (see :mod:`orderlens.operators.rank`), applied one
     after the other on the same rows, so no join is needed to bring them together.
     """
-    params = rfm_params(order_facts)
+    # the one-row parameter table is a scalar subquery: computed once, no join
+    as_of = rfm_params(order_facts).scalar()
     raw = rfm_raw(order_facts, customers)
-    # one-row parameter table: a proven size bound for the broadcast
-    rfm = raw.crossJoin(F.broadcast(params)).select(
-        "customer_id", "as_of_date",
-        F.datediff("as_of_date", "last_purchase_date").alias("recency_days"),
+    rfm = raw.select(
+        "customer_id", as_of.alias("as_of_date"),
+        F.datediff(as_of, F.col("last_purchase_date")).alias("recency_days"),
         "last_purchase_date", "frequency", "monetary_value")
     cid = F.col("customer_id").asc()
     scored = global_ntile(rfm, [F.col("recency_days").asc_nulls_last(), cid], tiles, "_r", num_partitions)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.functions.rules import round_half_up
 from orderlens.plans import marts, quality, rfm, warehouse
 from orderlens.sources.adapter import RawTables, from_testdata
 
@@ -24,9 +25,12 @@ def register(fn):
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every double column (top level) to ``places``."""
-    cols = [F.round(F.col(f.name), places).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name) for f in df.schema.fields]
+    """Round every double column (top level) to ``places``, half-up in decimal (as the oracle does)."""
+    def r(name):
+        c = F.col(name)
+        return F.when(F.abs(c) < 1e20, round_half_up(c, places).cast("double")).otherwise(c).alias(name)
+
+    cols = [r(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
 
 
@@ -215,3 +219,152 @@ def qa_very_late(spark, sf_dir):
 @register
 def qa_recent_days(spark, sf_dir):
     return rounded(quality.recent_delivered_days(layers(spark, sf_dir).sla_orders))
+
+
+# --- model input ---
+@register
+def train_test_split(spark, sf_dir):
+    from orderlens.model.features import train_test_split as split
+    return rounded(split(layers(spark, sf_dir).cohort))
+
+
+@register
+def design_matrix(spark, sf_dir):
+    from orderlens.model import features
+    return rounded(features.design_matrix(layers(spark, sf_dir).cohort))
+
+
+@register
+def align_columns(spark, sf_dir):
+    """Design built from the levels present in the data, conformed to the model's full term list."""
+    from orderlens.model import features
+    cohort = layers(spark, sf_dir).cohort
+    buckets, months = features.observed_levels(cohort)
+    observed = features.design_matrix(cohort, features.design_terms(buckets, months))
+    return rounded(features.align_columns(observed, features.FEATURE_TERMS))
+
+
+# --- scores: deterministic proxy scores over the cohort (SQL-checkable), and the real model ---
+PROXY_A = (20_000, 100)  # score = (delay_cap * a + freight_value * b) / 1e6, exact in both engines
+PROXY_B = (25_000, 100)
+
+
+def proxy_score(cohort: DataFrame, weights=PROXY_A, out: str = "risk_score") -> DataFrame:
+    a, b = weights
+    k = F.col("delay_cap").cast("long") * a + (F.col("freight_value") * b).cast("long")
+    return cohort.select("*", (k.cast("double") / F.lit(1_000_000.0)).alias(out))
+
+
+DAY1, DAY2, DAY3 = "2024-01-01", "2024-01-02", "2024-01-03"
+
+
+def proxy_store_parts(spark, sf_dir):
+    """Existing store: every cohort order scored on day 1 and day 2 (score A). Incoming batches:
+    late orders re-scored on day 2 (score B, replaces) and orders 4-14 days late scored on day 3 (new)."""
+    from orderlens.model.score import assemble_scores
+    c = layers(spark, sf_dir).cohort
+    a = proxy_score(c, PROXY_A)
+    b = proxy_score(c, PROXY_B)
+    existing = assemble_scores(a, DAY1).unionByName(assemble_scores(a, DAY2))
+    incoming = (assemble_scores(b.filter(F.col("delay_cap") > 0), DAY2)
+                .unionByName(assemble_scores(b.filter(F.col("delay_cap").between(4, 14)), DAY3)))
+    return existing, incoming
+
+
+def proxy_store(spark, sf_dir):
+    from orderlens.operators.keyed import upsert_merge
+    existing, incoming = proxy_store_parts(spark, sf_dir)
+    return upsert_merge(existing, incoming, ["order_id", "score_date"])
+
+
+@register
+def exact_quantile(spark, sf_dir):
+    from orderlens.operators.rank import exact_quantiles
+    s = proxy_score(layers(spark, sf_dir).cohort)
+    return rounded(exact_quantiles(s, "risk_score", [0.5, 0.9, 0.95, 0.99], ["order_id"]))
+
+
+@register
+def risk_flags(spark, sf_dir):
+    from orderlens.model.score import assemble_scores
+    return assemble_scores(proxy_score(layers(spark, sf_dir).cohort), DAY1)
+
+
+@register
+def score_run_summary(spark, sf_dir):
+    from orderlens.model.score import assemble_scores, run_summary
+    return run_summary(assemble_scores(proxy_score(layers(spark, sf_dir).cohort), DAY1))
+
+
+@register
+def roc_curve(spark, sf_dir):
+    from orderlens.model import evaluate
+    return rounded(evaluate.roc_curve(proxy_score(layers(spark, sf_dir).cohort), "risk_score", "is_low_review"))
+
+
+@register
+def roc_auc(spark, sf_dir):
+    from orderlens.model import evaluate
+    return rounded(evaluate.auc(proxy_score(layers(spark, sf_dir).cohort), "risk_score", "is_low_review"))
+
+
+@register
+def youden(spark, sf_dir):
+    from orderlens.model import evaluate
+    return rounded(evaluate.youden(proxy_score(layers(spark, sf_dir).cohort), "risk_score", "is_low_review"))
+
+
+CONFUSION_THRESHOLDS = (0.5, 0.3, 0.2, 0.1)
+
+
+@register
+def confusion(spark, sf_dir):
+    from orderlens.model import evaluate
+    s = proxy_score(layers(spark, sf_dir).cohort)
+    return rounded(evaluate.confusion(s, "risk_score", "is_low_review", CONFUSION_THRESHOLDS))
+
+
+@register
+def upsert_scores(spark, sf_dir):
+    return proxy_store(spark, sf_dir).drop("created_at")
+
+
+@register
+def latest_score(spark, sf_dir):
+    from orderlens.plans.report import latest_scores
+    return latest_scores(proxy_store(spark, sf_dir))
+
+
+@register
+def insert_if_absent(spark, sf_dir):
+    """Existing table: the proxy scores of day 1 and 2. Incoming: the day-2 re-scores and day-3 scores.
+    Insert-if-absent keeps every existing (order, day) as it was and adds only the day-3 rows."""
+    from orderlens.operators.keyed import insert_if_absent as ins
+    existing, incoming = proxy_store_parts(spark, sf_dir)
+    return ins(existing, incoming, ["order_id", "score_date"])
+
+
+@register
+def sla_order_scored(spark, sf_dir):
+    from orderlens.plans import report
+    return report.sla_order_scored(layers(spark, sf_dir).enriched, proxy_store(spark, sf_dir))
+
+
+@register
+def wbr_weekly(spark, sf_dir):
+    from orderlens.plans import report
+    scored = report.sla_order_scored(layers(spark, sf_dir).enriched, proxy_store(spark, sf_dir))
+    return report.wbr_weekly(scored)
+
+
+@register
+def follow_up_list(spark, sf_dir):
+    from orderlens.plans import report
+    scored = report.sla_order_scored(layers(spark, sf_dir).enriched, proxy_store(spark, sf_dir))
+    return report.follow_up_list(scored)
+
+
+@register
+def delay_summary(spark, sf_dir):
+    from orderlens.plans import report
+    return rounded(report.delay_summary(layers(spark, sf_dir).cohort))
