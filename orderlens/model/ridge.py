@@ -70,9 +70,9 @@ def fold_of(id_col: str, folds: int = CV_FOLDS, seed: int = SPLIT_SEED) -> Colum
 
 
 def lambda_path(design: DataFrame, label: str, terms: list[str], n_lambda: int = 12,
-                ratio: float = LAMBDA_MIN_RATIO) -> list[float]:
+                ratio: float = LAMBDA_MIN_RATIO) -> tuple[list[float], int]:
     """Decreasing log-spaced lambdas from lambda_max (glmnet's rule on standardised columns) to
-    ratio * lambda_max. One aggregation pass over the data."""
+    ratio * lambda_max, and the row count. One aggregation pass over the data."""
     y = F.col(label).cast("double")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy")]
     for i, t in enumerate(terms):
@@ -88,15 +88,26 @@ def lambda_path(design: DataFrame, label: str, terms: list[str], n_lambda: int =
             best = max(best, abs(r[f"c{i}"] - n * mean * ybar) / sd / n)
     lmax = max(best / RIDGE_ALPHA_FOR_LMAX, 1e-6)
     if n_lambda == 1:
-        return [lmax]
+        return [lmax], n
     step = math.log(ratio) / (n_lambda - 1)
-    return [lmax * math.exp(step * k) for k in range(n_lambda)]
+    return [lmax * math.exp(step * k) for k in range(n_lambda)], n
+
+
+# rows per partition of the cached training data: each optimiser iteration is one Spark job over
+# it, so tiny partitions cost more in scheduling than they save
+ROWS_PER_PARTITION = 500_000
+
+
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    want = max(1, math.ceil(rows / ROWS_PER_PARTITION))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if want < have else df
 
 
 def _lr(lam: float, label: str) -> LogisticRegression:
     return LogisticRegression(featuresCol="features", labelCol=label, family="binomial", regParam=lam,
                               elasticNetParam=0.0, standardization=True, fitIntercept=True,
-                              maxIter=200, tol=1e-8)
+                              maxIter=100, tol=1e-6)
 
 
 def _mean_logloss(intercept: float, betas: list[float], cols: list[str], label: str) -> Column:
@@ -111,19 +122,22 @@ def _mean_logloss(intercept: float, betas: list[float], cols: list[str], label:
 
 def cross_validate(design: DataFrame, label: str = "is_low_review", terms: list[str] | None = None,
                    id_col: str = "order_id", folds: int = CV_FOLDS, n_lambda: int = 12,
-                   parallelism: int = 4, seed: int = SPLIT_SEED) -> tuple[list[dict], list[float]]:
-    """Per lambda: mean and standard error of the held-out mean log-loss over the folds."""
+                   parallelism: int = 8, seed: int = SPLIT_SEED) -> tuple[list[dict], list[float], int]:
+    """Per lambda: mean and standard error of the held-out mean log-loss over the folds; the lambdas;
+    the number of training rows."""
     terms = list(terms or FEATURE_TERMS)
     cols = [term_column(t) for t in terms]
-    lambdas = lambda_path(design, label, terms, n_lambda)
+    lambdas, rows = lambda_path(design, label, terms, n_lambda)
     assembler = VectorAssembler(inputCols=cols, outputCol="features")
     data = assembler.transform(design.select(id_col, label, *cols).withColumn("_fold", fold_of(id_col, folds, seed)))
     # deterministic lineage (hash folds): a lost cached block is recomputed identically
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = _sized(data, rows).persist(StorageLevel.MEMORY_AND_DISK)
+    data.count()  # materialise once before the parallel fits read it
+    train_sets = {f: data.filter(F.col("_fold") != f).persist(StorageLevel.MEMORY_AND_DISK) for f in range(folds)}
 
     def fit(job):
         f, lam = job
-        m = _lr(lam, label).fit(data.filter(F.col("_fold") != f))
+        m = _lr(lam, label).fit(train_sets[f])
         return f, lam, float(m.intercept), [float(b) for b in m.coefficients.toArray()]
 
     jobs = [(f, lam) for f in range(folds) for lam in lambdas]
@@ -138,6 +152,8 @@ def cross_validate(design: DataFrame, label: str = "is_low_review", terms: list[
         for i, (_, lam, _, _) in enumerate(mine):
             if row[f"l{i}"] is not None:
                 losses[(f, lam)] = float(row[f"l{i}"])
+    for t in train_sets.values():
+        t.unpersist()
     data.unpersist()
     table = []
     for lam in lambdas:
@@ -147,7 +163,7 @@ def cross_validate(design: DataFrame, label: str = "is_low_review", terms: list[
         sd = math.sqrt(sum((v - mean) ** 2 for v in vals) / k)
         table.append({"lambda": lam, "mean_logloss": mean, "se_logloss": sd / math.sqrt(max(k - 1, 1)),
                       "folds": k})
-    return table, lambdas
+    return table, lambdas, rows
 
 
 def choose_lambdas(table: list[dict]) -> tuple[float, float]:
@@ -159,10 +175,17 @@ def choose_lambdas(table: list[dict]) -> tuple[float, float]:
 
 
 def fit_pipeline(design: DataFrame, lam: float, label: str = "is_low_review",
-                 terms: list[str] | None = None) -> PipelineModel:
+                 terms: list[str] | None = None, rows: int | None = None) -> PipelineModel:
     cols = [term_column(t) for t in (terms or FEATURE_TERMS)]
     pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), _lr(lam, label)])
-    return pipe.fit(design)
+    data = design.select(label, *cols)
+    if rows is not None:
+        data = _sized(data, rows)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipe.fit(data)
+    finally:
+        data.unpersist()
 
 
 def train_ridge(design: DataFrame, label: str = "is_low_review", terms: list[str] | None = None,
@@ -170,13 +193,15 @@ def train_ridge(design: DataFrame, label: str = "is_low_review", terms: list[str
     """Cross-validate, then fit on all of ``design`` at lambda.1se and at lambda.min.
     Returns (model at ``use``, model at the other lambda)."""
     terms = list(terms or FEATURE_TERMS)
-    table, _ = cross_validate(design, label, terms, **cv_args)
+    table, _, rows = cross_validate(design, label, terms, **cv_args)
     lmin, l1se = choose_lambdas(table)
     for r in table:
         r["is_min"] = r["lambda"] == lmin
         r["is_1se"] = r["lambda"] == l1se
-    m1 = RidgeModel(terms, fit_pipeline(design, l1se, label, terms), l1se, lmin, l1se, cv=table)
-    m0 = RidgeModel(terms, fit_pipeline(design, lmin, label, terms), lmin, lmin, l1se, cv=table)
+    p1 = fit_pipeline(design, l1se, label, terms, rows)
+    p0 = p1 if lmin == l1se else fit_pipeline(design, lmin, label, terms, rows)
+    m1 = RidgeModel(terms, p1, l1se, lmin, l1se, cv=table)
+    m0 = RidgeModel(terms, p0, lmin, lmin, l1se, cv=table)
     return (m1, m0) if use == "lambda.1se" else (m0, m1)
 
 

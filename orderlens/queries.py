@@ -368,3 +368,82 @@ def follow_up_list(spark, sf_dir):
 def delay_summary(spark, sf_dir):
     from orderlens.plans import report
     return rounded(report.delay_summary(layers(spark, sf_dir).cohort))
+
+
+# --- the ridge model itself (fit by Spark ML; no SQL oracle: rows-only checks) ---
+_MODELS: dict[tuple[str, str], tuple] = {}
+
+
+def trained(spark, sf_dir):
+    """Split, cross-validate and fit once per session and input; reused by the model products."""
+    from orderlens.model import features, ridge
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        split = features.train_test_split(layers(spark, sf_dir).cohort)
+        train = split.filter(F.col("split") == "train")
+        design = features.design_matrix(train, keep=("order_id", "is_low_review"))
+        m1se, mmin = ridge.train_ridge(design)
+        _MODELS[key] = (split, m1se, mmin)
+    return _MODELS[key]
+
+
+def _coefs(spark, model):
+    from orderlens.model import evaluate
+    return evaluate.coefficient_table(spark, model.terms, model.intercept, model.betas)
+
+
+@register
+def ridge_cv(spark, sf_dir):
+    from orderlens.model import ridge
+    _, m1se, _ = trained(spark, sf_dir)
+    return ridge.cv_table(spark, m1se)
+
+
+@register
+def coefficients(spark, sf_dir):
+    _, m1se, _ = trained(spark, sf_dir)
+    return _coefs(spark, m1se)
+
+
+@register
+def key_terms(spark, sf_dir):
+    from orderlens.model import evaluate
+    return evaluate.key_terms(_coefs(spark, trained(spark, sf_dir)[1]))
+
+
+@register
+def top_effects(spark, sf_dir):
+    from orderlens.model import evaluate
+    return evaluate.top_effects(_coefs(spark, trained(spark, sf_dir)[1]))
+
+
+@register
+def implied_probability(spark, sf_dir):
+    from orderlens.model import evaluate
+    split, m1se, _ = trained(spark, sf_dir)
+    return evaluate.implied_probability(split.filter(F.col("split") == "train"), _coefs(spark, m1se))
+
+
+@register
+def batch_scores(spark, sf_dir):
+    """Daily batch: the model at lambda.1se scores the cohort; batch P90/P95 flags."""
+    from orderlens.model.score import assemble_scores, predict
+    _, m1se, _ = trained(spark, sf_dir)
+    return assemble_scores(predict(m1se, layers(spark, sf_dir).cohort), DAY1)
+
+
+@register
+def model_evaluation(spark, sf_dir):
+    """Test split: AUC at lambda.min and lambda.1se; confusion at 0.5, 0.3, the Youden threshold and 0.2."""
+    from orderlens.model import evaluate
+    from orderlens.model.score import predict
+    split, m1se, mmin = trained(spark, sf_dir)
+    test = split.filter(F.col("split") == "test")
+    labels = test.select("order_id", "is_low_review")
+    p1 = predict(m1se, test).join(labels, "order_id")
+    p0 = predict(mmin, test).join(labels, "order_id")
+    a1 = evaluate.auc(p1, "risk_score", "is_low_review").first()["auc"]
+    a0 = evaluate.auc(p0, "risk_score", "is_low_review").first()["auc"]
+    yj = evaluate.youden(p1, "risk_score", "is_low_review").first()["threshold"]
+    conf = evaluate.confusion(p1, "risk_score", "is_low_review", [0.5, 0.3, yj, 0.2])
+    return conf.select(F.lit(a0).alias("auc_lambda_min"), F.lit(a1).alias("auc_lambda_1se"), "*")
