@@ -1,0 +1,154 @@
+"""The whole run, in order: warehouse, marts, quality gate, model, daily scores, weekly report.
+
+Materialised layers (fact, marts, weekly report) are written as Parquet and read back, so each stage
+starts from stored tables (lineage is cut at every layer, as the warehouse's tables do). The views
+(enriched orders, model cohort, scored orders) stay lazy plans over the stored marts.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import logging
+import os
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderlens.model import features, ridge
+from orderlens.model.score import ScoreStore, assemble_scores, predict, run_summary
+from orderlens.operators.keyed import insert_if_absent_rows
+from orderlens.plans import marts, quality, report, rfm, warehouse
+from orderlens.schema import DW_KEYS
+from orderlens.sources.adapter import RawTables
+from orderlens.sources.tables import Layer
+
+log = logging.getLogger("orderlens")
+
+
+@dataclass
+class RunResult:
+    tables: dict[str, str] = field(default_factory=dict)
+    checks: dict[str, DataFrame] = field(default_factory=dict)
+    summary: dict = field(default_factory=dict)
+
+
+def build_warehouse(raw: RawTables, dw: Layer, result: RunResult) -> None:
+    """Dimensions: insert-if-absent against the stored dimension (kept rows never change).
+    Fact: full refresh."""
+    builders = {
+        "dim_customer": lambda: warehouse.dim_customer(raw.customers),
+        "dim_sellers": lambda: warehouse.dim_sellers(raw.sellers),
+        "dim_products": lambda: warehouse.dim_products(raw.products, raw.category_translation),
+        "dim_date": lambda: warehouse.dim_date(raw.orders),
+    }
+    for name, build in builders.items():
+        fresh = build()
+        if dw.exists(name):
+            rows = insert_if_absent_rows(dw.read(name), fresh, list(DW_KEYS[name]))
+            dw.append(name, rows)
+        else:
+            dw.overwrite(name, fresh)
+        result.tables[name] = dw.path(name)
+    dw.overwrite("fact_order_items", warehouse.fact_order_items(raw.order_items, raw.orders))
+    result.tables["fact_order_items"] = dw.path("fact_order_items")
+
+
+def build_marts(raw: RawTables, dw: Layer, mart: Layer, result: RunResult) -> dict[str, DataFrame]:
+    fact = dw.read("fact_order_items")
+    out = {}
+    out["order_facts"] = mart.overwrite("order_facts", marts.order_facts(raw.orders, raw.order_items, raw.order_payments))
+    out["customer_rfm"] = mart.overwrite("customer_rfm", rfm.customer_rfm(out["order_facts"], raw.customers))
+    out["sla_orders"] = mart.overwrite("sla_orders", marts.sla_orders(out["order_facts"]))
+    out["sla_daily"] = mart.overwrite("sla_daily", marts.sla_daily(out["sla_orders"]))
+    out["sla_delivered_daily"] = mart.overwrite("sla_delivered_daily", marts.sla_delivered_daily(out["sla_orders"]))
+    out["item_facts"] = mart.overwrite("item_facts", marts.item_facts(fact))
+    out["delivery_review"] = mart.overwrite("delivery_review", marts.delivery_review(fact, raw.order_reviews))
+    for name in out:
+        result.tables[name] = mart.path(name)
+    return out
+
+
+def quality_checks(dw: Layer, m: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    fact = dw.read("fact_order_items")
+    return {
+        "fact_profile": quality.fact_profile(fact),
+        "dim_keys": quality.key_profile({n: (dw.read(n), DW_KEYS[n][0]) for n in
+                                         ("dim_customer", "dim_sellers", "dim_products", "dim_date")}),
+        "duplicate_keys": quality.duplicate_key_counts({
+            "fact_order_items": (fact, ["order_id", "order_item_id"]),
+            "order_facts": (m["order_facts"], ["order_id"]),
+            "item_facts": (m["item_facts"], ["order_id", "order_item_id"]),
+            "delivery_review": (m["delivery_review"], ["order_id"]),
+        }),
+        "not_null": quality.null_counts({"fact_order_items": (fact, ["order_id", "order_item_id"])}),
+        "rfm_profile": quality.rfm_profile(m["customer_rfm"]),
+        "segments": quality.segment_distribution(m["customer_rfm"]),
+        "late_percentiles": quality.late_percentiles(m["sla_orders"]),
+        "very_late": quality.very_late(m["sla_orders"]),
+        "recent_days": quality.recent_delivered_days(m["sla_orders"]),
+    }
+
+
+def run(spark: SparkSession, raw: RawTables, out_dir: str, score_date: dt.date | str | None = None,
+        model_path: str | None = None, retrain: bool = False, gate: bool = True,
+        flag_mode: str = "percentile") -> RunResult:
+    """Run every stage. ``score_date`` defaults to today; the model is trained when ``retrain`` or
+    when no model is stored at ``model_path`` (default ``<out_dir>/model``)."""
+    result = RunResult()
+    dw, mart = Layer(spark, os.path.join(out_dir, "dw")), Layer(spark, os.path.join(out_dir, "mart"))
+    build_warehouse(raw, dw, result)
+    m = build_marts(raw, dw, mart, result)
+
+    checks = quality_checks(dw, m)
+    result.checks = checks
+    if gate:
+        quality.gate({k: checks[k] for k in ("duplicate_keys", "not_null", "rfm_profile")})
+
+    enriched = marts.sla_order_enriched(m["sla_orders"], m["delivery_review"])
+    cohort = marts.model_cohort(enriched)
+    model_path = model_path or os.path.join(out_dir, "model")
+    if retrain or not Layer(spark, model_path).exists("orderlens_meta"):
+        features.check_levels(cohort)
+        split = features.train_test_split(cohort)
+        train = split.filter(F.col("split") == "train")
+        model, _ = ridge.train_ridge(features.design_matrix(train, keep=("order_id", "is_low_review")))
+        model.save(model_path)
+        result.summary["lambda_1se"] = model.lambda_1se
+        result.summary["lambda_min"] = model.lambda_min
+    model = ridge.RidgeModel.load(spark, model_path)
+
+    day = score_date or dt.date.today()
+    batch = assemble_scores(predict(model, cohort), day, model.version, mode=flag_mode)
+    store = ScoreStore(spark, os.path.join(out_dir, "mart", "sla_risk_scoring"))
+    store.upsert(batch)
+    result.tables["sla_risk_scoring"] = store.path
+    s = run_summary(store.read().filter(F.col("score_date") == F.lit(day))).first()
+    if s is not None:
+        result.summary.update({"scored_rows": s["scored_rows"], "score_date": str(s["score_date"]),
+                               "p90": float(s["p90"]), "p95": float(s["p95"])})
+        log.info("scored rows: %s | score_date: %s | P90: %s | P95: %s", s["scored_rows"], s["score_date"],
+                 s["p90"], s["p95"])
+
+    scored = report.sla_order_scored(enriched, store.read())
+    mart.overwrite("sla_wbr_weekly", report.wbr_weekly(scored))
+    result.tables["sla_wbr_weekly"] = mart.path("sla_wbr_weekly")
+    return result
+
+
+def views(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The lazy views over a finished run: enriched orders, model cohort, scored orders, follow-up list.
+    Also registered as temp views under the same names."""
+    mart = Layer(spark, os.path.join(out_dir, "mart"))
+    enriched = marts.sla_order_enriched(mart.read("sla_orders"), mart.read("delivery_review"))
+    store = ScoreStore(spark, mart.path("sla_risk_scoring"))
+    scored = report.sla_order_scored(enriched, store.read())
+    out = {
+        "v_sla_order_enriched": enriched,
+        "v_sla_model_cohort": marts.model_cohort(enriched),
+        "v_sla_order_scored": scored,
+        "follow_up_list": report.follow_up_list(scored),
+    }
+    for name, df in out.items():
+        df.createOrReplaceTempView(name)
+    return out
