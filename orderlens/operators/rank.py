@@ -38,11 +38,17 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def range_sorted(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort within partitions on ``order``, then checkpoint (reliable, eager)."""
+    """Range-partition and sort within partitions on ``order``, then checkpoint (reliable, eager).
+
+    The range partitioner samples its input in a job of its own before the shuffle reads it again,
+    so the input is checkpointed first: the upstream plan runs once, and both the sampling and the
+    shuffle read the stored rows.
+    """
     checkpoint_dir(df.sparkSession)
     cols = _sort_cols(order)
     n = _partitions(df, num_partitions)
-    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    stored = df.checkpoint(eager=True)
+    return stored.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
 
 
 def _offsets(staged: DataFrame, sums: Sequence[str] = ()) -> tuple[DataFrame, dict[str, int | float]]:

@@ -260,9 +260,10 @@ DAY1, DAY2, DAY3 = "2024-01-01", "2024-01-02", "2024-01-03"
 
 def proxy_store_parts(spark, sf_dir):
     """Existing store: every cohort order scored on day 1 and day 2 (score A). Incoming batches:
-    late orders re-scored on day 2 (score B, replaces) and orders 4-14 days late scored on day 3 (new)."""
+    late orders re-scored on day 2 (score B, replaces) and orders 4-14 days late scored on day 3 (new).
+    The cohort feeds four batches (each with its own percentile job): it is checkpointed once."""
     from orderlens.model.score import assemble_scores
-    c = layers(spark, sf_dir).cohort
+    c = layers(spark, sf_dir).cohort.checkpoint(eager=True)
     a = proxy_score(c, PROXY_A)
     b = proxy_score(c, PROXY_B)
     existing = assemble_scores(a, DAY1).unionByName(assemble_scores(a, DAY2))
@@ -379,7 +380,7 @@ def trained(spark, sf_dir):
     from orderlens.model import features, ridge
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        split = features.train_test_split(layers(spark, sf_dir).cohort)
+        split = features.train_test_split(layers(spark, sf_dir).cohort).checkpoint(eager=True)
         train = split.filter(F.col("split") == "train")
         design = features.design_matrix(train, keep=("order_id", "is_low_review"))
         m1se, mmin = ridge.train_ridge(design)
@@ -447,3 +448,14 @@ def model_evaluation(spark, sf_dir):
     yj = evaluate.youden(p1, "risk_score", "is_low_review").first()["threshold"]
     conf = evaluate.confusion(p1, "risk_score", "is_low_review", [0.5, 0.3, yj, 0.2])
     return conf.select(F.lit(a0).alias("auc_lambda_min"), F.lit(a1).alias("auc_lambda_1se"), "*")
+
+
+@register
+def pipeline_run(spark, sf_dir):
+    """The whole run (warehouse, marts, gate, model, scores, weekly report) into a fresh folder under
+    the checkpoint directory; returns the stored daily SLA mart read back from Parquet."""
+    from orderlens.plans import pipeline
+    from orderlens.session import scratch_path
+    out = scratch_path(spark, "pipeline")
+    pipeline.run(spark, from_testdata(spark, sf_dir), out, score_date=DAY1)
+    return rounded(spark.read.parquet(f"{out}/mart/sla_daily"))
