@@ -1,0 +1 @@
+"""Column-expression helpers: dates (``dates``) and business rules (``rules``)."""

@@ -1,0 +1,2 @@
+"""Reusable DataFrame operators: keyed table maintenance (``keyed``) and distributed global
+ordering (``rank``: row number, NTILE, exact quantiles, cumulative sums)."""
