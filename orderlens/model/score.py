@@ -31,10 +31,11 @@ def predict(model: RidgeModel, cohort: DataFrame, id_col: str = "order_id") -> D
     return out.select(id_col, vector_to_array("probability")[1].alias("risk_score"))
 
 
-def flag_cuts(scored: DataFrame, score_col: str = "risk_score", id_col: str = "order_id") -> DataFrame:
+def flag_cuts(scored: DataFrame, score_col: str = "risk_score", id_col: str = "order_id",
+              stage_input: bool = True) -> DataFrame:
     """One row: ``amber_cut`` (P90) and ``red_cut`` (P95) of the batch, exact, type-7 interpolation."""
     return exact_quantiles(scored, score_col, [AMBER_PERCENTILE, RED_PERCENTILE], [id_col],
-                           names=["amber_cut", "red_cut"])
+                           names=["amber_cut", "red_cut"], stage_input=stage_input)
 
 
 def assemble_scores(scored: DataFrame, score_date: dt.date | str, model_version: str = MODEL_VERSION,
@@ -46,7 +47,9 @@ def assemble_scores(scored: DataFrame, score_date: dt.date | str, model_version:
     cut-offs actually used are stored in ``threshold_green`` (upper end of green) and ``threshold_red``.
     """
     if mode == "percentile":
-        cuts = flag_cuts(scored, score_col, id_col)
+        # the batch feeds both the percentile job and the rows written: store (id, score) once
+        scored = scored.select(id_col, score_col).checkpoint(eager=True)
+        cuts = flag_cuts(scored, score_col, id_col, stage_input=False)
         amber = cuts.select("amber_cut").scalar()
         red = cuts.select("red_cut").scalar()
     elif mode == "fixed":

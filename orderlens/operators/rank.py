@@ -37,17 +37,19 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def range_sorted(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None = None) -> DataFrame:
+def range_sorted(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None = None,
+                 stage_input: bool = True) -> DataFrame:
     """Range-partition and sort within partitions on ``order``, then checkpoint (reliable, eager).
 
     The range partitioner samples its input in a job of its own before the shuffle reads it again,
-    so the input is checkpointed first: the upstream plan runs once, and both the sampling and the
-    shuffle read the stored rows.
+    so by default the input is checkpointed first: the upstream plan runs once, and both the sampling
+    and the shuffle read the stored rows. Pass ``stage_input=False`` when the input is already cheap
+    to read (a checkpoint, or a narrow plan over one).
     """
     checkpoint_dir(df.sparkSession)
     cols = _sort_cols(order)
     n = _partitions(df, num_partitions)
-    stored = df.checkpoint(eager=True)
+    stored = df.checkpoint(eager=True) if stage_input else df
     return stored.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
 
 
@@ -74,9 +76,9 @@ def _offsets(staged: DataFrame, sums: Sequence[str] = ()) -> tuple[DataFrame, di
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "row_num",
-                      num_partitions: int | None = None) -> tuple[DataFrame, int]:
+                      num_partitions: int | None = None, stage_input: bool = True) -> tuple[DataFrame, int]:
     """1-based position of each row in ``order`` (which must be a total order), and the row count."""
-    staged = range_sorted(df, order, num_partitions)
+    staged = range_sorted(df, order, num_partitions, stage_input)
     off, totals = _offsets(staged)
     pid = F.spark_partition_id()
     local = staged.select("*", pid.alias(_PID),
@@ -97,14 +99,15 @@ def ntile_of(row_num: Column, n: int, k: int) -> Column:
 
 
 def global_ntile(df: DataFrame, order: Sequence[Column | str], k: int, out: str,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, stage_input: bool = True) -> DataFrame:
     """``NTILE(k) OVER (ORDER BY order)`` without a single-partition window."""
-    numbered, n = global_row_number(df, order, "_rank_rn", num_partitions)
+    numbered, n = global_row_number(df, order, "_rank_rn", num_partitions, stage_input)
     return numbered.select(*df.columns, ntile_of(F.col("_rank_rn"), n, k).alias(out))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], tiebreak: Sequence[str],
-                    names: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, num_partitions: int | None = None,
+                    stage_input: bool = True) -> DataFrame:
     """Exact linearly interpolated quantiles (``percentile_cont``, R type 7) of a continuous column.
 
     NULLs are ignored. Returns one row with one double column per probability (NULL if no values).
@@ -113,7 +116,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], tiebreak:
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     vals = df.select(F.col(value).cast("double").alias("_q_v"), *tiebreak).filter(F.col("_q_v").isNotNull())
     numbered, n = global_row_number(vals, [F.col("_q_v").asc(), *[F.col(c).asc() for c in tiebreak]],
-                                    "_q_rn", num_partitions)
+                                    "_q_rn", num_partitions, stage_input)
     spark = df.sparkSession
     if n == 0:
         schema = T.StructType([T.StructField(nm, T.DoubleType()) for nm in names])

@@ -50,8 +50,11 @@ def customer_rfm(order_facts: DataFrame, customers: DataFrame, tiles: int = RFM_
         "last_purchase_date", "frequency", "monetary_value")
     cid = F.col("customer_id").asc()
     scored = global_ntile(rfm, [F.col("recency_days").asc_nulls_last(), cid], tiles, "_r", num_partitions)
-    scored = global_ntile(scored, [F.col("frequency").asc_nulls_last(), cid], tiles, "f_score", num_partitions)
-    scored = global_ntile(scored, [F.col("monetary_value").asc_nulls_last(), cid], tiles, "m_score", num_partitions)
+    # the later rankings read the previous one's checkpoint: their input needs no staging of its own
+    scored = global_ntile(scored, [F.col("frequency").asc_nulls_last(), cid], tiles, "f_score", num_partitions,
+                          stage_input=False)
+    scored = global_ntile(scored, [F.col("monetary_value").asc_nulls_last(), cid], tiles, "m_score", num_partitions,
+                          stage_input=False)
     r = (F.lit(tiles + 1) - F.col("_r")).cast("int")
     out = scored.select("*", r.alias("r_score"))
     return out.select(

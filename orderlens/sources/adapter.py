@@ -17,19 +17,16 @@ PAYMENT_TYPES = ("boleto", "credit_card", "voucher", "debit_card")  # by (k + se
 
 
 def _tpch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. A large table whose file reads as fewer splits than the cluster has cores (one
-    row group: one task) is hash-spread on its order key first, so the mapping's expressions run on
-    every core and the item numbering (a window per order key) needs no second exchange; inputs
-    already split that wide are read as they are."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = _ORDER_KEYS.get(name)
-    cores = spark.sparkContext.defaultParallelism
-    if key and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, key)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_ORDER_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+def _by_order(df: DataFrame, key: str) -> DataFrame:
+    """Adds ``order_id`` (the key as text) and hash-partitions on it, once per table: the item
+    numbering window, every per-order aggregation and the joins on ``order_id`` then reuse this
+    partitioning instead of shuffling again."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn("order_id", F.col(key).cast("string")).repartition(n, "order_id")
 
 
 def _add(ts: Column, unit: str, n: Column) -> Column:
@@ -59,16 +56,20 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cols)
 
 
-def _order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _tpch(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_totalprice", "o_orderdate")
+    return _by_order(o, "o_orderkey")
+
+
+def _order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _orders_keyed(spark, sf_dir)
     k = F.col("o_orderkey")
     p = _add(F.col("o_orderdate"), "SECOND", k * 37 % 86400)
     promised_days = 20 + k % 10
     is_open = F.col("o_orderstatus") == "O"
     return o.select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        k.cast("string").alias("order_id"),
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "order_id",
         F.concat(F.lit("c"), k.cast("string")).alias("customer_id"),
         F.when(is_open, "shipped").otherwise("delivered").alias("order_status"),
         p.alias("order_purchase_timestamp"),
@@ -108,13 +109,13 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
-    li = _tpch(spark, sf_dir, "lineitem")
+    li = _by_order(_tpch(spark, sf_dir, "lineitem"), "l_orderkey")
     # l_linenumber alone is not unique per order: number the lines by their full content
-    w = Window.partitionBy("l_orderkey").orderBy(
+    w = Window.partitionBy("order_id").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     return _conform(li.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        "order_id",
         F.row_number().over(w).alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
@@ -125,7 +126,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _tpch(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    o = _orders_keyed(spark, sf_dir)
     k = F.col("o_orderkey")
     seq = F.col("seq")
     pick = (k + seq) % 4
@@ -133,7 +134,7 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (o.withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2))))
           .filter((k % 97 != 0) & ((seq == 1) | (k % 5 == 0))))
     return _conform(df.select(
-        k.cast("string").alias("order_id"),
+        "order_id",
         seq.alias("payment_sequential"),
         ptype.alias("payment_type"),
         (1 + k % 12).alias("payment_installments"),
@@ -156,7 +157,7 @@ def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
           .filter((k % 11 != 0) & ((seq == 1) | (k % 13 == 0))))
     return _conform(df.select(
         F.concat(F.lit("r"), k.cast("string"), F.lit("-"), seq.cast("string")).alias("review_id"),
-        k.cast("string").alias("order_id"),
+        "order_id",
         score.alias("review_score"),
     ), "order_reviews")
 
