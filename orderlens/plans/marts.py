@@ -128,9 +128,10 @@ def item_facts(fact_items: DataFrame) -> DataFrame:
     )
 
 
-def delivery_review(fact_items: DataFrame, reviews: DataFrame) -> DataFrame:
-    """One row per order that has items and a review: best review score, clamped delay, basket totals."""
-    a = fact_items.groupBy("order_id").agg(
+def order_item_agg(fact_items: DataFrame) -> DataFrame:
+    """Per order, from the stored item fact: order dates and basket totals (a scan, so the
+    aggregation is partial map-side and a hot order is collapsed before the shuffle)."""
+    return fact_items.groupBy("order_id").agg(
         F.min("purchase_ts").alias("purchase_ts"),
         F.max("delivered_customer_ts").alias("delivered_customer_ts"),
         F.max("estimated_delivery_date").alias("estimated_delivery_date"),
@@ -138,6 +139,39 @@ def delivery_review(fact_items: DataFrame, reviews: DataFrame) -> DataFrame:
         F.sum("price").alias("price"),
         F.sum("freight_value").alias("freight_value"),
     )
+
+
+def order_item_agg_raw(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The same as :func:`order_item_agg` over ``fact_order_items(items, orders)``, without building the
+    item-grain join: items and orders are each reduced to one row per order first, then joined.
+
+    Aggregating after the join would put all items of a hot order into one task (the join output is
+    already partitioned by order_id, so no map-side reduction happens). Exactness: an order_id that
+    occurs m times among the orders multiplies its items m times in the join, so counts and sums are
+    scaled by m; min/max are unchanged.
+    """
+    i = items.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("price").alias("_price"), F.sum("freight_value").alias("_freight"))
+    o = orders.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_m"),
+        F.min("order_purchase_timestamp").alias("purchase_ts"),
+        F.max("order_delivered_customer_date").alias("delivered_customer_ts"),
+        F.max(D.as_date("order_estimated_delivery_date")).alias("estimated_delivery_date"))
+    j = i.join(o, "order_id", "inner")
+    m = F.col("_m")
+    return j.select(
+        "order_id", "purchase_ts", "delivered_customer_ts", "estimated_delivery_date",
+        (F.col("_n") * m).alias("items_count"),
+        (F.col("_price") * m).cast("decimal(22,2)").alias("price"),
+        (F.col("_freight") * m).cast("decimal(22,2)").alias("freight_value"),
+    )
+
+
+def delivery_review(fact_items: DataFrame, reviews: DataFrame, order_agg: DataFrame | None = None) -> DataFrame:
+    """One row per order that has items and a review: best review score, clamped delay, basket totals.
+
+    ``order_agg`` (from :func:`order_item_agg_raw`) replaces the aggregation of ``fact_items``."""
+    a = order_agg if order_agg is not None else order_item_agg(fact_items)
     r = reviews.groupBy("order_id").agg(F.max("review_score").alias("review_score"))
     j = a.join(r, "order_id", "inner")
     return j.select(

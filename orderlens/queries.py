@@ -55,7 +55,8 @@ class Layers:
 
     @property
     def delivery_review(self) -> DataFrame:
-        return marts.delivery_review(self.fact_order_items, self.raw.order_reviews)
+        r = self.raw
+        return marts.delivery_review(None, r.order_reviews, marts.order_item_agg_raw(r.order_items, r.orders))
 
     @property
     def enriched(self) -> DataFrame:

@@ -169,3 +169,18 @@ def test_fractional_delivery_days(spark):
     _, of, sla, *_ = _layers(spark, o)
     assert by_id(of)["1"]["delivery_days"] == 1.5
     assert by_id(sla)["1"]["delivery_days"] == 1
+
+
+def test_pre_aggregated_order_totals_equal_fact_aggregation(spark):
+    o = [order("1", "2024-01-01 08:00:00", "2024-01-05 00:00:00", "2024-01-10 00:00:00"),
+         order("1", "2024-01-02 08:00:00", "2024-01-06 00:00:00", "2024-01-09 00:00:00"),  # duplicate order row
+         order("2", "2024-01-01 08:00:00", None, "2024-01-10 00:00:00", status="shipped"),
+         order("3", "2024-01-01 08:00:00", None, None)]
+    i = [item("1", 1, 10, 1), item("1", 2, 5, 2), item("2", 1, 7, 3), {**item("2", 2, 1, 1), "price": None},
+         item("4", 1, 3, 3)]
+    r = raw(spark, orders=o, order_items=i)
+    fact = warehouse.fact_order_items(r.order_items, r.orders)
+    a = sorted(tuple(x) for x in marts.order_item_agg(fact).collect())
+    b = sorted(tuple(x) for x in marts.order_item_agg_raw(r.order_items, r.orders).collect())
+    assert a == b
+    assert marts.order_item_agg_raw(r.order_items, r.orders).schema == marts.order_item_agg(fact).schema
