@@ -53,9 +53,9 @@ def range_sorted(df: DataFrame, order: Sequence[Column | str], num_partitions: i
     return stored.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
 
 
-def _offsets(staged: DataFrame, sums: Sequence[str] = ()) -> tuple[DataFrame, dict[str, int | float]]:
+def _offsets(staged: DataFrame, sums: Sequence[str] = ()) -> tuple[DataFrame, dict[str, int | float], list[tuple]]:
     """Per-partition exclusive prefix of row counts (and of ``sums``), as a small frame keyed by
-    partition id, plus the grand totals. One row per partition is collected."""
+    partition id, the grand totals, and the same prefixes as rows. One row per partition is collected."""
     aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(c).alias(c) for c in sums]
     per = staged.groupBy(F.spark_partition_id().alias(_PID)).agg(*aggs).collect()
     per = sorted(per, key=lambda r: r[_PID])
@@ -72,14 +72,14 @@ def _offsets(staged: DataFrame, sums: Sequence[str] = ()) -> tuple[DataFrame, di
     rows = [tuple(v if i < 2 or isinstance(fields[i].dataType, T.LongType) else float(v)
                   for i, v in enumerate(row)) for row in rows]
     off = staged.sparkSession.createDataFrame(rows, T.StructType(fields))
-    return off, running
+    return off, running, rows
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "row_num",
                       num_partitions: int | None = None, stage_input: bool = True) -> tuple[DataFrame, int]:
     """1-based position of each row in ``order`` (which must be a total order), and the row count."""
     staged = range_sorted(df, order, num_partitions, stage_input)
-    off, totals = _offsets(staged)
+    off, totals, _ = _offsets(staged)
     pid = F.spark_partition_id()
     local = staged.select("*", pid.alias(_PID),
                           (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS))
@@ -142,9 +142,8 @@ def global_cumsum(df: DataFrame, order: Sequence[Column | str], cols: Sequence[s
     Arrow-batched pandas ``cumsum`` over the already sorted partition.
     """
     staged = range_sorted(df, order, num_partitions)
-    off, _ = _offsets(staged, cols)
-    offsets = {r[_PID]: r for r in off.collect()}  # one row per partition
-    start = {pid: [r[f"_off_{c}"] for c in cols] for pid, r in offsets.items()}
+    _, _, rows = _offsets(staged, cols)
+    start = {r[0]: list(r[2:]) for r in rows}  # partition id -> starting sums (one entry per partition)
     out_fields = list(staged.schema.fields) + [
         T.StructField(prefix + c, T.LongType() if isinstance(staged.schema[c].dataType, T.IntegralType)
                       else T.DoubleType()) for c in cols]

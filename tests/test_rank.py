@@ -87,3 +87,17 @@ def test_cumsum_equals_window(spark):
         ca += a
         cb += b
         assert got[i] == (ca, cb)
+
+
+def test_hot_value_is_spread_over_partitions(spark):
+    """A third of the rows share one sort value: the unique tie-break still splits them evenly."""
+    from orderlens.operators.rank import range_sorted
+    n = 3000
+    rows = [(i, 7 if i % 3 == 0 else i) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, v long")
+    staged = range_sorted(df, [F.col("v").asc(), F.col("id").asc()], num_partitions=8)
+    sizes = [r["c"] for r in staged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
+    assert sum(sizes) == n and max(sizes) < 2 * n / 8
+    numbered, total = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], "rn", num_partitions=8)
+    got = [r["id"] for r in numbered.orderBy("rn").collect()]
+    assert total == n and got == [i for _, i in sorted((v, i) for i, v in rows)]
