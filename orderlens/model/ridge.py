@@ -122,7 +122,7 @@ def _mean_logloss(intercept: float, betas: list[float], cols: list[str], label:
 
 def cross_validate(design: DataFrame, label: str = "is_low_review", terms: list[str] | None = None,
                    id_col: str = "order_id", folds: int = CV_FOLDS, n_lambda: int = 12,
-                   parallelism: int = 8, seed: int = SPLIT_SEED) -> tuple[list[dict], list[float], int]:
+                   parallelism: int = 4, seed: int = SPLIT_SEED) -> tuple[list[dict], list[float], int]:
     """Per lambda: mean and standard error of the held-out mean log-loss over the folds; the lambdas;
     the number of training rows."""
     terms = list(terms or FEATURE_TERMS)
@@ -140,6 +140,7 @@ def cross_validate(design: DataFrame, label: str = "is_low_review", terms: list[
         m = _lr(lam, label).fit(train_sets[f])
         return f, lam, float(m.intercept), [float(b) for b in m.coefficients.toArray()]
 
+    # fits are small Spark jobs each: a few at a time keep the scheduler busy without contention
     jobs = [(f, lam) for f in range(folds) for lam in lambdas]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         fitted = list(ex.map(fit, jobs))

@@ -39,14 +39,23 @@ def flag_cuts(scored: DataFrame, score_col: str = "risk_score", id_col: str = "o
 
 
 def assemble_scores(scored: DataFrame, score_date: dt.date | str, model_version: str = MODEL_VERSION,
-                    mode: str = "percentile", score_col: str = "risk_score", id_col: str = "order_id") -> DataFrame:
+                    mode: str = "percentile", score_col: str = "risk_score", id_col: str = "order_id",
+                    approx_accuracy: int = 100_000) -> DataFrame:
     """Score-store rows for one batch.
 
     ``mode='percentile'``: red at or above the batch P95, amber at or above P90, green otherwise (the
-    flag uses the unrounded score). ``mode='fixed'``: the stored default cut-offs 0.20 / 0.35. The
-    cut-offs actually used are stored in ``threshold_green`` (upper end of green) and ``threshold_red``.
+    flag uses the unrounded score); the percentiles are exact (distributed global ranking).
+    ``mode='approx_percentile'``: the same rule with ``percentile_approx`` (one pass, bounded memory,
+    rank error at most n / ``approx_accuracy``). ``mode='fixed'``: the stored default cut-offs 0.20 /
+    0.35. The cut-offs actually used are stored in ``threshold_green`` (upper end of green) and
+    ``threshold_red``.
     """
-    if mode == "percentile":
+    if mode == "approx_percentile":
+        q = F.percentile_approx(F.col(score_col), [AMBER_PERCENTILE, RED_PERCENTILE], approx_accuracy)
+        cuts = scored.agg(q.alias("_q"))
+        amber = cuts.select(F.col("_q")[0]).scalar()
+        red = cuts.select(F.col("_q")[1]).scalar()
+    elif mode == "percentile":
         # the batch feeds both the percentile job and the rows written: store (id, score) once
         scored = scored.select(id_col, score_col).checkpoint(eager=True)
         cuts = flag_cuts(scored, score_col, id_col, stage_input=False)

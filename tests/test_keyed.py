@@ -86,3 +86,13 @@ def test_week_without_scores(spark):
     w = report.wbr_weekly(report.sla_order_scored(enr, empty)).collect()[0]
     assert w["scored_cnt"] == 0 and w["high_risk_share"] is None and w["late_rate"] == 0.0
     assert w["ontime_rate"] == 1.0
+
+
+def test_approx_percentile_mode_close_to_exact(spark):
+    s = _scores(spark, [(str(i), i / 1000) for i in range(1001)])
+    exact = {r["order_id"]: r["risk_flag"] for r in assemble_scores(s, "2024-01-01").collect()}
+    approx = {r["order_id"]: r["risk_flag"] for r in assemble_scores(s, "2024-01-01", mode="approx_percentile").collect()}
+    assert sum(exact[k] != approx[k] for k in exact) <= 2
+    fixed = {r["order_id"]: r for r in assemble_scores(s, "2024-01-01", mode="fixed").collect()}
+    assert fixed["350"]["risk_flag"] == "red" and fixed["349"]["risk_flag"] == "amber"
+    assert fixed["199"]["risk_flag"] == "green" and fixed["0"]["threshold_red"] == Decimal("0.350000")
