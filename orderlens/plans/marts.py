@@ -187,9 +187,11 @@ REVIEW_FEATURES = ("review_score", "is_low_review", "delivery_delay_days", "pric
                    "items_count", "month")
 
 
-def sla_order_enriched(sla: DataFrame, review: DataFrame) -> DataFrame:
+def sla_order_enriched(sla: DataFrame, review: DataFrame | None) -> DataFrame:
     """Flat order view for BI and scoring: SLA columns, clamped and capped delay, week/month starts,
-    delay bucket, on-time flag, and the review features (left join)."""
+    delay bucket, on-time flag, and the review features (left join; ``review=None`` leaves them out,
+    for readers that need none of them and read the review mart from storage, where Catalyst cannot
+    prove it unique per order and so cannot drop the join itself)."""
     days_late = F.col("days_late").cast("int")
     delay_cap = R.clamp_days(days_late, cap=30)
     base = sla.select(
@@ -209,6 +211,8 @@ def sla_order_enriched(sla: DataFrame, review: DataFrame) -> DataFrame:
         R.delay_bucket("delay_cap").alias("delay_bucket"),
         R.ontime_flag("is_delivered", "is_late").alias("is_ontime"),
     )
+    if review is None:
+        return bucketed
     return bucketed.join(review.select("order_id", *REVIEW_FEATURES), "order_id", "left")
 
 
