@@ -164,3 +164,23 @@ def global_cumsum(df: DataFrame, order: Sequence[Column | str], cols: Sequence[s
             yield pdf
 
     return staged.mapInPandas(run, out_schema)
+
+
+def row_number_within(df: DataFrame, key: str, order: Sequence[Column | str], out: str,
+                      num_partitions: int | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY key ORDER BY order)`` without one task per key.
+
+    The rows are ranked globally on ``(key, order…)`` (a hot key is spread over many range
+    partitions); a key's number is its global position minus the key's first position plus one.
+    The first positions are a per-key ``min`` (partial aggregate, one row per key) joined back on the
+    key, a join AQE can split when one key is large. Rows tied on the whole order get consecutive
+    numbers in the order the staged input stored them, as a window would give them in arbitrary order.
+    """
+    tie = "_rw_tie"
+    staged = df.withColumn(tie, F.monotonically_increasing_id()).checkpoint(eager=True)
+    sort = [F.col(key).asc_nulls_last(), *_sort_cols(order), F.col(tie).asc()]
+    numbered, _ = global_row_number(staged, sort, "_rw_rn", num_partitions, stage_input=False)
+    first = numbered.groupBy(key).agg(F.min("_rw_rn").alias("_rw_first"))
+    j = numbered.join(first, key, "inner") if df.schema[key].nullable is False else \
+        numbered.join(first, numbered[key].eqNullSafe(first[key]), "inner").drop(first[key])
+    return j.select(*df.columns, (F.col("_rw_rn") - F.col("_rw_first") + 1).cast("int").alias(out))

@@ -106,17 +106,38 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), "customers")
 
 
+# a per-order window handles an order in one task; beyond this many lines in one order the items are
+# numbered with the distributed global ranking instead
+MAX_LINES_PER_WINDOW_GROUP = 1_000_000
+_LARGEST_ORDER: dict[tuple[str, str], int] = {}
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
+              "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+
+
+def largest_order(spark: SparkSession, sf_dir: str) -> int:
+    """Lines in the largest order (one partial aggregation over the key column; memoised per input)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LARGEST_ORDER:
+        li = _tpch(spark, sf_dir, "lineitem")
+        row = li.groupBy("l_orderkey").count().agg(F.max("count")).first()
+        _LARGEST_ORDER[key] = int(row[0] or 0)
+    return _LARGEST_ORDER[key]
+
+
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
+    from orderlens.operators.rank import row_number_within
+
     li = _by_order(_tpch(spark, sf_dir, "lineitem"), "l_orderkey")
     # l_linenumber alone is not unique per order: number the lines by their full content
-    w = Window.partitionBy("order_id").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-    return _conform(li.select(
-        "order_id",
-        F.row_number().over(w).alias("order_item_id"),
+    if largest_order(spark, sf_dir) <= MAX_LINES_PER_WINDOW_GROUP:
+        numbered = li.select("*", F.row_number().over(Window.partitionBy("order_id").orderBy(*LINE_ORDER))
+                             .alias("order_item_id"))
+    else:
+        numbered = row_number_within(li, "order_id", list(LINE_ORDER), "order_item_id")
+    return _conform(numbered.select(
+        "order_id", "order_item_id",
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),

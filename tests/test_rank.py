@@ -101,3 +101,24 @@ def test_hot_value_is_spread_over_partitions(spark):
     numbered, total = global_row_number(df, [F.col("v").asc(), F.col("id").asc()], "rn", num_partitions=8)
     got = [r["id"] for r in numbered.orderBy("rn").collect()]
     assert total == n and got == [i for _, i in sorted((v, i) for i, v in rows)]
+
+
+def test_row_number_within_equals_window_with_a_hot_key(spark):
+    from orderlens.operators.rank import row_number_within
+    random.seed(7)
+    rows = [("hot" if i % 3 == 0 else f"k{i % 17}", random.randint(0, 20), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, v long, id long")
+    mine = {r["id"]: r["n"] for r in row_number_within(df, "k", ["v", "id"], "n", num_partitions=6).collect()}
+    w = Window.partitionBy("k").orderBy("v", "id")
+    ref = {r["id"]: r["n"] for r in df.select("id", F.row_number().over(w).alias("n")).collect()}
+    assert mine == ref
+
+
+def test_fixture_numbering_switches_to_global_ranking_for_big_orders(spark, monkeypatch):
+    from orderlens.sources import adapter
+    sf = "/root/testdata/sf0.001"
+    cols = ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value", "shipping_limit_date"]
+    by_window = sorted(tuple(r) for r in adapter.raw_order_items(spark, sf).select(*cols).collect())
+    monkeypatch.setattr(adapter, "MAX_LINES_PER_WINDOW_GROUP", 1)
+    by_rank = sorted(tuple(r) for r in adapter.raw_order_items(spark, sf).select(*cols).collect())
+    assert by_window == by_rank
