@@ -108,8 +108,8 @@ def run(spark: SparkSession, raw: RawTables, out_dir: str, score_date: dt.date |
     enriched = marts.sla_order_enriched(m["sla_orders"], m["delivery_review"])
     cohort = marts.model_cohort(enriched)
     model_path = model_path or os.path.join(out_dir, "model")
+    features.check_levels(cohort)  # an unknown month or bucket is a data error, not an all-zero row
     if retrain or not Layer(spark, model_path).exists("orderlens_meta"):
-        features.check_levels(cohort)
         split = features.train_test_split(cohort)
         train = split.filter(F.col("split") == "train")
         model, _ = ridge.train_ridge(features.design_matrix(train, keep=("order_id", "is_low_review")))
