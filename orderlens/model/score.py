@@ -17,7 +17,7 @@ from orderlens.operators.keyed import duplicate_keys, upsert_merge
 from orderlens.operators.rank import exact_quantiles
 from orderlens.schema import (AMBER_PERCENTILE, DEFAULT_THRESHOLD_GREEN, DEFAULT_THRESHOLD_RED, MODEL_VERSION,
                               RED_PERCENTILE, SCORE_SCHEMA)
-from orderlens.session import scratch_path
+from orderlens.session import delete_path, scratch_path
 
 SCORE_KEY = ("order_id", "score_date")
 DEC6 = "decimal(10,6)"
@@ -126,6 +126,7 @@ class ScoreStore:
         # no repartition by date: a daily batch is one date, and one task must not write it all
         (staged.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("score_date").parquet(self.path))
+        delete_path(self.spark, stage)  # the overwrite has committed; the staged copy is spent
 
 
 def with_defaults(df: DataFrame) -> DataFrame:
