@@ -32,9 +32,15 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+    """Range partitions: as many as the (staged) input has, at least the cluster's cores, at most
+    ``spark.sql.shuffle.partitions``. The staged input's partitions come out of AQE's coalescing at
+    the advisory size (or from the files), so the count follows the data volume."""
     if num_partitions:
         return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = spark.sparkContext.defaultParallelism
+    return max(1, min(cap, max(floor, df.rdd.getNumPartitions())))
 
 
 def range_sorted(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None = None,
@@ -48,8 +54,8 @@ def range_sorted(df: DataFrame, order: Sequence[Column | str], num_partitions: i
     """
     checkpoint_dir(df.sparkSession)
     cols = _sort_cols(order)
-    n = _partitions(df, num_partitions)
     stored = df.checkpoint(eager=True) if stage_input else df
+    n = _partitions(stored, num_partitions)
     return stored.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
 
 

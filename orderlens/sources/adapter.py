@@ -24,9 +24,8 @@ def _by_order(df: DataFrame, key: str) -> DataFrame:
     """Adds ``order_id`` (the key as text) and hash-partitions on it, once per table: the item
     numbering window, every per-order aggregation and the joins on ``order_id`` then reuse this
     partitioning instead of shuffling again."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.withColumn("order_id", F.col(key).cast("string")).repartition(n, "order_id")
+    # no fixed count: AQE may coalesce the partitions to the data size and keeps the hash layout
+    return df.withColumn("order_id", F.col(key).cast("string")).repartition("order_id")
 
 
 def _add(ts: Column, unit: str, n: Column) -> Column:
