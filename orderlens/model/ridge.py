@@ -175,7 +175,7 @@ def choose_lambdas(table: list[dict]) -> tuple[float, float]:
     return best["lambda"], one_se
 
 
-def fit_pipeline(design: DataFrame, lam: float, label: str = "is_low_review",
+def fit_ridge(design: DataFrame, lam: float, label: str = "is_low_review",
                  terms: list[str] | None = None, rows: int | None = None) -> PipelineModel:
     cols = [term_column(t) for t in (terms or FEATURE_TERMS)]
     pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), _lr(lam, label)])
@@ -199,8 +199,8 @@ def train_ridge(design: DataFrame, label: str = "is_low_review", terms: list[str
     for r in table:
         r["is_min"] = r["lambda"] == lmin
         r["is_1se"] = r["lambda"] == l1se
-    p1 = fit_pipeline(design, l1se, label, terms, rows)
-    p0 = p1 if lmin == l1se else fit_pipeline(design, lmin, label, terms, rows)
+    p1 = fit_ridge(design, l1se, label, terms, rows)
+    p0 = p1 if lmin == l1se else fit_ridge(design, lmin, label, terms, rows)
     m1 = RidgeModel(terms, p1, l1se, lmin, l1se, cv=table)
     m0 = RidgeModel(terms, p0, lmin, lmin, l1se, cv=table)
     return (m1, m0) if use == "lambda.1se" else (m0, m1)

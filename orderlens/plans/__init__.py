@@ -1 +1 @@
-"""Products as DataFrame plans: warehouse, marts, RFM, quality jobs, reports, the whole pipeline."""
+"""Products as DataFrame plans: warehouse, marts, RFM, quality jobs, reports, the whole run."""

@@ -452,11 +452,11 @@ def model_evaluation(spark, sf_dir):
 
 
 @register
-def pipeline_run(spark, sf_dir):
+def full_run(spark, sf_dir):
     """The whole run (warehouse, marts, gate, model, scores, weekly report) into a fresh folder under
     the checkpoint directory; returns the stored daily SLA mart read back from Parquet."""
-    from orderlens.plans import pipeline
+    from orderlens.plans import runner
     from orderlens.session import scratch_path
-    out = scratch_path(spark, "pipeline")
-    pipeline.run(spark, from_testdata(spark, sf_dir), out, score_date=DAY1)
+    out = scratch_path(spark, "full-run")
+    runner.run(spark, from_testdata(spark, sf_dir), out, score_date=DAY1)
     return rounded(spark.read.parquet(f"{out}/mart/sla_daily"))

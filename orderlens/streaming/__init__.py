@@ -2,6 +2,6 @@
 
 The warehouse this package rebuilds has no streams, watermarks, windows over event time or
 stateful operators: orders are loaded in batches and risk scores are produced by a daily batch
-(``orderlens.plans.pipeline.run`` with a ``score_date``). The score store's upsert is idempotent per
+(``orderlens.plans.runner.run`` with a ``score_date``). The score store's upsert is idempotent per
 (order_id, score_date), so a scheduler can re-run a day safely; no streaming state is needed.
 """

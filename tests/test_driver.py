@@ -43,7 +43,7 @@ def test_every_query_has_an_oracle_or_is_model_only():
     q, o = E.queries(), E.oracle_sql()
     rows_only = set(q) - set(o)
     assert rows_only <= {"ridge_cv", "coefficients", "key_terms", "top_effects", "implied_probability",
-                         "batch_scores", "model_evaluation", "pipeline_run"}
+                         "batch_scores", "model_evaluation", "full_run"}
 
 
 def test_entry_runs(spark):

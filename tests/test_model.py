@@ -50,7 +50,7 @@ def test_ridge_fit_is_optimal(spark):
     cohort = layers(spark, SF).cohort
     design = features.design_matrix(cohort, keep=("order_id", "is_low_review"))
     lam = 0.05
-    model = ridge.fit_pipeline(design, lam)
+    model = ridge.fit_ridge(design, lam)
     lr = model.stages[-1]
     pdf = design.toPandas()
     X = pdf[features.FEATURE_COLUMNS].to_numpy(float)

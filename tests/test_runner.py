@@ -4,17 +4,17 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from orderlens.plans import pipeline
+from orderlens.plans import runner
 from orderlens.session import scratch_path
 from orderlens.sources.adapter import from_testdata
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_pipeline_run_and_rerun(spark):
-    out = scratch_path(spark, "test-pipeline")
+def test_full_run_and_rerun(spark):
+    out = scratch_path(spark, "test-full-run")
     raw = from_testdata(spark, SF)
-    res = pipeline.run(spark, raw, out, score_date=dt.date(2024, 1, 1))
+    res = runner.run(spark, raw, out, score_date=dt.date(2024, 1, 1))
     for t in ("dim_customer", "dim_date", "fact_order_items", "order_facts", "customer_rfm", "sla_orders",
               "sla_daily", "sla_delivered_daily", "item_facts", "delivery_review", "sla_risk_scoring",
               "sla_wbr_weekly"):
@@ -24,13 +24,13 @@ def test_pipeline_run_and_rerun(spark):
     assert n1 == res.summary["scored_rows"] > 0
     assert scores.filter(F.col("risk_flag") == "red").count() > 0
     # second run, same day and a later day: dimensions unchanged, same-day scores replaced not duplicated
-    res2 = pipeline.run(spark, raw, out, score_date=dt.date(2024, 1, 2))
+    res2 = runner.run(spark, raw, out, score_date=dt.date(2024, 1, 2))
     assert spark.read.parquet(res2.tables["dim_customer"]).count() == spark.read.parquet(
         res.tables["dim_customer"]).count()
-    pipeline.run(spark, raw, out, score_date=dt.date(2024, 1, 2))
+    runner.run(spark, raw, out, score_date=dt.date(2024, 1, 2))
     stored = spark.read.parquet(res2.tables["sla_risk_scoring"])
     assert stored.count() == 2 * n1
     assert stored.groupBy("order_id", "score_date").count().filter("count > 1").count() == 0
-    v = pipeline.views(spark, out)
+    v = runner.views(spark, out)
     latest = v["v_sla_order_scored"].filter(F.col("score_date").isNotNull())
     assert latest.agg(F.min("score_date")).first()[0] == dt.date(2024, 1, 2)
