@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from orderlens.llm import mixing, quality
+from orderlens.llm import mixing, quality, simhash
 
 QUERIES = {
     "op5_quality": quality.op5_quality,
+    "op7_simhash": simhash.op7_simhash,
     "op9_mixing": mixing.op9_mixing,
 }
 
