@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from orderlens.llm import decontaminate, mixing, quality, simhash, tokens
+from orderlens.llm import decontaminate, mixing, quality, simhash, tokens, toxicity
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_tokens": tokens.op4_tokens,
     "op5_quality": quality.op5_quality,
     "op7_simhash": simhash.op7_simhash,
