@@ -31,6 +31,8 @@ PREFIXES = range(4, 9)
 #: share of toxic documents among those with a term: to be a term at all, and to be a strong one
 MIN_PRECISION = 0.5
 STRONG = 0.8
+#: near words in clean documents, by the toxic documents with a term, above which it takes no edits
+MAX_NEAR = 0.05
 #: learned terms kept at most, those in the most toxic documents first
 MAX_TERMS = 5000
 #: words on each side of a hit that are looked at
@@ -139,7 +141,8 @@ class Matcher:
     character the one that has to follow.
     """
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], exact: frozenset[str] = frozenset()):
+        self.term: dict[int, str] = {}
         self.next: list[dict[str, int]] = [{}]
         self.word, self.stem, self.allowed = [-1], [-1], [0]
         self.weak_word: dict[int, int] = {}
@@ -147,7 +150,7 @@ class Matcher:
         for t in terms:
             node, kind, text = 0, t[0].lower(), t[2:]
             weak = t[0].isupper()
-            most = 0 if weak else _edits(text)
+            most = 0 if weak or t in exact else _edits(text)
             self.allowed[0] = max(self.allowed[0], most)
             for c in text:
                 if c not in self.next[node]:
@@ -159,6 +162,7 @@ class Matcher:
                 node = self.next[node][c]
                 self.allowed[node] = max(self.allowed[node], most)
             (self.word if kind == "w" else self.stem)[node] = most
+            self.term[node] = t
             (self.weak_word if kind == "w" else self.weak_stem)[node] = int(weak)
         self.clear()
 
@@ -212,6 +216,17 @@ class Matcher:
         found = self.moves[state][c] = self._state(places)
         return found
 
+    def near_terms(self, word: str) -> set[str]:
+        """The terms that ``word`` comes to by one edit or more."""
+        state, out = self.start, set()
+        for k, c in enumerate(word):
+            to = self.moves[state].get(c)
+            state = self._move(state, c) if to is None else to
+            last = k == len(word) - 1
+            out |= {self.term[n] for n, e, w in self.sets[state]
+                    if e and not w and (self.stem[n] >= e or last and self.word[n] >= e)}
+        return out
+
     def grade(self, word: str) -> int | None:
         """The least grade at which ``word`` is a term or begins with a stem; None above the edits that the
         lengths allow."""
@@ -235,6 +250,8 @@ class Matcher:
 @dataclass
 class Model:
     terms: list[str]
+    #: terms with too many near words in clean documents: taken as they are, without edits
+    exact: frozenset[str] = frozenset()
     #: near words that clean documents use: no misspellings
     clean_words: frozenset[str] = frozenset()
     #: by grade, quoted, and whether several words hit
@@ -245,7 +262,7 @@ class Model:
 class Scorer:
     def __init__(self, model: Model):
         self.model = model
-        self.matcher = Matcher(model.terms)
+        self.matcher = Matcher(model.terms, model.exact)
         self.known: dict[str, int | None] = {}
 
     def near(self, token: str) -> Iterator[tuple[str, int]]:
@@ -328,11 +345,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         s = Scorer(Model(sent.value))
         for b in batches:
             words = {w for text in b["text"] for t in set((text or "").lower().split()) for w, e in s.near(t) if e > 1}
-            yield pd.DataFrame({"word": sorted(words)}, dtype=object)
-
-    clean = sample.filter((F.col("toxic") == 0) & (F.col("half") == 0)).select("text").mapInPandas(near_words, "word string")
-    # bounded by the sample
-    model = Model(terms, frozenset(r[0] for r in clean.distinct().collect()))
+            yield pd.DataFrame([(w, t) for w in sorted(words) for t in sorted(s.matcher.near_terms(w))],
+                               columns=["word", "term"], dtype=object)
+
+    clean = sample.filter((F.col("toxic") == 0) & (F.col("half") == 0)).select("text").mapInPandas(near_words, "word string, term string")
+    near = clean.distinct().collect()  # bounded by the sample
+    near_of = Counter(r["term"] for r in near)
+    held = {r["term"]: r["toxic"] for r in rows}
+    exact = frozenset(t for t in terms if near_of[t] > MAX_NEAR * held[t[0].lower() + t[1:]])
+    model = Model(terms, exact, frozenset(r["word"] for r in near))
     sent_model = docs.sparkSession.sparkContext.broadcast(model)
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
