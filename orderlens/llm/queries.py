@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from orderlens.llm import decontaminate, mixing, quality, simhash, tokens, toxicity
+from orderlens.llm import decontaminate, langid, mixing, quality, simhash, tokens, toxicity
 
 QUERIES = {
+    "op1_langid": langid.op1_langid,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_tokens": tokens.op4_tokens,
