@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlens.llm import decontaminate, langid, mixing, quality, simhash, tokens, toxicity
+from orderlens.llm import decontaminate, langid, mixing, pii, quality, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_tokens": tokens.op4_tokens,
     "op5_quality": quality.op5_quality,
+    "op6_pii": pii.op6_pii,
     "op7_simhash": simhash.op7_simhash,
     "op9_mixing": mixing.op9_mixing,
 }
