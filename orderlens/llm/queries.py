@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlens.llm import decontaminate, langid, mixing, pagetext, pii, quality, simhash, tokens, toxicity
+from orderlens.llm import decontaminate, langid, mixing, pagetext, pii, quality, simhash, substrings, tokens, toxicity
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_quality": quality.op5_quality,
     "op6_pii": pii.op6_pii,
     "op7_simhash": simhash.op7_simhash,
+    "op8_substrings": substrings.op8_substrings,
     "op9_mixing": mixing.op9_mixing,
     "op10_pagetext": pagetext.op10_pagetext,
 }
