@@ -40,26 +40,29 @@ def design_matrix(cohort: DataFrame, terms: Sequence[str] = FEATURE_TERMS,
                   keep: Sequence[str] = ("order_id",)) -> DataFrame:
     """One double column per term (indicator columns for factor levels), plus the ``keep`` columns.
 
-    Unknown factor values (a month outside 1-12, an unknown bucket) are rejected up front by
-    :func:`check_levels` rather than silently becoming all-zero rows.
+    A row with an unknown factor value has zeros in all that factor's columns, like the baseline; callers
+    reject such rows first with :func:`check_levels`, as the runner does.
     """
     return cohort.select(*keep, *[_term_expr(t).alias(term_column(t)) for t in terms])
 
 
-def observed_levels(cohort: DataFrame) -> tuple[list[str], list[int]]:
-    """Factor levels present in the data (at most 5 buckets and 12 months come back)."""
-    rows = cohort.agg(F.collect_set("delay_bucket").alias("b"), F.collect_set("month").alias("m")).first()
-    b = [x for x in DELAY_BUCKET_LEVELS if x in set(rows["b"])]
-    m = sorted(int(x) for x in rows["m"])
-    return b, m
+def observed_terms(buckets: Sequence[str], months: Sequence[int]) -> list[str]:
+    """The terms of a batch in which only these levels occur. The baselines are the declared first
+    levels, whether they occur or not: no other level loses its column to them."""
+    return [t for t in FEATURE_TERMS
+            if not (t.startswith("delay_bucket") and t[len("delay_bucket"):] not in set(buckets)
+                    or t.startswith("month") and int(t[len("month"):]) not in set(months))]
 
 
 def check_levels(cohort: DataFrame) -> None:
-    """Raise when a row has a bucket or month that is not a known level (a data error upstream)."""
-    bad = cohort.filter(~F.col("delay_bucket").isin(list(DELAY_BUCKET_LEVELS))
-                        | ~F.col("month").isin(list(MONTH_LEVELS))).limit(5).collect()
-    if bad:
-        raise ValueError(f"unknown factor levels in cohort rows: {[r.asDict() for r in bad]}")
+    """Raise when a row has a bucket or month that is NULL or not a known level (a data error upstream)."""
+    bucket, month = F.col("delay_bucket"), F.col("month")
+    unknown = (bucket.isNull() | ~bucket.isin(list(DELAY_BUCKET_LEVELS)) | month.isNull() | ~month.isin(list(MONTH_LEVELS)))
+    found = cohort.agg(F.count_if(unknown).alias("rows"), F.min(F.when(unknown, bucket)).alias("bucket"),
+                       F.min(F.when(unknown, month)).alias("month")).first()
+    if found["rows"]:
+        raise ValueError(f"{found['rows']} cohort rows with NULL or unknown factor levels "
+                         f"(for example bucket {found['bucket']!r}, month {found['month']!r})")
 
 
 def align_columns(design: DataFrame, terms: Sequence[str], keep: Sequence[str] = ("order_id",)) -> DataFrame:

@@ -31,36 +31,35 @@ def predict(model: RidgeModel, cohort: DataFrame, id_col: str = "order_id") -> D
     return out.select(id_col, vector_to_array("probability")[1].alias("risk_score"))
 
 
-def flag_cuts(scored: DataFrame, score_col: str = "risk_score", id_col: str = "order_id",
-              stage_input: bool = True) -> DataFrame:
+def flag_cuts(scored: DataFrame, score_col: str = "risk_score", stage_input: bool = True) -> DataFrame:
     """One row: ``amber_cut`` (P90) and ``red_cut`` (P95) of the batch, exact, type-7 interpolation."""
-    return exact_quantiles(scored, score_col, [AMBER_PERCENTILE, RED_PERCENTILE], [id_col],
+    return exact_quantiles(scored, score_col, [AMBER_PERCENTILE, RED_PERCENTILE],
                            names=["amber_cut", "red_cut"], stage_input=stage_input)
 
 
 def assemble_scores(scored: DataFrame, score_date: dt.date | str, model_version: str = MODEL_VERSION,
                     mode: str = "percentile", score_col: str = "risk_score", id_col: str = "order_id",
-                    approx_accuracy: int = 100_000) -> DataFrame:
+                    approx_accuracy: int = 100_000, cuts: tuple[float, float] | None = None) -> DataFrame:
     """Score-store rows for one batch.
 
     ``mode='percentile'``: red at or above the batch P95, amber at or above P90, green otherwise (the
-    flag uses the unrounded score); the percentiles are exact (distributed global ranking).
+    flag uses the unrounded score); the percentiles are exact (see ``order_statistics``).
     ``mode='approx_percentile'``: the same rule with ``percentile_approx`` (one pass, bounded memory,
     rank error at most n / ``approx_accuracy``). ``mode='fixed'``: the stored default cut-offs 0.20 /
     0.35. The cut-offs actually used are stored in ``threshold_green`` (upper end of green) and
     ``threshold_red``.
     """
-    if mode == "approx_percentile":
+    if cuts is not None:  # (amber, red), computed before for the same batch
+        amber, red = F.lit(cuts[0]).cast("double"), F.lit(cuts[1]).cast("double")
+    elif mode == "approx_percentile":
         q = F.percentile_approx(F.col(score_col), [AMBER_PERCENTILE, RED_PERCENTILE], approx_accuracy)
-        cuts = scored.agg(q.alias("_q"))
-        amber = cuts.select(F.col("_q")[0]).scalar()
-        red = cuts.select(F.col("_q")[1]).scalar()
+        both = scored.agg(q.alias("_q"))
+        amber = both.select(F.col("_q")[0]).scalar()
+        red = both.select(F.col("_q")[1]).scalar()
     elif mode == "percentile":
         # the batch feeds both the percentile job and the rows written: store (id, score) once
         scored = scored.select(id_col, score_col).checkpoint(eager=True)
-        cuts = flag_cuts(scored, score_col, id_col, stage_input=False)
-        amber = cuts.select("amber_cut").scalar()
-        red = cuts.select("red_cut").scalar()
+        amber, red = (F.lit(x).cast("double") for x in flag_cuts(scored, score_col, stage_input=False).first())
     elif mode == "fixed":
         amber, red = F.lit(float(DEFAULT_THRESHOLD_GREEN)), F.lit(float(DEFAULT_THRESHOLD_RED))
     else:
@@ -112,8 +111,9 @@ class ScoreStore:
         return df.select(*SCORE_SCHEMA.fieldNames())
 
     def upsert(self, batch: DataFrame) -> None:
-        cols = [c for c in SCORE_SCHEMA.fieldNames() if c != "created_at"]
-        batch = batch.select(*cols)
+        """Insert or replace the batch's rows; columns that it lacks, or has NULL, take their defaults, and
+        ``created_at`` is the time of this write."""
+        batch = with_defaults(batch).drop("created_at")
         if duplicate_keys(batch, SCORE_KEY).limit(1).count():
             raise ValueError("score batch has more than one row for an (order_id, score_date)")
         dates = [r[0] for r in batch.select("score_date").distinct().collect()]  # days in one batch

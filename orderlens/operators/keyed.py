@@ -19,7 +19,8 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 def one_per_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keep one row per key, deterministically: the smallest row by the remaining columns in order.
 
-    A ``min`` over a struct is a partial aggregate, so duplicates collapse map-side.
+    A ``min`` over a struct is a partial aggregate, so duplicates collapse map-side. Spark plans it as a
+    sort aggregate (a struct is no fixed-width buffer): one sort by the key on each side of the one shuffle.
     """
     keys = _keys(key)
     rest = [c for c in df.columns if c not in keys]
@@ -59,13 +60,14 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order_col: str,
                    columns: Sequence[str] | None = None) -> DataFrame:
     """The row with the greatest ``order_col`` per key (DISTINCT ON … ORDER BY order_col DESC).
 
-    ``max_by`` over a struct is a partial aggregate: one pass, no sort, no per-key list.
+    The greatest value per key is a hash aggregation of two narrow columns, joined back to the rows on
+    key and value; nothing is sorted by anything else. ``(key, order_col)`` must be unique, as it is in
+    a table that is upserted by them. Rows with a NULL key or ``order_col`` are left out.
     """
     keys = _keys(key)
     cols = [c for c in (columns or df.columns) if c not in keys]
-    ordering = F.col(order_col)
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), ordering).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in cols])
+    best = df.groupBy(*keys).agg(F.max(order_col).alias(order_col))
+    return df.join(best, [*keys, order_col]).select(*keys, *cols)
 
 
 def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:

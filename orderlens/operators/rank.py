@@ -1,4 +1,4 @@
-"""Global ordering operators without a single-partition window.
+"""Global ordering operators without a single-partition window, and exact order statistics without a sort.
 
 A plain ``Window.orderBy`` (NTILE, ROW_NUMBER, cumulative sums, exact quantiles of a continuous
 column) makes Catalyst plan ``Exchange SinglePartition``: the whole table in one task. Here the
@@ -32,15 +32,12 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    """Range partitions: as many as the (staged) input has, at least the cluster's cores, at most
-    ``spark.sql.shuffle.partitions``. The staged input's partitions come out of AQE's coalescing at
-    the advisory size (or from the files), so the count follows the data volume."""
+    """Range partitions: as many as the (staged) input has, at least the cluster's cores. The staged
+    input's partitions come out of AQE's coalescing at the advisory size (or from the files), so the count follows the data volume, without an upper bound."""
     if num_partitions:
         return num_partitions
     spark = df.sparkSession
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    floor = spark.sparkContext.defaultParallelism
-    return max(1, min(cap, max(floor, df.rdd.getNumPartitions())))
+    return max(1, spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
 
 
 def range_sorted(df: DataFrame, order: Sequence[Column | str], num_partitions: int | None = None,
@@ -111,33 +108,92 @@ def global_ntile(df: DataFrame, order: Sequence[Column | str], k: int, out: str,
     return numbered.select(*df.columns, ntile_of(F.col("_rank_rn"), n, k).alias(out))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], tiebreak: Sequence[str],
-                    names: Sequence[str] | None = None, num_partitions: int | None = None,
+#: distinct values of a bracket that may come to the driver
+BRACKET_VALUES = 10_000
+
+
+def order_statistics(df: DataFrame, value: str, ranks: Sequence[int], rows: int) -> dict[int, float]:
+    """The values at 0-based ``ranks`` of the ``rows`` non-NULL values of a double column, exactly.
+
+    Nothing is sorted as a whole: an approximate percentile brackets each rank, counts tell how many rows
+    lie below the bracket, and the next round looks inside it only, until a bracket is a single value
+    or has at most ``BRACKET_VALUES`` rows, whose distinct values are then read. Each round narrows a
+    bracket to a few ten-thousandths and is two aggregations over ``df`` (which should be stored).
+    """
+    v = F.col(value)
+    accuracy = 10_000
+    found: dict[int, float] = {}
+    # rank -> (lowest value or None, highest or None, rows below, rows inside)
+    state = {r: (None, None, 0, rows) for r in ranks}
+
+    def inside(lo, hi) -> Column:
+        c = v.isNotNull()
+        c = c if lo is None else c & (v >= F.lit(lo))
+        return c if hi is None else c & (v <= F.lit(hi))
+
+    while state:
+        small = {r: s for r, s in state.items() if s[3] <= BRACKET_VALUES}
+        for r, (lo, hi, below, _) in small.items():
+            at = below
+            for x, n in sorted(tuple(t) for t in df.filter(inside(lo, hi)).groupBy(v).count().collect()):
+                at += n
+                if r < at:
+                    found[r] = x
+                    break
+            del state[r]
+        if not state:
+            break
+        todo = list(state.items())
+        margin = 2.0 / accuracy
+        aggs = [F.percentile_approx(F.when(inside(lo, hi), v), [
+            max(0.0, (r - below) / n - margin), min(1.0, (r - below + 1) / n + margin)], accuracy).alias(f"q{k}")
+            for k, (r, (lo, hi, below, n)) in enumerate(todo)]
+        cuts = df.agg(*aggs).first()
+        counts = []
+        for k in range(len(todo)):
+            lo, hi = cuts[f"q{k}"]
+            counts += [F.count_if(v < F.lit(lo)).alias(f"b{k}"), F.count_if(inside(lo, hi)).alias(f"n{k}")]
+        got = df.agg(*counts).first()
+        for k, (r, (old_lo, old_hi, old_below, _)) in enumerate(todo):
+            lo, hi = cuts[f"q{k}"]
+            below, n = got[f"b{k}"], got[f"n{k}"]
+            if r < below:  # the approximation missed: what lies below the bracket, down to the old one
+                state[r] = (old_lo, lo, old_below, below - old_below + BRACKET_VALUES + 1)
+            elif r >= below + n:
+                state[r] = (hi, old_hi, below + n - df.filter(v == F.lit(hi)).count(), rows)
+            elif lo == hi:
+                found[r] = lo
+                del state[r]
+            else:
+                state[r] = (lo, hi, below, n)
+    return found
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str] | None = None,
                     stage_input: bool = True) -> DataFrame:
     """Exact linearly interpolated quantiles (``percentile_cont``, R type 7) of a continuous column.
 
-    NULLs are ignored. Returns one row with one double column per probability (NULL if no values).
-    Only the rows at the needed positions are read back; nothing is kept in a per-value map.
+    NULLs are ignored. Returns one row with one double column per probability (NULL if no values). See
+    :func:`order_statistics`; with ``stage_input`` the column is checkpointed first, as it is read several
+    times.
     """
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
-    vals = df.select(F.col(value).cast("double").alias("_q_v"), *tiebreak).filter(F.col("_q_v").isNotNull())
-    numbered, n = global_row_number(vals, [F.col("_q_v").asc(), *[F.col(c).asc() for c in tiebreak]],
-                                    "_q_rn", num_partitions, stage_input)
     spark = df.sparkSession
+    vals = df.select(F.col(value).cast("double").alias("_q_v"))
+    if stage_input:
+        checkpoint_dir(spark)
+        vals = vals.checkpoint(eager=True)
+    n = vals.agg(F.count("_q_v")).first()[0]
+    schema = T.StructType([T.StructField(nm, T.DoubleType()) for nm in names])
     if n == 0:
-        schema = T.StructType([T.StructField(nm, T.DoubleType()) for nm in names])
         return spark.createDataFrame([tuple([None] * len(names))], schema)
-    wanted, exprs = set(), []
-    rn, v = F.col("_q_rn"), F.col("_q_v")
-    for p, nm in zip(probs, names):
+    places = []
+    for p in probs:
         h = (n - 1) * float(p)
         lo = int(h // 1)
-        hi = min(lo + 1, n - 1) if h > lo else lo
-        wanted.update({lo + 1, hi + 1})
-        v_lo = F.max(F.when(rn == lo + 1, v))
-        v_hi = F.max(F.when(rn == hi + 1, v))
-        exprs.append((v_lo + F.lit(h - lo) * (v_hi - v_lo)).alias(nm))
-    return numbered.filter(rn.isin(sorted(wanted))).agg(*exprs)
+        places.append((lo, min(lo + 1, n - 1) if h > lo else lo, h - lo))
+    at = order_statistics(vals, "_q_v", sorted({k for x in places for k in x[:2]}), n)
+    return spark.createDataFrame([tuple(at[lo] + part * (at[hi] - at[lo]) for lo, hi, part in places)], schema)
 
 
 def global_cumsum(df: DataFrame, order: Sequence[Column | str], cols: Sequence[str],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import dates as D
@@ -10,10 +10,6 @@ from orderlens.operators.keyed import insert_if_absent, one_per_key
 from orderlens.schema import DW_KEYS, DW_SCHEMAS
 
 
-def empty_dw(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], DW_SCHEMAS[table])
-
-
 def _conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DW_SCHEMAS[table].fields])
 
@@ -61,19 +57,23 @@ ORDER_TIMESTAMPS = ("order_purchase_timestamp", "order_approved_at", "order_deli
 def dim_date(orders: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Calendar of every day that occurs in any of the five order timestamps.
 
-    One scan: the five dates of a row are exploded and de-duplicated by the key aggregation
-    (partial aggregation map-side, so the shuffle carries at most one row per day per task).
+    One scan: the five dates of a row are exploded and made distinct
+    (a hash aggregation, partial map-side, so the shuffle carries at most one row per day per task).
     """
     days = orders.select(F.explode(F.array(*[D.as_date(c) for c in ORDER_TIMESTAMPS])).alias("d"))
-    days = days.filter(F.col("d").isNotNull())
-    rows = days.select(
+    # the other columns follow from the day, so distinct days are all there is to aggregate
+    days = days.filter(F.col("d").isNotNull()).distinct()
+    rows = _conform(days.select(
         F.col("d").alias("date_key"),
         F.year("d").alias("year"),
         F.month("d").alias("month"),
         F.dayofmonth("d").alias("day"),
         D.pg_day_of_week("d").alias("day_of_week"),
-    )
-    return _load(existing, rows, "dim_date")
+    ), "dim_date")
+    if existing is None:
+        return rows
+    have = _conform(existing, "dim_date")
+    return have.unionByName(rows.join(have.select("date_key"), "date_key", "left_anti"))
 
 
 def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:

@@ -235,14 +235,21 @@ def design_matrix(spark, sf_dir):
     return rounded(features.design_matrix(layers(spark, sf_dir).cohort))
 
 
+ABSENT_MONTH, ABSENT_BUCKET = 1, "4-7"
+
+
 @register
 def align_columns(spark, sf_dir):
-    """Design built from the levels present in the data, conformed to the model's full term list."""
+    """A batch in which January (the baseline month) and one bucket don't occur: its design has columns for
+    the levels that do, and is conformed to the model's full term list."""
     from orderlens.model import features
-    cohort = layers(spark, sf_dir).cohort
-    buckets, months = features.observed_levels(cohort)
-    observed = features.design_matrix(cohort, features.design_terms(buckets, months))
-    return rounded(features.align_columns(observed, features.FEATURE_TERMS))
+    from orderlens.schema import DELAY_BUCKET_LEVELS, MONTH_LEVELS
+    buckets = [b for b in DELAY_BUCKET_LEVELS if b != ABSENT_BUCKET]
+    months = [m for m in MONTH_LEVELS if m != ABSENT_MONTH]
+    batch = layers(spark, sf_dir).cohort.filter(
+        (F.col("month") != ABSENT_MONTH) & (F.col("delay_bucket") != ABSENT_BUCKET))
+    part = features.design_matrix(batch, features.observed_terms(buckets, months))
+    return rounded(features.align_columns(part, features.FEATURE_TERMS))
 
 
 # --- scores: deterministic proxy scores over the cohort (SQL-checkable), and the real model ---
@@ -263,11 +270,12 @@ def proxy_store_parts(spark, sf_dir):
     """Existing store: every cohort order scored on day 1 and day 2 (score A). Incoming batches:
     late orders re-scored on day 2 (score B, replaces) and orders 4-14 days late scored on day 3 (new).
     The cohort feeds four batches (each with its own percentile job): it is checkpointed once."""
-    from orderlens.model.score import assemble_scores
+    from orderlens.model.score import assemble_scores, flag_cuts
     c = layers(spark, sf_dir).cohort.checkpoint(eager=True)
     a = proxy_score(c, PROXY_A)
     b = proxy_score(c, PROXY_B)
-    existing = assemble_scores(a, DAY1).unionByName(assemble_scores(a, DAY2))
+    cuts = tuple(flag_cuts(a, stage_input=False).first())  # both days hold the same batch
+    existing = assemble_scores(a, DAY1, cuts=cuts).unionByName(assemble_scores(a, DAY2, cuts=cuts))
     incoming = (assemble_scores(b.filter(F.col("delay_cap") > 0), DAY2)
                 .unionByName(assemble_scores(b.filter(F.col("delay_cap").between(4, 14)), DAY3)))
     return existing, incoming
@@ -283,7 +291,7 @@ def proxy_store(spark, sf_dir):
 def exact_quantile(spark, sf_dir):
     from orderlens.operators.rank import exact_quantiles
     s = proxy_score(layers(spark, sf_dir).cohort)
-    return rounded(exact_quantiles(s, "risk_score", [0.5, 0.9, 0.95, 0.99], ["order_id"]))
+    return rounded(exact_quantiles(s, "risk_score", [0.5, 0.9, 0.95, 0.99]))
 
 
 @register
@@ -331,6 +339,22 @@ def upsert_scores(spark, sf_dir):
     return proxy_store(spark, sf_dir).drop("created_at")
 
 
+@register
+def stored_scores(spark, sf_dir):
+    """The same store through Parquet: written, upserted twice with the re-scores, and read back. The incoming
+    rows come without their thresholds' defaults and version, which the store fills in; ``renewed`` tells the
+    rows of the last write by their ``created_at``."""
+    from orderlens.model.score import ScoreStore
+    from orderlens.session import scratch_path
+    existing, incoming = proxy_store_parts(spark, sf_dir)
+    store = ScoreStore(spark, scratch_path(spark, "stored-scores"))
+    store.upsert(existing)
+    store.upsert(incoming.drop("model_version"))
+    before = store.read().agg(F.max("created_at")).first()[0]
+    store.upsert(incoming.withColumn("model_version", F.lit(None).cast("string")))
+    return store.read().select("*", (F.col("created_at") > F.lit(before)).alias("renewed")).drop("created_at")
+
+
 @register
 def latest_score(spark, sf_dir):
     from orderlens.plans.report import latest_scores

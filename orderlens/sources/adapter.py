@@ -7,7 +7,7 @@ fixture for tests and benches; production input comes through :mod:`orderlens.so
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.schema import MONEY, RAW_SCHEMAS
@@ -21,12 +21,9 @@ def _tpch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _by_order(df: DataFrame, key: str) -> DataFrame:
-    """Adds ``order_id`` (the key as text) and hash-partitions on it, once per table: the item
-    numbering window, every per-order aggregation and the joins on ``order_id`` then reuse this
-    partitioning instead of shuffling again."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.withColumn("order_id", F.col(key).cast("string")).repartition(n, "order_id")
+    """Adds ``order_id``, the key as text. Rows stay where they are: per-order aggregations reduce them
+    before the one shuffle, and AQE can split a join on a hot order."""
+    return df.withColumn("order_id", F.col(key).cast("string"))
 
 
 def _add(ts: Column, unit: str, n: Column) -> Column:
@@ -106,36 +103,16 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), "customers")
 
 
-# a per-order window handles an order in one task; beyond this many lines in one order the items are
-# numbered with the distributed global ranking instead
-MAX_LINES_PER_WINDOW_GROUP = 1_000_000
-_LARGEST_ORDER: dict[tuple[str, str], int] = {}
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate",
               "l_discount", "l_tax", "l_returnflag", "l_linestatus")
 
 
-def largest_order(spark: SparkSession, sf_dir: str) -> int:
-    """Lines in the largest order (one partial aggregation over the key column; memoised per input)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LARGEST_ORDER:
-        li = _tpch(spark, sf_dir, "lineitem")
-        row = li.groupBy("l_orderkey").count().agg(F.max("count")).first()
-        _LARGEST_ORDER[key] = int(row[0] or 0)
-    return _LARGEST_ORDER[key]
-
-
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    from orderlens.operators.rank import row_number_within
-
     li = _by_order(_tpch(spark, sf_dir, "lineitem"), "l_orderkey")
-    # l_linenumber alone is not unique per order: number the lines by their full content
-    if largest_order(spark, sf_dir) <= MAX_LINES_PER_WINDOW_GROUP:
-        numbered = li.select("*", F.row_number().over(Window.partitionBy("order_id").orderBy(*LINE_ORDER))
-                             .alias("order_item_id"))
-    else:
-        numbered = row_number_within(li, "order_id", list(LINE_ORDER), "order_item_id")
+    # l_linenumber alone is not unique per order: number the lines by their full content. Only readers of
+    # order_item_id pay for it; for all others Catalyst drops the window
+    numbered = li.select("*", F.row_number().over(Window.partitionBy("order_id").orderBy(*LINE_ORDER))
+                         .alias("order_item_id"))
     return _conform(numbered.select(
         "order_id", "order_item_id",
         F.col("l_partkey").cast("string").alias("product_id"),

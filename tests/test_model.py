@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from orderlens.model import features, ridge
@@ -28,12 +29,12 @@ def test_design_and_alignment(spark):
     assert dm["b"]["month12"] == 1.0 and dm["b"]["delay_bucket1_3"] == 0.0
     assert len(features.FEATURE_TERMS) == 18
     # a design built only from the levels present lacks most month/bucket columns: aligned -> zeros
-    b, m = features.observed_levels(df)
-    part = features.design_matrix(df, features.design_terms(b, m))
+    part = features.design_matrix(df, features.observed_terms(["0", "1-3"], [3, 12]))
     aligned = features.align_columns(part.withColumn("extra", F.lit(9.0)), features.FEATURE_TERMS)
     assert aligned.columns == ["order_id"] + features.FEATURE_COLUMNS
     row = {r["order_id"]: r for r in aligned.collect()}["a"]
     assert row["month5"] == 0.0 and row["delay_bucket8_14"] == 0.0 and row["delay_bucket1_3"] == 1.0
+    assert row["month3"] == 1.0 and row["month12"] == 0.0  # the baseline is January, though it doesn't occur
 
 
 def test_unknown_month_is_rejected(spark):
@@ -45,6 +46,13 @@ def test_unknown_month_is_rejected(spark):
     raise AssertionError("month 13 accepted")
 
 
+@pytest.mark.parametrize("bucket, month", [(None, 3), ("0", None), ("9-9", 1)])
+def test_null_and_unknown_levels_are_rejected(spark, bucket, month):
+    df = spark.createDataFrame([("a", "0", 1), ("b", bucket, month)], "order_id string, delay_bucket string, month int")
+    with pytest.raises(ValueError):
+        features.check_levels(df)
+
+
 def test_ridge_fit_is_optimal(spark):
     """At Spark's solution the gradient of mean log-loss + lambda/2 * sum((sd_j * beta_j)^2) vanishes."""
     cohort = layers(spark, SF).cohort

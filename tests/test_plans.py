@@ -2,7 +2,9 @@
 
 import contextlib
 import io
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderlens.plans import marts, report
@@ -12,6 +14,16 @@ from orderlens.session import scratch_path
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as for tables that are too large to broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
 def plan(df, mode="formatted") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -19,15 +31,53 @@ def plan(df, mode="formatted") -> str:
     return buf.getvalue()
 
 
-def test_rfm_has_no_window_and_no_single_partition_sort(spark):
-    p = plan(layers(spark, SF).customer_rfm)
-    assert "Window" not in p
-    assert "RangePartitioning" not in p or "SinglePartition" not in p.split("RangePartitioning")[0][-200:]
+def below_exchanges(p: str) -> list[str]:
+    """The operator line under each exchange of a simple plan."""
+    lines = p.splitlines()
+    return [lines[k + 1] for k, line in enumerate(lines) if re.search(r"\bExchange \w", line)]
+
+
+def test_rfm_has_no_window(spark):
+    rfm_plan = plan(layers(spark, SF).customer_rfm, "simple")
+    assert "Window" not in rfm_plan and "SinglePartition" not in rfm_plan.split("Scan ExistingRDD")[0]
 
 
-def test_order_facts_aggregates_partially_before_the_shuffle(spark):
-    p = plan(layers(spark, SF).order_facts)
-    assert "partial_count" in p and "partial_sum" in p and "partial_max" in p
+@pytest.mark.parametrize("name", ["order_facts", "delivery_review"])
+def test_raw_rows_are_aggregated_before_their_only_shuffle(spark, no_broadcast, name):
+    p = plan(getattr(layers(spark, SF), name), "simple")
+    assert "REPARTITION" not in p and "Window" not in p
+    under = below_exchanges(p)
+    if name == "order_facts":  # items and payments reduced; the orders themselves are the rows of the result
+        assert len(under) == 3 and sum("partial_" in x for x in under) == 2
+    else:  # items, orders and reviews reduced
+        assert len(under) == 3 and all("partial_" in x for x in under)
+
+
+def test_days_are_aggregated_before_their_only_shuffle_without_a_sort(spark):
+    from orderlens.plans import warehouse
+    L = layers(spark, SF)
+    for df in (marts.sla_daily(L.sla_orders), warehouse.dim_date(L.raw.orders)):
+        p = plan(df, "simple")
+        assert "REPARTITION" not in p and "SortAggregate" not in p and "hashpartitioning(order_id" not in p
+        assert [("HashAggregate" in x) for x in below_exchanges(p)] == [True]
+
+
+def test_a_hot_order_meets_in_one_row_per_task(spark):
+    """One order holds a third of all items: the shuffle carries at most a row of it from each input file."""
+    from helpers import item, order, raw
+    n = 3000
+    items = [item("hot" if k % 3 == 0 else f"o{k}", k, 1, 1) for k in range(n)]
+    r = raw(spark, orders=[order("hot", "2024-01-01 10:00:00", "2024-01-03 10:00:00", "2024-01-10 00:00:00")], order_items=items)
+    path = scratch_path(spark, "plans-hot")
+    r.order_items.repartition(4).write.parquet(path)
+    df = marts.order_facts(r.orders, spark.read.parquet(path), r.order_payments)
+    p = plan(df, "simple")
+    assert "REPARTITION" not in p and any("partial_count" in x for x in below_exchanges(p))
+    assert df.first()["items_cnt"] == n // 3
+
+
+def test_latest_score_has_no_sort_aggregate(spark):
+    assert "SortAggregate" not in plan(report.latest_scores(_store(spark)), "simple")
 
 
 def test_cohort_prunes_the_item_numbering_window(spark):
