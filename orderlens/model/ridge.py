@@ -1,17 +1,19 @@
 """Ridge (L2) logistic regression with k-fold cross-validation over a lambda path, lambda.min and
-lambda.1se, on Spark ML's distributed optimiser.
+lambda.1se.
 
-Only model coefficients and per-fold losses reach the driver. The held-out loss of every lambda of
-a fold is computed in one aggregation pass (margins as column expressions), not one job per model.
+The path is followed by Newton's steps for all folds at once, each step one pass over the cached design; the
+final models are fitted by Spark ML. Only sums of fixed size per partition and coefficients reach
+the driver.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -25,6 +27,14 @@ from orderlens.schema import CV_FOLDS, MODEL_VERSION, SPLIT_SEED
 # glmnet-style path: lambda_max as for alpha = 0.001, down to ratio * lambda_max
 RIDGE_ALPHA_FOR_LMAX = 0.001
 LAMBDA_MIN_RATIO = 1e-4
+N_LAMBDA = 100
+# Newton's steps along the path: the change of a scaled coefficient that counts as none, the largest that
+# one step makes, and how many steps one lambda may take
+TOLERANCE = 1e-5
+MAX_CHANGE = 2.0
+MAX_STEPS = 50
+# iterations of the final fits
+MAX_ITERATIONS = 1000
 
 
 @dataclass
@@ -69,7 +79,7 @@ def fold_of(id_col: str, folds: int = CV_FOLDS, seed: int = SPLIT_SEED) -> Colum
     return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(folds)).cast("int")
 
 
-def lambda_path(design: DataFrame, label: str, terms: list[str], n_lambda: int = 12,
+def lambda_path(design: DataFrame, label: str, terms: list[str], n_lambda: int = N_LAMBDA,
                 ratio: float = LAMBDA_MIN_RATIO) -> tuple[list[float], int]:
     """Decreasing log-spaced lambdas from lambda_max (glmnet's rule on standardised columns) to
     ratio * lambda_max, and the row count. One aggregation pass over the data."""
@@ -93,77 +103,104 @@ def lambda_path(design: DataFrame, label: str, terms: list[str], n_lambda: int =
     return [lmax * math.exp(step * k) for k in range(n_lambda)], n
 
 
-# rows per partition of the cached training data: each optimiser iteration is one Spark job over
-# it, so tiny partitions cost more in scheduling than they save
-ROWS_PER_PARTITION = 500_000
-
-
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    want = max(1, math.ceil(rows / ROWS_PER_PARTITION))
-    have = df.rdd.getNumPartitions()
-    return df.coalesce(want) if want < have else df
-
-
 def _lr(lam: float, label: str) -> LogisticRegression:
     return LogisticRegression(featuresCol="features", labelCol=label, family="binomial", regParam=lam,
                               elasticNetParam=0.0, standardization=True, fitIntercept=True,
-                              maxIter=100, tol=1e-6)
-
-
-def _mean_logloss(intercept: float, betas: list[float], cols: list[str], label: str) -> Column:
-    m = F.lit(intercept)
-    for b, c in zip(betas, cols):
-        m = m + F.lit(b) * F.col(c)
-    y = F.col(label).cast("double")
-    # log(1 + e^m) - y*m, written to stay finite for large |m|
-    loss = F.log1p(F.exp(-F.abs(m))) + F.greatest(m, F.lit(0.0)) - y * m
-    return F.avg(loss)
+                              maxIter=MAX_ITERATIONS, tol=1e-9)
+
+
+def _moments(data: DataFrame, cols: list[str], folds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows per fold, and the standard deviation of every column over the rows outside each fold."""
+    aggs = [F.count(F.lit(1)).alias("n")] + [f(F.col(c)) for c in cols for f in (F.sum, lambda x: F.sum(x * x))]
+    n, sums = np.zeros(folds), np.zeros((folds, len(cols), 2))
+    for r in data.groupBy("_fold").agg(*aggs).collect():  # a row per fold
+        n[r["_fold"]] = r["n"]
+        sums[r["_fold"]] = np.array(r[2:], float).reshape(-1, 2)
+    rest, rows = sums.sum(0) - sums, (n.sum() - n)[:, None]
+    var = (rest[:, :, 1] - rest[:, :, 0] ** 2 / np.maximum(rows, 1)) / np.maximum(rows - 1, 1)
+    return n, np.sqrt(np.maximum(var, 0))
+
+
+def _pass(data: DataFrame, cols: list[str], label: str, betas: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One pass over the data for the models of all folds: the summed held-out log-loss of each, and the
+    gradient and second derivatives of the summed log-loss over the rows outside its fold. A task sums its
+    partition; one row of fixed size per partition is added up on the driver."""
+    folds, width = betas.shape
+
+    def run(batches):
+        loss, g, h = np.zeros(folds), np.zeros((folds, width)), np.zeros((folds, width, width))
+        for b in batches:
+            x = np.column_stack([np.ones(len(b)), b[cols].to_numpy(float)])
+            y, fold = b[label].to_numpy(float), b["_fold"].to_numpy()
+            for f in range(folds):
+                m = x @ betas[f]
+                out = fold == f
+                mo, yo = m[out], y[out]
+                loss[f] += (np.log1p(np.exp(-np.abs(mo))) + np.maximum(mo, 0) - yo * mo).sum()
+                xi, mi, yi = x[~out], m[~out], y[~out]
+                p = 1 / (1 + np.exp(-np.clip(mi, -500, 500)))
+                g[f] += xi.T @ (p - yi)
+                h[f] += (xi * (p * (1 - p))[:, None]).T @ xi
+        yield pd.DataFrame({"s": [np.concatenate([loss, g.ravel(), h.ravel()])]})
+
+    total = np.zeros(folds * (1 + width + width * width))
+    for r in data.mapInPandas(run, "s array<double>").toLocalIterator():
+        total += np.array(r[0])
+    loss, g, h = np.split(total, [folds, folds * (1 + width)])
+    return loss, g.reshape(folds, width), h.reshape(folds, width, width)
 
 
 def cross_validate(design: DataFrame, label: str = "is_low_review", terms: list[str] | None = None,
-                   id_col: str = "order_id", folds: int = CV_FOLDS, n_lambda: int = 12,
-                   parallelism: int = 4, seed: int = SPLIT_SEED) -> tuple[list[dict], list[float], int]:
-    """Per lambda: mean and standard error of the held-out mean log-loss over the folds; the lambdas;
-    the number of training rows."""
+                   id_col: str = "order_id", folds: int = CV_FOLDS, n_lambda: int = N_LAMBDA,
+                   seed: int = SPLIT_SEED) -> tuple[list[dict], list[float], int]:
+    """Per lambda: mean and standard error, weighted by the folds' sizes, of the held-out mean log-loss; the
+    lambdas; the number of training rows.
+
+    The models of all folds go down the path together, each from its solution at the lambda before: a
+    Newton step is one pass over the one cached frame, and along the path one or two steps do. A
+    step that would change a scaled coefficient by more than ``MAX_CHANGE`` is shortened. A lambda that has not settled after
+    ``MAX_STEPS`` passes raises.
+    """
     terms = list(terms or FEATURE_TERMS)
     cols = [term_column(t) for t in terms]
     lambdas, rows = lambda_path(design, label, terms, n_lambda)
-    assembler = VectorAssembler(inputCols=cols, outputCol="features")
-    data = assembler.transform(design.select(id_col, label, *cols).withColumn("_fold", fold_of(id_col, folds, seed)))
+    data = design.select(F.col(label).cast("double").alias(label), *cols, fold_of(id_col, folds, seed).alias("_fold"))
     # deterministic lineage (hash folds): a lost cached block is recomputed identically
-    data = _sized(data, rows).persist(StorageLevel.MEMORY_AND_DISK)
-    data.count()  # materialise once before the parallel fits read it
-    train_sets = {f: data.filter(F.col("_fold") != f).persist(StorageLevel.MEMORY_AND_DISK) for f in range(folds)}
-
-    def fit(job):
-        f, lam = job
-        m = _lr(lam, label).fit(train_sets[f])
-        return f, lam, float(m.intercept), [float(b) for b in m.coefficients.toArray()]
-
-    # fits are small Spark jobs each: a few at a time keep the scheduler busy without contention
-    jobs = [(f, lam) for f in range(folds) for lam in lambdas]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        fitted = list(ex.map(fit, jobs))
-    losses: dict[tuple[int, float], float] = {}
-    for f in range(folds):
-        mine = [x for x in fitted if x[0] == f]
-        held = data.filter(F.col("_fold") == f)
-        row = held.agg(*[_mean_logloss(b0, bs, cols, label).alias(f"l{i}")
-                         for i, (_, _, b0, bs) in enumerate(mine)]).first()
-        for i, (_, lam, _, _) in enumerate(mine):
-            if row[f"l{i}"] is not None:
-                losses[(f, lam)] = float(row[f"l{i}"])
-    for t in train_sets.values():
-        t.unpersist()
-    data.unpersist()
-    table = []
-    for lam in lambdas:
-        vals = [losses[(f, lam)] for f in range(folds) if (f, lam) in losses]
-        k = len(vals)
-        mean = sum(vals) / k
-        sd = math.sqrt(sum((v - mean) ** 2 for v in vals) / k)
-        table.append({"lambda": lam, "mean_logloss": mean, "se_logloss": sd / math.sqrt(max(k - 1, 1)),
-                      "folds": k})
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n, sd = _moments(data, cols, folds)
+        used = n.sum() - n
+        live = sd > 0  # a column that is constant outside a fold keeps the coefficient 0, as its scale is unknown
+        scale = np.where(live, sd, 1.0)
+        betas = np.zeros((folds, len(cols) + 1))
+        table = []
+        for lam in lambdas:
+            for _ in range(MAX_STEPS):
+                loss, g, h = _pass(data, cols, label, betas)
+                change = 0.0
+                for f in range(folds):
+                    if not used[f]:
+                        continue
+                    penalty = np.concatenate([[0.0], lam * scale[f] ** 2])
+                    grad = g[f] / used[f] + penalty * betas[f]
+                    hess = h[f] / used[f] + np.diag(penalty)
+                    free = np.concatenate([[True], live[f]])
+                    step = np.zeros(len(free))
+                    step[free] = np.linalg.solve(hess[np.ix_(free, free)] + 1e-12 * np.eye(free.sum()), grad[free])
+                    size = np.abs(step * np.concatenate([[1.0], scale[f]])).max()
+                    betas[f] -= step * min(1.0, MAX_CHANGE / size) if size else step
+                    change = max(change, size)
+                if change < TOLERANCE:
+                    break
+            else:
+                raise RuntimeError(f"lambda {lam:g} has not settled after {MAX_STEPS} passes (last change {change:g})")
+            held = n > 0
+            means, weight = loss[held] / n[held], n[held] / n.sum()
+            mean, k = float((weight * means).sum()), int(held.sum())
+            spread = float((weight * (means - mean) ** 2).sum())
+            table.append({"lambda": lam, "mean_logloss": mean, "se_logloss": math.sqrt(spread / max(k - 1, 1)), "folds": k})
+    finally:
+        data.unpersist()
     return table, lambdas, rows
 
 
@@ -176,15 +213,17 @@ def choose_lambdas(table: list[dict]) -> tuple[float, float]:
 
 
 def fit_ridge(design: DataFrame, lam: float, label: str = "is_low_review",
-                 terms: list[str] | None = None, rows: int | None = None) -> PipelineModel:
+              terms: list[str] | None = None) -> PipelineModel:
+    """The model at one lambda; raises if the optimiser stops at its limit of iterations."""
     cols = [term_column(t) for t in (terms or FEATURE_TERMS)]
     pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"), _lr(lam, label)])
-    data = design.select(label, *cols)
-    if rows is not None:
-        data = _sized(data, rows)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = design.select(label, *cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return pipe.fit(data)
+        model = pipe.fit(data)
+        done = model.stages[-1].summary.totalIterations
+        if done >= MAX_ITERATIONS:
+            raise RuntimeError(f"the fit at lambda {lam:g} has not settled after {done} iterations")
+        return model
     finally:
         data.unpersist()
 
@@ -194,13 +233,13 @@ def train_ridge(design: DataFrame, label: str = "is_low_review", terms: list[str
     """Cross-validate, then fit on all of ``design`` at lambda.1se and at lambda.min.
     Returns (model at ``use``, model at the other lambda)."""
     terms = list(terms or FEATURE_TERMS)
-    table, _, rows = cross_validate(design, label, terms, **cv_args)
+    table, _, _ = cross_validate(design, label, terms, **cv_args)
     lmin, l1se = choose_lambdas(table)
     for r in table:
         r["is_min"] = r["lambda"] == lmin
         r["is_1se"] = r["lambda"] == l1se
-    p1 = fit_ridge(design, l1se, label, terms, rows)
-    p0 = p1 if lmin == l1se else fit_ridge(design, lmin, label, terms, rows)
+    p1 = fit_ridge(design, l1se, label, terms)
+    p0 = p1 if lmin == l1se else fit_ridge(design, lmin, label, terms)
     m1 = RidgeModel(terms, p1, l1se, lmin, l1se, cv=table)
     m0 = RidgeModel(terms, p0, lmin, lmin, l1se, cv=table)
     return (m1, m0) if use == "lambda.1se" else (m0, m1)

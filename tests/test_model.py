@@ -53,22 +53,48 @@ def test_null_and_unknown_levels_are_rejected(spark, bucket, month):
         features.check_levels(df)
 
 
-def test_ridge_fit_is_optimal(spark):
-    """At Spark's solution the gradient of mean log-loss + lambda/2 * sum((sd_j * beta_j)^2) vanishes."""
-    cohort = layers(spark, SF).cohort
-    design = features.design_matrix(cohort, keep=("order_id", "is_low_review"))
-    lam = 0.05
-    model = ridge.fit_ridge(design, lam)
-    lr = model.stages[-1]
-    pdf = design.toPandas()
-    X = pdf[features.FEATURE_COLUMNS].to_numpy(float)
-    y = pdf["is_low_review"].to_numpy(float)
-    b0, b = lr.intercept, lr.coefficients.toArray()
+def _gradient(X, y, b0, b, lam, sd):
     p = 1 / (1 + np.exp(-(b0 + X @ b)))
-    sd = X.std(axis=0, ddof=1)
-    grad = X.T @ (p - y) / len(y) + lam * sd ** 2 * b
-    grad0 = np.mean(p - y)
-    assert np.max(np.abs(grad)) < 1e-4 and abs(grad0) < 1e-4
+    return np.append(X.T @ (p - y) / len(y) + lam * sd**2 * b, np.mean(p - y))
+
+
+def test_full_path_and_optimal_fits(spark):
+    """100 lambdas; at the fits for lambda.min, lambda.1se and a larger lambda the gradient of the mean log-loss +
+    lambda/2 * sum((sd_j * beta_j)^2) vanishes; held-out losses equal those of refits in numpy, weighted by
+    the folds' sizes."""
+    cohort = layers(spark, SF).cohort
+    design = features.design_matrix(cohort, keep=("order_id", "is_low_review")).checkpoint()
+    table, lambdas, rows = ridge.cross_validate(design)
+    assert len(table) == len(lambdas) == 100 and lambdas == sorted(lambdas, reverse=True)
+    lmin, l1se = ridge.choose_lambdas(table)
+    pdf = design.withColumn("_fold", ridge.fold_of("order_id")).toPandas()
+    assert rows == len(pdf)
+    X, y = pdf[features.FEATURE_COLUMNS].to_numpy(float), pdf["is_low_review"].to_numpy(float)
+    for lam in (lmin, l1se, 0.05):
+        lr = ridge.fit_ridge(design, lam).stages[-1]
+        assert np.max(np.abs(_gradient(X, y, lr.intercept, lr.coefficients.toArray(), lam, X.std(axis=0, ddof=1)))) < 1e-5
+    for r in (table[0], table[50], table[99]):
+        total = 0.0
+        for f in range(5):
+            inside = (pdf["_fold"] != f).to_numpy()
+            Xi, yi = np.column_stack([np.ones(inside.sum()), X[inside]]), y[inside]
+            sd = X[inside].std(axis=0, ddof=1)
+            beta = np.zeros(Xi.shape[1])
+            pen = np.append(0.0, r["lambda"] * sd**2)
+            for _ in range(50):
+                p = 1 / (1 + np.exp(-Xi @ beta))
+                h = (Xi * (p * (1 - p))[:, None]).T @ Xi / len(yi) + np.diag(pen) + 1e-10 * np.eye(len(beta))
+                beta = beta - np.linalg.solve(h, Xi.T @ (p - yi) / len(yi) + pen * beta)
+            m = np.column_stack([np.ones((~inside).sum()), X[~inside]]) @ beta
+            total += float((np.logaddexp(0, m) - y[~inside] * m).sum())
+        assert abs(total / len(y) - r["mean_logloss"]) < 1e-6
+
+
+def test_path_that_does_not_settle_raises(spark, monkeypatch):
+    monkeypatch.setattr(ridge, "MAX_STEPS", 1)
+    design = features.design_matrix(layers(spark, SF).cohort, keep=("order_id", "is_low_review"))
+    with pytest.raises(RuntimeError, match="not settled"):
+        ridge.cross_validate(design, n_lambda=2)
 
 
 def test_choose_lambdas_one_se_rule():
