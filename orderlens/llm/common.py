@@ -34,6 +34,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def id_as_text(df: DataFrame) -> DataFrame:
+    """``doc_id`` as text, for frames that go through pandas: a whole number beside a NULL would become
+    floating point there and lose its last digits."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def id_back(df: DataFrame, kind: str) -> DataFrame:
+    return df.withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that learning never sees: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import cut, held_out, read, unit_hash
+from orderlens.llm.common import cut, held_out, id_as_text, id_back, read, unit_hash
 
 #: documents, about, that frequencies are learned from
 SAMPLE_ROWS = 20_000
@@ -167,7 +167,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return rows.mapInPandas(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    found = id_as_text(rows).mapInPandas(run, "doc_id string, held_out boolean, lang_pred string, score double")
+    return id_back(found, kind)
 
 
 def op1_langid(spark, sf_dir: str) -> DataFrame:

@@ -277,8 +277,10 @@ def extract(pages: DataFrame) -> DataFrame:
 
     kind = pages.schema["page_id"].dataType.simpleString()
     url = pages.schema["url"].dataType.simpleString()
-    out = pages.select("page_id", "url", "html").mapInPandas(run, f"page_id {kind}, url {url}, text string")
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    # page_id as text: pandas would turn whole numbers beside a NULL to floating point
+    rows = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html")
+    out = rows.mapInPandas(run, f"page_id string, url {url}, text string")
+    return out.withColumn("page_id", F.col("page_id").cast(kind)).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op10_pagetext(spark, sf_dir: str) -> DataFrame:

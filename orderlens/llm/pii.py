@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from orderlens.llm.common import read, unit_hash
+from orderlens.llm.common import id_as_text, id_back, read, unit_hash
 
 KINDS = ("email", "ip", "card", "phone")
 #: documents, about, whose pattern matches the tagger is trained on, and examples made of them at most
@@ -500,7 +500,9 @@ def detect(docs: DataFrame, tagger: Tagger) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, {counts}, base_sha256 string, spans string, n_added long")
+    found = id_as_text(docs.select("doc_id", "text")).mapInPandas(
+        run, f"doc_id string, {counts}, base_sha256 string, spans string, n_added long")
+    return id_back(found, kind)
 
 
 def redacted(text: str | None, spans: list[Span]) -> str | None:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import cut, read
+from orderlens.llm.common import cut, id_as_text, id_back, read
 from orderlens.llm.graph import components
 
 SHINGLE = 3
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fps.view(np.int64)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, fp long")
+    return id_back(id_as_text(docs.select("doc_id", "text")).mapInPandas(run, "doc_id string, fp long"), kind)
 
 
 def _gray_rank(x: Column) -> Column:

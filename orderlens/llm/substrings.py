@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import cut, read, stage
+from orderlens.llm.common import cut, id_as_text, id_back, read, stage
 from orderlens.llm.suffix import cover_runs, fingerprints, mix, prefixes
 
 LENGTH = 200
@@ -244,7 +244,10 @@ def _in_large_buckets(members: DataFrame) -> DataFrame:
     sent = members.repartition(n, "source").sortWithinPartitions("source").mapInPandas(
         send, "target long, source long, ranks binary, twice binary")
     answers = sent.repartition(n, "target").sortWithinPartitions("target").mapInPandas(answer, "source long, ranks binary")
-    both = members.withColumn("ranks", F.lit(None).cast("binary")).unionByName(answers, allowMissingColumns=True)
+    # no NULL numbers: pandas would turn the column to floating point and lose the last bits
+    answers = answers.select(F.lit(None).cast(kind).alias("doc_id"), *[F.lit(0).cast("long").alias(c) for c in ("th", "rank", "at")],
+                             F.lit(False).alias("open"), F.lit(None).cast("binary").alias("bytes"), "source", "ranks")
+    both = members.withColumn("ranks", F.lit(None).cast("binary")).unionByName(answers)
     return both.repartition(n, "source").sortWithinPartitions("source").mapInPandas(
         receive, f"doc_id {kind}, th long, start long, end long")
 
@@ -260,8 +263,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     strings, so of each such row all goes that is long enough; no rows: no rows. Columns besides doc_id
     and text are not read. Texts with one doc_id are told apart by a 64-bit hash.
     """
-    kind = _key_type(docs)
-    docs = docs.select("doc_id", "text")
+    id_kind, docs = _key_type(docs), id_as_text(docs.select("doc_id", "text"))
+    kind = "string"
     # only where ids repeat do texts have to be told apart
     unique = docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
     keyed = docs.select("doc_id", (F.lit(0) if unique else F.xxhash64("text")).cast("long").alias("th"), "text")
@@ -334,7 +337,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rest = pending.join(more, pending["doc_id"].eqNullSafe(more["_id"]) & (pending["th"] == more["_th"]), "left")
-    return done.unionByName(rest.select("doc_id", "packed", "spans", "more").mapInPandas(finish, f"doc_id {kind}, {_STATE}"))
+    rest = rest.select("doc_id", "packed", "spans", "more").mapInPandas(finish, f"doc_id {kind}, {_STATE}")
+    return id_back(done.unionByName(rest), id_kind)
 
 
 def op8_substrings(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import read
+from orderlens.llm.common import id_as_text, id_back, read
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -238,7 +238,7 @@ def with_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    counted = rows.mapInPandas(run, f"doc_id {kind}, n_bytes long, n_tokens long")
+    counted = id_back(id_as_text(rows).mapInPandas(run, "doc_id string, n_bytes long, n_tokens long"), kind)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
