@@ -101,16 +101,27 @@ def recent_delivered_days(sla: DataFrame, n: int = 10) -> DataFrame:
             .orderBy(F.col("delivered_date").desc()).limit(n))
 
 
+#: NOT NULL columns of the score table, beside ``created_at``
+SCORE_NOT_NULL = ("order_id", "score_date", "risk_score", "risk_flag", "threshold_green", "threshold_red", "model_version")
+
+
+def score_checks(store: DataFrame) -> dict[str, DataFrame]:
+    """Primary key and NOT NULL columns of the score table."""
+    columns = [*SCORE_NOT_NULL, *(["created_at"] if "created_at" in store.columns else [])]
+    return {"score_duplicate_keys": duplicate_key_counts({"sla_risk_scoring": (store, ["order_id", "score_date"])}),
+            "score_not_null": null_counts({"sla_risk_scoring": (store, columns)})}
+
+
 def gate(checks: Mapping[str, DataFrame]) -> None:
     """Fail when any check frame has a row with a non-zero ``duplicate_keys`` / ``null_cnt`` /
-    ``negative_recency`` / ``null_customer_id`` value. Each frame is small (one row per table)."""
+    ``negative_recency`` / ``null_customer_id`` value, or with other numbers of records and of keys. Each
+    frame is small (one row per table or column)."""
     bad = []
     for name, df in checks.items():
-        cols = [c for c in ("duplicate_keys", "null_cnt", "negative_recency", "null_customer_id") if c in df.columns]
-        if not cols:
-            continue
-        cond = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in cols])
-        rows = df.filter(cond).limit(20).collect()
-        bad.extend(f"{name}: {r.asDict()}" for r in rows)
+        conds = [F.col(c) > 0 for c in ("duplicate_keys", "null_cnt", "negative_recency", "null_customer_id") if c in df.columns]
+        if "distinct_pk" in df.columns:
+            conds.append(F.col("total_records") != F.col("distinct_pk"))
+        if conds:
+            bad.extend(f"{name}: {r.asDict()}" for r in df.filter(reduce(lambda a, b: a | b, conds)).collect())
     if bad:
         raise ValueError("data-quality gate failed:\n" + "\n".join(bad))

@@ -20,6 +20,7 @@ from orderlens.model.score import ScoreStore, assemble_scores, predict, run_summ
 from orderlens.operators.keyed import insert_if_absent_rows
 from orderlens.plans import marts, quality, report, rfm, warehouse
 from orderlens.schema import DW_KEYS
+from orderlens.session import delete_path, scratch_path
 from orderlens.sources.adapter import RawTables
 from orderlens.sources.tables import Layer
 
@@ -34,8 +35,7 @@ class RunResult:
 
 
 def build_warehouse(raw: RawTables, dw: Layer, result: RunResult) -> None:
-    """Dimensions: insert-if-absent against the stored dimension (kept rows never change).
-    Fact: full refresh."""
+    """Dimensions: insert-if-absent against the stored dimension (kept rows never change)."""
     builders = {
         "dim_customer": lambda: warehouse.dim_customer(raw.customers),
         "dim_sellers": lambda: warehouse.dim_sellers(raw.sellers),
@@ -50,13 +50,13 @@ def build_warehouse(raw: RawTables, dw: Layer, result: RunResult) -> None:
         else:
             dw.overwrite(name, fresh)
         result.tables[name] = dw.path(name)
-    dw.overwrite("fact_order_items", warehouse.fact_order_items(raw.order_items, raw.orders))
-    result.tables["fact_order_items"] = dw.path("fact_order_items")
 
 
-def build_marts(raw: RawTables, dw: Layer, mart: Layer, result: RunResult) -> dict[str, DataFrame]:
-    fact = dw.read("fact_order_items")
+def build_marts(raw: RawTables, mart: Layer) -> dict[str, DataFrame]:
+    """The item fact and the marts, written to ``mart`` (a staging layer: the gate comes before publishing)."""
     out = {}
+    fact = out["fact_order_items"] = mart.overwrite(
+        "fact_order_items", warehouse.fact_order_items(raw.order_items, raw.orders))
     out["order_facts"] = mart.overwrite("order_facts", marts.order_facts(raw.orders, raw.order_items, raw.order_payments))
     out["customer_rfm"] = mart.overwrite("customer_rfm", rfm.customer_rfm(out["order_facts"], raw.customers))
     out["sla_orders"] = mart.overwrite("sla_orders", marts.sla_orders(out["order_facts"]))
@@ -64,13 +64,21 @@ def build_marts(raw: RawTables, dw: Layer, mart: Layer, result: RunResult) -> di
     out["sla_delivered_daily"] = mart.overwrite("sla_delivered_daily", marts.sla_delivered_daily(out["sla_orders"]))
     out["item_facts"] = mart.overwrite("item_facts", marts.item_facts(fact))
     out["delivery_review"] = mart.overwrite("delivery_review", marts.delivery_review(fact, raw.order_reviews))
-    for name in out:
-        result.tables[name] = mart.path(name)
+    return out
+
+
+def publish(staged: dict[str, DataFrame], dw: Layer, mart: Layer, result: RunResult) -> dict[str, DataFrame]:
+    """Full refresh of the fact and the marts from tables that passed the gate."""
+    out = {}
+    for name, df in staged.items():
+        layer = dw if name == "fact_order_items" else mart
+        out[name] = layer.overwrite(name, df)
+        result.tables[name] = layer.path(name)
     return out
 
 
 def quality_checks(dw: Layer, m: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    fact = dw.read("fact_order_items")
+    fact = m["fact_order_items"]
     return {
         "fact_profile": quality.fact_profile(fact),
         "dim_keys": quality.key_profile({n: (dw.read(n), DW_KEYS[n][0]) for n in
@@ -98,12 +106,15 @@ def run(spark: SparkSession, raw: RawTables, out_dir: str, score_date: dt.date |
     result = RunResult()
     dw, mart = Layer(spark, os.path.join(out_dir, "dw")), Layer(spark, os.path.join(out_dir, "mart"))
     build_warehouse(raw, dw, result)
-    m = build_marts(raw, dw, mart, result)
-
-    checks = quality_checks(dw, m)
-    result.checks = checks
+    staging = Layer(spark, scratch_path(spark, "run-staging"))
+    staged = build_marts(raw, staging)
+    # every check is evaluated and stored; bad data stops here, with the published tables as they were
+    qa = Layer(spark, os.path.join(out_dir, "qa"))
+    result.checks = {name: qa.overwrite(name, df) for name, df in quality_checks(dw, staged).items()}
     if gate:
-        quality.gate({k: checks[k] for k in ("duplicate_keys", "not_null", "rfm_profile")})
+        quality.gate(result.checks)
+    m = publish(staged, dw, mart, result)
+    delete_path(spark, staging.root)
 
     enriched = marts.sla_order_enriched(m["sla_orders"], m["delivery_review"])
     cohort = marts.model_cohort(enriched)
@@ -122,6 +133,10 @@ def run(spark: SparkSession, raw: RawTables, out_dir: str, score_date: dt.date |
     batch = assemble_scores(predict(model, cohort), day, model.version, mode=flag_mode)
     store = ScoreStore(spark, os.path.join(out_dir, "mart", "sla_risk_scoring"))
     store.upsert(batch)
+    stored = quality.score_checks(store.read())
+    result.checks.update({name: qa.overwrite(name, df) for name, df in stored.items()})
+    if gate:
+        quality.gate({name: result.checks[name] for name in stored})
     result.tables["sla_risk_scoring"] = store.path
     s = run_summary(store.read().filter(F.col("score_date") == F.lit(day))).first()
     if s is not None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -174,17 +174,41 @@ def qa_dim_keys(spark, sf_dir):
 def qa_duplicate_keys(spark, sf_dir):
     L = layers(spark, sf_dir)
     return quality.duplicate_key_counts({
+        "dim_customer": (warehouse.dim_customer(L.raw.customers), ["customer_id"]),
+        "dim_sellers": (warehouse.dim_sellers(L.raw.sellers), ["seller_id"]),
+        "dim_products": (warehouse.dim_products(L.raw.products, L.raw.category_translation), ["product_id"]),
+        "dim_date": (warehouse.dim_date(L.raw.orders), ["date_key"]),
         "fact_order_items": (L.fact_order_items, ["order_id", "order_item_id"]),
         "order_facts": (L.order_facts, ["order_id"]),
         "item_facts": (marts.item_facts(L.fact_order_items), ["order_id", "order_item_id"]),
         "delivery_review": (L.delivery_review, ["order_id"]),
+        "sla_risk_scoring": (proxy_store(spark, sf_dir), ["order_id", "score_date"]),
     })
 
 
 @register
 def qa_nulls(spark, sf_dir):
     L = layers(spark, sf_dir)
-    return quality.null_counts({"fact_order_items": (L.fact_order_items, ["order_id", "order_item_id"])})
+    return quality.null_counts({"fact_order_items": (L.fact_order_items, ["order_id", "order_item_id"]),
+                                "sla_risk_scoring": (proxy_store(spark, sf_dir), quality.SCORE_NOT_NULL)})
+
+
+def dirty_fact(fact: DataFrame) -> DataFrame:
+    """The item fact with faults: second items twice, and third items again without their order."""
+    twice = fact.filter(F.col("order_item_id") == 2)
+    lost = fact.filter(F.col("order_item_id") == 3).withColumn("order_id", F.lit(None).cast("string"))
+    return fact.unionByName(twice).unionByName(lost)
+
+
+@register
+def qa_dirty_keys(spark, sf_dir):
+    """The key checks on a fact that does have faults."""
+    return quality.duplicate_key_counts({"dirty_fact": (dirty_fact(layers(spark, sf_dir).fact_order_items), ["order_id", "order_item_id"])})
+
+
+@register
+def qa_dirty_nulls(spark, sf_dir):
+    return quality.null_counts({"dirty_fact": (dirty_fact(layers(spark, sf_dir).fact_order_items), ["order_id", "order_item_id"])})
 
 
 @register
@@ -475,12 +499,36 @@ def model_evaluation(spark, sf_dir):
     return conf.select(F.lit(a0).alias("auc_lambda_min"), F.lit(a1).alias("auc_lambda_1se"), "*")
 
 
+#: the tables of a whole run, and the columns that their checksums cover
+RUN_TABLES = {
+    "dim_customer": ("customer_id", "customer_city"), "dim_sellers": ("seller_id", "seller_city"),
+    "dim_products": ("product_id", "product_category_name_english"), "dim_date": ("date_key", "day_of_week"),
+    "fact_order_items": ("order_id", "order_item_id", "price"), "order_facts": ("order_id", "gmv", "is_late"),
+    "customer_rfm": ("customer_id", "monetary_value", "rfm_score"), "sla_orders": ("order_id", "days_late"),
+    "sla_daily": ("purchase_date", "orders_cnt", "late_cnt"), "sla_delivered_daily": ("delivered_date", "delivered_cnt", "late_cnt"),
+    "item_facts": ("order_id", "order_item_id", "item_total"), "delivery_review": ("order_id", "review_score", "delivery_delay_days"),
+    "sla_risk_scoring": ("order_id", "score_date"), "sla_wbr_weekly": ("week_start", "delivered_cnt", "late_cnt", "scored_cnt"),
+}
+
+
+def checksum(columns) -> Column:
+    """The sum over all rows of 32 bits of an MD5 of the columns as text."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+    return F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"))
+
+
 @register
 def full_run(spark, sf_dir):
-    """The whole run (warehouse, marts, gate, model, scores, weekly report) into a fresh folder under
-    the checkpoint directory; returns the stored daily SLA mart read back from Parquet."""
+    """The whole run (warehouse, gate, marts, model, scores, weekly report) into a fresh folder under
+    the checkpoint directory: rows and checksum of each of its 14 stored tables, read back from Parquet."""
+    from functools import reduce
+
     from orderlens.plans import runner
-    from orderlens.session import scratch_path
+    from orderlens.session import delete_path, scratch_path
     out = scratch_path(spark, "full-run")
-    runner.run(spark, from_testdata(spark, sf_dir), out, score_date=DAY1)
-    return rounded(spark.read.parquet(f"{out}/mart/sla_daily"))
+    res = runner.run(spark, from_testdata(spark, sf_dir), out, score_date=DAY1)
+    parts = [spark.read.parquet(res.tables[t]).agg(F.lit(t).alias("t"), F.count(F.lit(1)).alias("n_rows"), checksum(c).alias("checksum"))
+             for t, c in RUN_TABLES.items()]
+    found = reduce(DataFrame.unionByName, parts).checkpoint(eager=True)  # a row per table
+    delete_path(spark, out)
+    return found
