@@ -67,7 +67,8 @@ def _counts(sample: DataFrame) -> DataFrame:
                         for w, k in words.items():
                             for g in grams_of(w, n):
                                 c[g] += k
-                    yield pd.DataFrame({"n": n, "gram": list(c), "lang": lang, "count": list(c.values())})
+                    if c:
+                        yield pd.DataFrame({"n": n, "gram": list(c), "lang": [lang] * len(c), "count": list(c.values())})
 
     counts = sample.mapInPandas(run, "n int, gram string, lang string, count long")
     return counts.groupBy("n", "gram", "lang").agg(F.sum("count").alias("count"))
