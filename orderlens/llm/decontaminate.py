@@ -37,7 +37,7 @@ UNITS = ("km", "m", "cm", "mm", "mi", "miles", "mile", "ft", "feet", "foot", "in
          "lb", "lbs", "pounds", "pound", "oz", "tons", "l", "ml", "liters", "litres", "gallons", "s", "sec", "seconds",
          "second", "min", "minutes", "minute", "h", "hours", "hour", "days", "day", "weeks", "week", "months", "month",
          "years", "year", "percent", "dollars", "dollar", "cents", "euros", "euro", "degrees", "mph", "kmh", "watts")
-_NUMBER = re.compile(rf"(?<!\w)(?P<n>\d+(?:[.,:/]\d+)*)(?!\d)(?:\s?(?P<u>%|°|€|\$|(?:{'|'.join(UNITS)})\b))?")
+_NUMBER = re.compile(rf"(?<!\w)(?P<n>\d+(?:[.,:/]\d+)*)(?!\d)(?:\s?(?P<u>%|°|€|\$|(?:{'|'.join(UNITS)})\b))?", re.IGNORECASE)
 _DIGIT = re.compile(r"\d")
 _CAPITAL = re.compile(r" ([A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]\w*)")
 _MARKS = re.compile(f"[{NUM}{NAME}{UNIT}]")

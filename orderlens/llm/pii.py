@@ -372,7 +372,8 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) ->
                 spans = base_spans(text)
                 for k, (_, x, y) in enumerate(spans):
                     out.append((u + k * 1e-9, text[max(0, x - 40):y + 40]))
-            yield pd.DataFrame(out, columns=["u", "snippet"])
+            if out:
+                yield pd.DataFrame(out, columns=["u", "snippet"])
 
     u = unit_hash(seed, F.col("doc_id"))
     sample = docs.select(u.alias("u"), "text").filter((F.col("u") < sample_rows / max(n, 1)) & F.col("text").isNotNull())

@@ -83,7 +83,8 @@ def _count_terms(sample: DataFrame) -> DataFrame:
             for text, toxic in zip(b["text"], b["toxic"], strict=True):
                 for t in terms_of(text):
                     n[t][toxic] += 1
-            yield pd.DataFrame({"term": list(n), "clean": [v[0] for v in n.values()], "toxic": [v[1] for v in n.values()]})
+            if n:
+                yield pd.DataFrame({"term": list(n), "clean": [v[0] for v in n.values()], "toxic": [v[1] for v in n.values()]})
 
     rows = sample.select("text", F.col("toxic").cast("int").alias("toxic"))
     return rows.mapInPandas(run, "term string, clean long, toxic long").groupBy("term").agg(
@@ -345,8 +346,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         s = Scorer(Model(sent.value))
         for b in batches:
             words = {w for text in b["text"] for t in set((text or "").lower().split()) for w, e in s.near(t) if e > 1}
-            yield pd.DataFrame([(w, t) for w in sorted(words) for t in sorted(s.matcher.near_terms(w))],
-                               columns=["word", "term"], dtype=object)
+            pairs = [(w, t) for w in sorted(words) for t in sorted(s.matcher.near_terms(w))]
+            if pairs:
+                yield pd.DataFrame(pairs, columns=["word", "term"])
 
     clean = sample.filter((F.col("toxic") == 0) & (F.col("half") == 0)).select("text").mapInPandas(near_words, "word string, term string")
     near = clean.distinct().collect()  # bounded by the sample
