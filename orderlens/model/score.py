@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions.rules import risk_flag, round_half_up
-from orderlens.model.features import FEATURE_TERMS, align_columns, design_matrix
+from orderlens.model.features import FEATURE_TERMS, align_columns, design_matrix, term_column
 from orderlens.model.ridge import RidgeModel
 from orderlens.operators.keyed import duplicate_keys, upsert_merge
 from orderlens.operators.rank import exact_quantiles
@@ -31,6 +31,16 @@ def predict(model: RidgeModel, cohort: DataFrame, id_col: str = "order_id") -> D
     return out.select(id_col, vector_to_array("probability")[1].alias("risk_score"))
 
 
+def predict_linear(intercept: float, betas: dict[str, float], cohort: DataFrame, id_col: str = "order_id") -> DataFrame:
+    """``order_id, risk_score`` from a plain table of coefficients (term -> beta), as column expressions;
+    terms that the model lacks count as zero."""
+    design = align_columns(design_matrix(cohort, FEATURE_TERMS, keep=(id_col,)), FEATURE_TERMS, keep=(id_col,))
+    margin = F.lit(float(intercept))
+    for term in FEATURE_TERMS:
+        margin = margin + F.lit(float(betas.get(term, 0.0))) * F.col(term_column(term))
+    return design.select(id_col, (1 / (1 + F.exp(-margin))).alias("risk_score"))
+
+
 def flag_cuts(scored: DataFrame, score_col: str = "risk_score", stage_input: bool = True) -> DataFrame:
     """One row: ``amber_cut`` (P90) and ``red_cut`` (P95) of the batch, exact, type-7 interpolation."""
     return exact_quantiles(scored, score_col, [AMBER_PERCENTILE, RED_PERCENTILE],

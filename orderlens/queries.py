@@ -420,6 +420,33 @@ def delay_summary(spark, sf_dir):
     return rounded(report.delay_summary(layers(spark, sf_dir).cohort))
 
 
+# --- scoring and effects with a declared coefficient vector, which SQL can follow ---
+DECLARED_INTERCEPT = -1.5
+
+
+def declared_betas() -> dict[str, float]:
+    """-0.2 to 0.2 in turn over the model's terms."""
+    from orderlens.model.features import FEATURE_TERMS
+    return {t: (k % 5 - 2) / 10 for k, t in enumerate(FEATURE_TERMS)}
+
+
+@register
+def declared_scores(spark, sf_dir):
+    """A daily batch scored with the declared coefficients: design, alignment, probability, flags."""
+    from orderlens.model.score import assemble_scores, predict_linear
+    return assemble_scores(predict_linear(DECLARED_INTERCEPT, declared_betas(), layers(spark, sf_dir).cohort), DAY1)
+
+
+@register
+def declared_probability(spark, sf_dir):
+    """Implied probabilities per delay bucket in the training split, through the declared odds ratios."""
+    from orderlens.model import evaluate, features
+    betas = declared_betas()
+    train = features.train_test_split(layers(spark, sf_dir).cohort).filter(F.col("split") == "train")
+    coefs = evaluate.coefficient_table(spark, list(betas), DECLARED_INTERCEPT, list(betas.values()))
+    return rounded(evaluate.implied_probability(train, coefs))
+
+
 # --- the ridge model itself (fit by Spark ML; no SQL oracle: rows-only checks) ---
 _MODELS: dict[tuple[str, str], tuple] = {}
 
