@@ -1,8 +1,8 @@
 """Order-, item- and day-level marts, the enriched order view and the model cohort.
 
 Every function takes DataFrames and returns a lazy DataFrame; nothing is collected. ``order_id`` is
-the grouping and join key throughout, so Spark hash-partitions on it once per input and the
-aggregates are joined without a further exchange.
+the grouping and join key throughout: raw rows are aggregated per order before their only exchange, and
+the aggregates are joined in the partitioning that it gave them.
 """
 
 from __future__ import annotations
