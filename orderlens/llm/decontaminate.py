@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows.
 
 Texts are brought to a template: numbers, names and units become typed placeholders, other words are
-lower-cased. The windows of five template words of every benchmark item are hash-joined with those of
+lower-cased. A capitalised word that opens a sentence, line, quotation or bracket may be a name or not; it
+is read both ways, and a window matches if one of its readings does. The windows of five template words of every benchmark item are hash-joined with those of
 the documents. A document that holds 0.8 or more of an item's windows is checked slot by slot: what the
 document has in place of the item's numbers, names and units must be a consistent renaming (a value
 always replaced by the same one, different values by different ones). Unchanged values make the leak
@@ -10,6 +11,7 @@ always replaced by the same one, different values by different ones). Unchanged
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -32,6 +34,8 @@ SLACK = 1 - CONTAINED
 BROADCAST_WINDOWS = 1_000_000
 
 NUM, NAME, UNIT = "", "", ""
+#: before a word that may be a name
+OPEN = "\ue0ff"
 # units, written after a number
 UNITS = ("km", "m", "cm", "mm", "mi", "miles", "mile", "ft", "feet", "foot", "inches", "inch", "yards", "kg", "g", "mg",
          "lb", "lbs", "pounds", "pound", "oz", "tons", "l", "ml", "liters", "litres", "gallons", "s", "sec", "seconds",
@@ -40,8 +44,9 @@ UNITS = ("km", "m", "cm", "mm", "mi", "miles", "mile", "ft", "feet", "foot", "in
 _NUMBER = re.compile(rf"(?<!\w)(?P<n>\d+(?:[.,:/]\d+)*)(?!\d)(?:\s?(?P<u>%|°|€|\$|(?:{'|'.join(UNITS)})\b))?", re.IGNORECASE)
 _DIGIT = re.compile(r"\d")
 _CAPITAL = re.compile(r" ([A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]\w*)")
-_MARKS = re.compile(f"[{NUM}{NAME}{UNIT}]")
-_WORD = re.compile(rf"\w+|[{NUM}{NAME}{UNIT}]")
+_OPENING = re.compile(r"[A-ZÀ-ÖØ-Þ](?<!\w.)[a-zß-öø-ÿ]")
+_MARKS = re.compile(f"[{NUM}{NAME}{UNIT}{OPEN}]")
+_WORD = re.compile(rf"{OPEN}?\w+|[{NUM}{NAME}{UNIT}]")
 _PRIME = 0x9E3779B97F4A7C15
 
 
@@ -63,15 +68,24 @@ def _spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def template(text: str | None) -> list[str]:
-    """The template words of a text; none for NULL."""
+def _read(text: str | None) -> tuple[list[str], list[int]]:
+    """The template words of a text, and the places of those that may be names: capitalised words that go on no sentence."""
     text = _MARKS.sub(" ", text or "")
     parts, at = [], 0
     for start, end, mark in _spans(text):
         parts += [text[at:start], " ", mark, " "]
         at = end
     parts.append(text[at:])
-    return _WORD.findall("".join(parts).lower())
+    words = _WORD.findall(_OPENING.sub(rf"{OPEN}\g<0>", "".join(parts)).lower())
+    opens = [k for k, w in enumerate(words) if w[0] == OPEN]
+    for k in opens:
+        words[k] = words[k][1:]
+    return words, opens
+
+
+def template(text: str | None) -> list[str]:
+    """The template words of a text, a word that may be a name as it stands; none for NULL."""
+    return _read(text)[0]
 
 
 def slots(text: str | None) -> list[str]:
@@ -96,11 +110,62 @@ def window_hashes(words: np.ndarray, width: int = WINDOW) -> np.ndarray:
     return out
 
 
+#: for each set of places in a window (as bits), its non-empty subsets
+_SUBSETS = np.array([[c if c & m == c else 0 for c in range(1, 1 << WINDOW)] for m in range(1 << WINDOW)])
+_PLACES = np.arange(WINDOW)
+
+
+def _readings(plain: np.ndarray, opens: list[int], name: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places, hashes) of the windows of word hashes as they stand, and of those with some words of ``opens`` read as names,
+    for every choice of such words. Windows with a word hash 0 are left out."""
+    n = len(plain) - WINDOW + 1
+    known = plain != 0
+
+    def whole(known: np.ndarray) -> np.ndarray:
+        out = known[:n].copy()
+        for k in range(1, WINDOW):
+            out &= known[k:k + n]
+        return np.flatnonzero(out)
+
+    at = whole(known)
+    out = [(at, window_hashes(plain)[at] if len(at) else np.zeros(0, np.uint64))]
+    if not opens:
+        return out
+    may = np.zeros(len(plain), np.int64)
+    may[opens] = 1
+    at = whole(known | (may != 0))
+    mask = may[at]
+    for k in range(1, WINDOW):
+        mask |= may[at + k] << k
+    choices = _SUBSETS[mask]
+    row, col = np.nonzero(choices)
+    if not len(row):
+        return out
+    at, choice = at[row], choices[row, col]
+    words = plain[at[:, None] + _PLACES]
+    words[(choice[:, None] >> _PLACES & 1).astype(bool)] = name
+    ok = (words != 0).all(axis=1)
+    at, words = at[ok], words[ok]
+    hs = np.zeros(len(at), np.uint64)
+    for k in range(WINDOW):
+        hs = (hs + words[:, k]) * np.uint64(_PRIME)
+        hs ^= hs >> np.uint64(29)
+    return [*out, (at, hs)]
+
+
+def _short_readings(words: list[str], opens: list[int]) -> Iterator[tuple[str, ...]]:
+    """A short text's template words, for every choice of words in ``opens`` to read as names."""
+    for choice in itertools.product(*[(w, NAME) if k in opens else (w,) for k, w in enumerate(words)]):
+        yield choice
+
+
 @dataclass
 class Item:
     item_id: object
     words: list[str]
+    opens: frozenset[int]
     values: list[str]
+    hashes: list[int]  # of the windows as they stand
     n_windows: int
 
 
@@ -117,64 +182,71 @@ class Index:
     @classmethod
     def of(cls, rows: list[tuple[object, str | None]]) -> Index:
         ix = cls()
+        name = ix.vocabulary.setdefault(NAME, _word_hash(NAME))
         for item_id, text in rows:
-            words = template(text)
+            words, opens = _read(text)
             if not words:
                 continue
             k = len(ix.items)
             if len(words) < WINDOW:
-                ix.short[tuple(words)].append(k)
-                ix.items.append(Item(item_id, words, slots(text), 0))
+                for reading in _short_readings(words, opens):
+                    ix.short[reading].append(k)
+                ix.items.append(Item(item_id, words, frozenset(opens), slots(text), [], 0))
                 continue
             for w in words:
                 ix.vocabulary.setdefault(w, _word_hash(w))
-            hs = window_hashes(np.array([ix.vocabulary[w] for w in words], np.uint64)).tolist()
-            for p, h in enumerate(hs):
-                ix.at[h].append((k, p))
-            ix.items.append(Item(item_id, words, slots(text), len(set(hs))))
+            plain = np.array([ix.vocabulary[w] for w in words], np.uint64)
+            for places, hs in _readings(plain, opens, name):
+                for q, h in zip(places.tolist(), hs.tolist(), strict=True):
+                    ix.at[h].append((k, q))
+            hs = window_hashes(plain).tolist()
+            ix.items.append(Item(item_id, words, frozenset(opens), slots(text), hs, len(set(hs))))
         ix.hashes = np.array(sorted(ix.at), np.uint64)
         return ix
 
     def leaks(self, text: str | None) -> list[tuple[object, float, str]]:
         """(item_id, share of the item's windows, kind) of the items that the text holds."""
-        words = template(text)
+        words, opens = _read(text)
         if len(words) < WINDOW:
-            return [(self.items[k].item_id, 1.0, kind) for k in self.short.get(tuple(words), ())
-                    if (kind := _kind(self.items[k], words, slots(text), [(0, 0)]))]
+            found = sorted({k for reading in _short_readings(words, opens) for k in self.short.get(reading, ())})
+            return [(self.items[k].item_id, 1.0, kind) for k in found
+                    if (kind := _kind(self.items[k], words, frozenset(opens), slots(text), [(0, 0)]))]
         if not len(self.hashes):
             return []
         get = self.vocabulary.get
         ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
-        hs = window_hashes(ids)
-        known = ids != 0
-        n = len(hs)
-        whole = known[:n].copy()
-        for k in range(1, WINDOW):
-            whole &= known[k:k + n]
-        spots = np.flatnonzero(whole)
-        if not len(spots):
-            return []
-        where = np.minimum(np.searchsorted(self.hashes, hs[spots]), len(self.hashes) - 1)
-        spots = spots[self.hashes[where] == hs[spots]]
         met: dict[int, list[tuple[int, int]]] = defaultdict(list)
         held: dict[int, set[int]] = defaultdict(set)
-        for p in spots.tolist():
-            h = int(hs[p])
-            for k, q in self.at[h]:
-                met[k].append((p, q))
-                held[k].add(h)
-        out, values = [], None
+        plain: dict[int, list[tuple[int, int]]] = defaultdict(list)  # matches without an opening word as a name
+        for choice, (spots, hs) in enumerate(_readings(ids, opens, self.vocabulary[NAME])):
+            if not len(spots):
+                continue
+            where = np.minimum(np.searchsorted(self.hashes, hs), len(self.hashes) - 1)
+            on = self.hashes[where] == hs
+            for p, h in zip(spots[on].tolist(), hs[on].tolist(), strict=True):
+                for k, q in self.at[h]:
+                    own = self.items[k].hashes[q]
+                    met[k].append((p, q))
+                    held[k].add(own)
+                    if not choice and own == h:
+                        plain[k].append((p, q))
+        out, values, may = [], None, frozenset(opens)
         for k, found in held.items():
             item = self.items[k]
-            if len(found) >= CONTAINED * item.n_windows:
+            least = CONTAINED * item.n_windows
+            if len(found) >= least:
                 values = slots(text) if values is None else values
-                if kind := _kind(item, words, values, met[k]):
+                kind = _kind(item, words, may, values, met[k])
+                if not kind and len({item.hashes[q] for _, q in plain[k]}) >= least:
+                    kind = _kind(item, words, frozenset(), values, plain[k])
+                if kind:
                     out.append((item.item_id, len(found) / item.n_windows, kind))
         return out
 
 
-def _kind(item: Item, words: list[str], values: list[str], met: list[tuple[int, int]]) -> str | None:
-    """``exact`` or ``reparameterised``, or None if the slots contradict each other."""
+def _kind(item: Item, words: list[str], opens: frozenset[int], values: list[str], met: list[tuple[int, int]]) -> str | None:
+    """``exact`` or ``reparameterised``, or None if the slots contradict each other. Opening words that differ, or that
+    stand against a name, are slots too; with no ``opens``, only what is a slot on both sides."""
     shift = Counter(p - q for p, q in met).most_common(1)[0][0]
     partner: dict[int, int] = {}
     width = min(WINDOW, len(item.words))
@@ -184,8 +256,16 @@ def _kind(item: Item, words: list[str], values: list[str], met: list[tuple[int,
     marks = (NUM, NAME, UNIT)
     own = np.cumsum([w in marks for w in item.words])
     theirs = np.cumsum([w in marks for w in words])
-    pairs = [(item.words[q], item.values[own[q] - 1], values[theirs[p] - 1]) for q, p in sorted(partner.items())
-             if item.words[q] in marks]
+    pairs, n = [], 0
+    for q, p in sorted(partner.items()):
+        a, b = item.words[q], words[p]
+        mark = a if a in marks else NAME if b == NAME or q in item.opens and p in opens else None
+        if mark is None:
+            continue
+        x = item.values[own[q] - 1] if a in marks else a
+        y = values[theirs[p] - 1] if b in marks else b
+        pairs.append((mark, x, y))
+        n += a in marks or x != y  # equal opening words only bear witness
     if all(a == b for _, a, b in pairs):
         return "exact"
     there: dict[tuple[str, str], str] = {}
@@ -193,7 +273,7 @@ def _kind(item: Item, words: list[str], values: list[str], met: list[tuple[int,
     bad = 0
     for kind, a, b in pairs:
         bad += there.setdefault((kind, a), b) != b or back.setdefault((kind, b), a) != a
-    return "reparameterised" if bad <= SLACK * len(pairs) else None
+    return "reparameterised" if bad <= SLACK * n else None
 
 
 LEAKS = "array<struct<item_id:{kind},contained:double,kind:string>>"
@@ -226,15 +306,23 @@ def _by_join(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The same leaks for a benchmark of any size: window hashes meet in a shuffled join, one row for each
     different window of a document; only pairs that hold enough windows meet with their texts."""
 
+    name = _word_hash(NAME)
+
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for key, text in zip(b["key"], b["text"], strict=True):
-                words = template(text)
+                words, opens = _read(text)
                 if len(words) < WINDOW:  # matched whole
-                    h = np.array([xxhash.xxh64_intdigest("\0".join(words).encode("utf-8", "surrogatepass"))] * bool(words), np.uint64)
+                    h = np.array([xxhash.xxh64_intdigest("\0".join(x).encode("utf-8", "surrogatepass"))
+                                  for x in _short_readings(words, opens) if x], np.uint64)
+                    own = h[:1].repeat(len(h))
                 else:
-                    h = np.unique(window_hashes(np.array([_word_hash(w) for w in words], np.uint64)))
-                yield pd.DataFrame({"key": pd.Series([key] * len(h), dtype=b["key"].dtype), "h": h.view(np.int64), "n": len(h)})
+                    plain = np.array([_word_hash(w) for w in words], np.uint64)
+                    alone = window_hashes(plain)
+                    found = _readings(plain, opens, name)
+                    h, own = np.concatenate([x for _, x in found]), np.concatenate([alone[at] for at, _ in found])
+                    h, own = np.unique(np.stack([h, own]), axis=1)
+                yield pd.DataFrame({"key": pd.Series([key] * len(h), dtype=b["key"].dtype), "h": h.view(np.int64), "n": len(np.unique(own))})
 
     def keyed(df: DataFrame, key: str) -> DataFrame:
         kind = df.schema[key].dataType.simpleString()
@@ -242,7 +330,8 @@ def _by_join(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ours = cut(docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id()))
     theirs = cut(benchmark.select("item_id", F.col("text").alias("_item")).withColumn("_nr", F.monotonically_increasing_id()))
-    d = keyed(ours, "_row").select(F.col("key").alias("_row"), "h")
+    # an item has a row for each reading of each of its windows: their count is at least that of the windows held
+    d = keyed(ours, "_row").select(F.col("key").alias("_row"), "h").distinct()
     b = keyed(theirs.withColumnRenamed("_item", "text"), "_nr").select(F.col("key").alias("_nr"), F.col("h").alias("_h"), "n")
     met = d.join(b, F.col("h") == F.col("_h")).groupBy("_row", "_nr", "n").count()
     met = met.filter(F.col("count") >= CONTAINED * F.col("n")).select("_row", "_nr")

@@ -188,6 +188,25 @@ def test_leaks_equal_brute_force_containment(spark, docs):
     assert want and got == want
 
 
+TOM = "Tom has 5 apples. Tom buys 3 more apples at the shop. How many apples does Tom have now?"
+
+
+def test_names_that_open_sentences(spark):
+    """Names behind no word: at the start of a text, sentence, line, quotation or bracket."""
+    bench = spark.createDataFrame([(1, TOM), (2, 'Tom said: "Rita sold 7 old books." (Paul bought 2 of them.)\nPaul then gave Rita 1 new book')],
+                                  "item_id long, text string")
+    other = {"Tom": "Anna", "Rita": "Zoe", "Paul": "Ben"}
+    renamed = [re.sub("Tom|Rita|Paul", lambda m: other[m[0]], r["text"]) for r in bench.orderBy("item_id").collect()]
+    texts = [TOM, "xx yy. " + renamed[0].replace("5", "8").replace("3", "6") + " zz", "He wrote that " + TOM,
+             "Anna has 5 apples. Sue buys 3 more apples at the shop. How many apples does Mia have now?", renamed[1],
+             "The dog has 5 legs. Nobody buys it at the shop. How many cats does Tom have now?", TOM.lower().replace("does tom", "does Tom")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [(0, 1, "exact"), (1, 1, "reparameterised"), (2, 1, "exact"), (4, 2, "reparameterised"), (6, 1, "exact")]
+    for most in (1000, 0):
+        got = decontaminate.find_leaks(docs, bench, most).collect()
+        assert sorted((r["doc_id"], r["item_id"], r["kind"]) for r in got) == want
+
+
 # --- personal data
 def plain_spans(t):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
