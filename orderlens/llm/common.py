@@ -34,6 +34,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` stored with a unique number for every row, and the number's column: ids may be NULL or repeated."""
+    key = "_row_key"
+    while key in df.columns:
+        key += "_"
+    return stage(df.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
 def id_as_text(df: DataFrame) -> DataFrame:
     """``doc_id`` as text, for frames that go through pandas: a whole number beside a NULL would become
     floating point there and lose its last digits."""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from orderlens.llm.common import cut, read
+from orderlens.llm.common import cut, read, with_row_key
 
 WINDOW = 5
 CONTAINED = 0.8
@@ -302,9 +302,10 @@ def n_windows(benchmark: DataFrame) -> int:
     return int(benchmark.agg(F.sum(words)).first()[0] or 0)
 
 
-def _by_join(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The same leaks for a benchmark of any size: window hashes meet in a shuffled join, one row for each
-    different window of a document; only pairs that hold enough windows meet with their texts."""
+def _by_join(ours: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The same leaks for a benchmark of any size, for stored documents (_row, doc_id, text) with a unique _row, which stays:
+    window hashes meet in a shuffled join, one row for each different window of a document; only pairs that hold enough
+    windows meet with their texts."""
 
     name = _word_hash(NAME)
 
@@ -328,7 +329,6 @@ def _by_join(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         kind = df.schema[key].dataType.simpleString()
         return df.select(F.col(key).alias("key"), "text").mapInPandas(windows, f"key {kind}, h long, n long")
 
-    ours = cut(docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id()))
     theirs = cut(benchmark.select("item_id", F.col("text").alias("_item")).withColumn("_nr", F.monotonically_increasing_id()))
     # an item has a row for each reading of each of its windows: their count is at least that of the windows held
     d = keyed(ours, "_row").select(F.col("key").alias("_row"), "h").distinct()
@@ -344,8 +344,8 @@ def _by_join(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return pd.DataFrame({"contained": [x[0][1] if x else None for x in found],
                              "kind": [x[0][2] if x else None for x in found]})
 
-    out = pairs.select("doc_id", F.col("item_id").cast(kind).alias("item_id"), judge("_item", "text").alias("j"))
-    return out.select("doc_id", "item_id", "j.contained", "j.kind").filter(F.col("kind").isNotNull())
+    out = pairs.select("_row", "doc_id", F.col("item_id").cast(kind).alias("item_id"), judge("_item", "text").alias("j"))
+    return out.select("_row", "doc_id", "item_id", "j.contained", "j.kind").filter(F.col("kind").isNotNull())
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
@@ -358,7 +358,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = B
     ``broadcast_windows`` windows, else joined by shuffle.
     """
     if n_windows(benchmark) > broadcast_windows:
-        return _by_join(docs, benchmark)
+        ours = cut(docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id()))
+        return _by_join(ours, benchmark).drop("_row")
     leaks = _leaks_column(benchmark)
     rows = docs.select("doc_id", F.explode(leaks("text")).alias("leak"))
     return rows.select("doc_id", "leak.item_id", "leak.contained", "leak.kind")
@@ -367,12 +368,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = B
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; all columns stay.
 
-    Edge cases as in :func:`find_leaks`. Beyond ``broadcast_windows`` documents go by their doc_id, so a
-    document without one stays.
+    Edge cases as in :func:`find_leaks`; rows without a doc_id, or with the same one, go each by their own text.
     """
     if n_windows(benchmark) > broadcast_windows:
-        bad = _by_join(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-        return docs.join(bad, docs["doc_id"] == F.col("_bad"), "left_anti")
+        stored, key = with_row_key(docs, "decontaminate-rows")
+        bad = _by_join(stored.select(F.col(key).alias("_row"), "doc_id", "text"), benchmark).select(F.col("_row").alias("_bad")).distinct()
+        return stored.join(bad, stored[key] == F.col("_bad"), "left_anti").drop(key)
     leaks = _leaks_column(benchmark)
     return docs.filter(F.size(leaks(docs["text"])) == 0)
 

@@ -86,7 +86,8 @@ def emit(docs: DataFrame, weights=WEIGHTS, max_rate: int = MAX_RATE, seed: int =
     """The mixed corpus: every document's row as often as its copies say, numbered from 1 in ``copy``.
 
     The per-source rates go to the documents, so the texts are not shuffled while there are at most
-    ``BROADCAST_SOURCES`` sources. Edge cases as in :func:`mix`.
+    ``BROADCAST_SOURCES`` sources. Edge cases as in :func:`mix`, but documents without a doc_id are drawn each by
+    the hash of its text.
     """
     sized = cut(docs.select("source", word_count(F.col("text")).alias("size")).groupBy("source").agg(
         F.sum("size").alias("size")))
@@ -96,7 +97,8 @@ def emit(docs: DataFrame, weights=WEIGHTS, max_rate: int = MAX_RATE, seed: int =
         rates = F.broadcast(rates)
     out = docs.join(rates, docs["source"].eqNullSafe(F.col("_mix_s")))
     rate = F.col("_mix_rate")
-    copies = F.floor(rate) + F.when(unit_hash(seed, docs["doc_id"]) < rate - F.floor(rate), 1).otherwise(0)
+    drawn_by = F.coalesce(docs["doc_id"].cast("string"), F.md5(docs["text"].cast("binary")))
+    copies = F.floor(rate) + F.when(unit_hash(seed, drawn_by) < rate - F.floor(rate), 1).otherwise(0)
     keep = [docs[c] for c in docs.columns if c != "copy"]
     return out.withColumn("_mix_n", copies.cast("int")).filter(F.col("_mix_n") > 0).select(
         *keep, F.explode(F.sequence(F.lit(1), F.col("_mix_n"))).alias("copy"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import cut, id_as_text, id_back, read
+from orderlens.llm.common import cut, id_as_text, id_back, read, with_row_key
 from orderlens.llm.graph import components
 
 SHINGLE = 3
@@ -55,16 +55,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) with fp as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *more: str) -> DataFrame:
+    """(doc_id, fp) with fp as a signed long, and the columns ``more`` (longs that are not NULL)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fps.view(np.int64)})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fps.view(np.int64)} | {c: b[c] for c in more})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return id_back(id_as_text(docs.select("doc_id", "text")).mapInPandas(run, "doc_id string, fp long"), kind)
+    schema = ", ".join(["doc_id string, fp long", *[f"{c} long" for c in more]])
+    return id_back(id_as_text(docs.select("doc_id", "text", *more)).mapInPandas(run, schema), kind)
 
 
 def _gray_rank(x: Column) -> Column:
@@ -214,17 +215,20 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id; all columns stay.
+    """``docs`` with exactly one row of each component, the one with the smallest doc_id; all columns stay.
 
-    Of rows that repeat that doc_id one stays; rows without a doc_id stay only if their component has
-    no other document. Edge cases of the grouping as in :func:`grouped`.
+    Rows are told apart by a key of their own, so several rows without a doc_id, or with the same one, are
+    rows like others. Of rows that share the smallest doc_id the one with the least hash of its text stays;
+    rows without a doc_id come last. Edge cases of the grouping as in :func:`grouped`.
     """
-    keep = grouped(docs, shingle, max_bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = cut(keep.select(F.col("doc_id").alias("_keep")))
-    kept = docs.join(keep.distinct(), docs["doc_id"].eqNullSafe(F.col("_keep")), "left_semi")
-    if keep.groupBy("_keep").count().filter("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id"])
+    stored, key = with_row_key(docs, "near-dedup-rows")
+    narrow = stored.select(F.col(key).alias("row"), "doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    fps = fingerprints(narrow, shingle, "row", "text_hash")
+    nodes = cut(fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "row")).alias("first")))
+    roots = components(links(nodes.select("fp"), max_bits))
+    named = nodes.join(roots, F.col("fp") == F.col("node"), "left")
+    least = named.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    return stored.join(least.select(F.col("first.row").alias("_keep")), stored[key] == F.col("_keep"), "left_semi").drop(key)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

@@ -111,6 +111,19 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     assert simhash.near_dedup(docs.limit(0)).count() == 0
 
 
+def test_near_dedup_tells_rows_without_or_with_equal_ids_apart(spark):
+    """One row of each group stays, whatever its doc_id: several groups without ids, one id with two texts."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") + str(rng.randint(0, 99)) for _ in range(40)) for _ in range(9)]
+    table = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (1, texts[2]), (7, texts[3]), (7, texts[4]),
+             (7, texts[4]), (3, texts[4]), (None, texts[5]), (8, texts[6]), (8, texts[7]), (8, texts[7])]
+    got = simhash.near_dedup(with_clashes(spark.createDataFrame(table, "doc_id long, text string")))
+    want = [(None, 0), (None, 1), (1, 2), (7, 3), (3, 4), (None, 5), (8, 6), (8, 7)]
+    assert rows(got.select("doc_id", "text")) == sorted(((i, texts[k]) for i, k in want), key=lambda t: tuple((x is None, str(x)) for x in t))
+    one = [(None, texts[0]), (4, texts[1]), (None, texts[1])]  # a single group without ids
+    assert rows(simhash.near_dedup(spark.createDataFrame(one, "doc_id long, text string"))) == [(4, texts[1]), (None, texts[0])]
+
+
 def brute_removed(texts):
     data = [(t or "").encode() for t in texts]
     seen = Counter(b[p:p + 200] for b in data for p in range(len(b) - 199))

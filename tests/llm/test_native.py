@@ -49,6 +49,14 @@ def test_mix_shares_and_caps(spark):
     assert rows(out) == rows(mixing.mix(docs.repartition(7)))  # reruns and layouts agree
 
 
+def test_documents_without_ids_are_drawn_one_by_one(spark):
+    table = [(None if k % 2 else k, f"one two {k}", "a" if k % 4 < 2 else "b") for k in range(800)]
+    out = mixing.emit(spark.createDataFrame(table, "doc_id long, text string, source string"))
+    copies = {r["text"]: r["count"] for r in out.filter("doc_id IS NULL").groupBy("text").count().collect()}
+    per = {s: {copies.get(t, 0) for i, t, x in table if i is None and x == s} for s in "ab"}
+    assert max(len(x) for x in per.values()) == 2  # some rows of a source are drawn, some not
+
+
 def test_mix_stops_at_three_times_the_size(spark):
     docs = spark.createDataFrame([(1, "w " * 10, "a"), (2, "w " * 1000, "b"), (3, "w " * 100, "c")], "doc_id long, text string, source string")
     t = {r["source"]: r["target"] for r in mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").collect()}

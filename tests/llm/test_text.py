@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 import pytest
-from awkward import SF, awkward, rows, with_clashes
+from awkward import LOREM, SF, awkward, rows, with_clashes
 from pyspark.sql import functions as F
 
 from orderlens.llm import decontaminate, langid, pagetext, pii, tokens, toxicity
@@ -207,6 +207,14 @@ def test_names_that_open_sentences(spark):
         assert sorted((r["doc_id"], r["item_id"], r["kind"]) for r in got) == want
 
 
+def test_leaks_go_by_row_not_by_id(spark):
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    table = [(None, ITEMS[0][1]), (None, LOREM), (7, ITEMS[1][1]), (7, LOREM), (7, ITEMS[1][1])]
+    for most in (1000, 0):
+        kept = decontaminate.drop_leaks(with_clashes(spark.createDataFrame(table, "doc_id long, text string")), bench, most)
+        assert rows(kept.select("doc_id", "text")) == [(7, LOREM), (None, LOREM)]
+
+
 # --- personal data
 def plain_spans(t):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
