@@ -5,12 +5,14 @@ lower-cased. A capitalised word that opens a sentence, line, quotation or bracke
 is read both ways, and a window matches if one of its readings does. The windows of five template words of every benchmark item are hash-joined with those of
 the documents. A document that holds 0.8 or more of an item's windows is checked slot by slot: what the
 document has in place of the item's numbers, names and units must be a consistent renaming (a value
-always replaced by the same one, different values by different ones). Unchanged values make the leak
+always replaced by the same one, different values by different ones). If the document holds the template
+several times, one place that is consistent is enough. Unchanged values make the leak
 ``exact``, consistently changed ones ``reparameterised``; others are no leak.
 """
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import re
 from collections import Counter, defaultdict
@@ -244,18 +246,59 @@ class Index:
         return out
 
 
+def _alignments(item: Item, met: list[tuple[int, int]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """(shift, matches) of every way to lay the item on the text: all matches by their most common shift, then the matches of
+    each shift alone, and with those of the shifts around it (words put in or left out), if they hold enough windows."""
+    count = Counter(p - q for p, q in met)
+    most = count.most_common(1)[0][0]
+    yield most, met
+    if len(count) < 2:
+        return
+    least = CONTAINED * item.n_windows
+    by_shift: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    for p, q in met:
+        by_shift[p - q].append((p, q))
+    shifts, reach = sorted(by_shift), max(1, len(item.words) // 2)
+
+    def enough(some: list[tuple[int, int]]) -> bool:
+        return len(some) >= least and len({item.hashes[q] for _, q in some}) >= least
+
+    for s in shifts:
+        alone = enough(by_shift[s])
+        if alone:
+            yield s, by_shift[s]
+        low, high = bisect.bisect_left(shifts, s - reach), bisect.bisect_right(shifts, s + reach)
+        if high - low > 1 and (alone or sum(len(by_shift[x]) for x in shifts[low:high]) >= least):
+            near = [m for x in shifts[low:high] for m in by_shift[x]]
+            if alone or enough(near):
+                yield s, near
+
+
 def _kind(item: Item, words: list[str], opens: frozenset[int], values: list[str], met: list[tuple[int, int]]) -> str | None:
-    """``exact`` or ``reparameterised``, or None if the slots contradict each other. Opening words that differ, or that
-    stand against a name, are slots too; with no ``opens``, only what is a slot on both sides."""
-    shift = Counter(p - q for p, q in met).most_common(1)[0][0]
+    """``exact`` if an alignment of the item with the text has its values, ``reparameterised`` if one renames them
+    consistently, None if the slots contradict each other in all. Opening words that differ, or that stand against a name,
+    are slots too; with no ``opens``, only what is a slot on both sides."""
+    marks = (NUM, NAME, UNIT)
+    own = np.cumsum([w in marks for w in item.words])
+    theirs = np.cumsum([w in marks for w in words])
+    found = None
+    for shift, some in _alignments(item, met):
+        kind = _kind_at(item, words, opens, values, own, theirs, shift, some)
+        if kind == "exact":
+            return kind
+        found = found or kind
+    return found
+
+
+def _kind_at(item: Item, words: list[str], opens: frozenset[int], values: list[str], own: np.ndarray, theirs: np.ndarray,
+             shift: int, met: list[tuple[int, int]]) -> str | None:
+    """The kind by one alignment: a word of the item goes with that of the match nearest to ``shift``."""
     partner: dict[int, int] = {}
     width = min(WINDOW, len(item.words))
     for p, q in sorted(met, key=lambda x: abs(x[0] - x[1] - shift)):
         for d in range(width):
             partner.setdefault(q + d, p + d)
     marks = (NUM, NAME, UNIT)
-    own = np.cumsum([w in marks for w in item.words])
-    theirs = np.cumsum([w in marks for w in words])
     pairs, n = [], 0
     for q, p in sorted(partner.items()):
         a, b = item.words[q], words[p]

@@ -207,6 +207,20 @@ def test_names_that_open_sentences(spark):
         assert sorted((r["doc_id"], r["item_id"], r["kind"]) for r in got) == want
 
 
+def test_a_consistent_copy_behind_a_contradicting_one(spark):
+    """A worksheet holds an item's template several times: any copy with consistent values is the leak."""
+    item, clash, exact = ITEMS[0][1], "In the old shop Ann buys 4 apples and 6 pears so Sue has 4 fruits in his bag today", ITEMS[0][1]
+    renamed = "In the old shop Ann buys 4 apples and 6 pears so Ann has 10 fruits in his bag today"
+    longer = renamed.replace("his bag", "his own bag")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, f"{clash}. {exact}."), (2, f"{clash}. Some words between. {renamed}."), (3, f"{clash}. {clash}."), (4, f"{clash}. {clash}. xx {renamed}. {clash}."),
+        (5, f"{renamed}. {exact}"), (6, f"{clash}. {LOREM} {longer}")], "doc_id long, text string")
+    want = [(1, "exact"), (2, "reparameterised"), (4, "reparameterised"), (5, "exact"), (6, "reparameterised")]
+    for most in (1000, 0):
+        assert sorted((r["doc_id"], r["kind"]) for r in decontaminate.find_leaks(docs, bench, most).collect()) == want
+
+
 def test_leaks_go_by_row_not_by_id(spark):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     table = [(None, ITEMS[0][1]), (None, LOREM), (7, ITEMS[1][1]), (7, LOREM), (7, ITEMS[1][1])]
