@@ -117,19 +117,21 @@ def order_statistics(df: DataFrame, value: str, ranks: Sequence[int], rows: int)
 
     Nothing is sorted as a whole: an approximate percentile brackets each rank, counts tell how many rows
     lie below the bracket, and the next round looks inside it only, until a bracket is a single value
-    or has at most ``BRACKET_VALUES`` rows, whose distinct values are then read. Each round narrows a
-    bracket to a few ten-thousandths and is two aggregations over ``df`` (which should be stored).
+    or has at most ``BRACKET_VALUES`` rows, whose distinct values are then read. The rows at a bracket's end
+    values are counted: a rank among them is found, else they leave the bracket, so every round takes at
+    least two values out, however heavy. Each round narrows a bracket to a few ten-thousandths and is two
+    aggregations over ``df`` (which should be stored).
     """
     v = F.col(value)
     accuracy = 10_000
     found: dict[int, float] = {}
-    # rank -> (lowest value or None, highest or None, rows below, rows inside)
+    # rank -> (value below all inside or None, value above all inside or None, rows below, rows inside)
     state = {r: (None, None, 0, rows) for r in ranks}
 
     def inside(lo, hi) -> Column:
         c = v.isNotNull()
-        c = c if lo is None else c & (v >= F.lit(lo))
-        return c if hi is None else c & (v <= F.lit(hi))
+        c = c if lo is None else c & (v > F.lit(lo))
+        return c if hi is None else c & (v < F.lit(hi))
 
     while state:
         small = {r: s for r, s in state.items() if s[3] <= BRACKET_VALUES}
@@ -152,20 +154,24 @@ def order_statistics(df: DataFrame, value: str, ranks: Sequence[int], rows: int)
         counts = []
         for k in range(len(todo)):
             lo, hi = cuts[f"q{k}"]
-            counts += [F.count_if(v < F.lit(lo)).alias(f"b{k}"), F.count_if(inside(lo, hi)).alias(f"n{k}")]
+            counts += [F.count_if(c).alias(f"{name}{k}") for name, c in (
+                ("below", v < F.lit(lo)), ("low", v <= F.lit(lo)), ("under", v < F.lit(hi)), ("high", v <= F.lit(hi)))]
         got = df.agg(*counts).first()
-        for k, (r, (old_lo, old_hi, old_below, _)) in enumerate(todo):
+        for k, (r, (old_lo, old_hi, old_below, old_n)) in enumerate(todo):
             lo, hi = cuts[f"q{k}"]
-            below, n = got[f"b{k}"], got[f"n{k}"]
+            below, low, under, high = (got[f"{name}{k}"] for name in ("below", "low", "under", "high"))
             if r < below:  # the approximation missed: what lies below the bracket, down to the old one
-                state[r] = (old_lo, lo, old_below, below - old_below + BRACKET_VALUES + 1)
-            elif r >= below + n:
-                state[r] = (hi, old_hi, below + n - df.filter(v == F.lit(hi)).count(), rows)
-            elif lo == hi:
+                state[r] = (old_lo, lo, old_below, below - old_below)
+            elif r < low:
                 found[r] = lo
-                del state[r]
+            elif r < under:
+                state[r] = (lo, hi, low, under - low)
+            elif r < high:
+                found[r] = hi
             else:
-                state[r] = (lo, hi, below, n)
+                state[r] = (hi, old_hi, high, old_below + old_n - high)
+            if r in found:
+                del state[r]
     return found
 
 

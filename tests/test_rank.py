@@ -89,6 +89,35 @@ def test_order_statistics_narrow_brackets_and_ties(spark, monkeypatch):
     assert {r: found[r] for r in ranks} == {r: ordered[r] for r in ranks}
 
 
+def test_order_statistics_at_the_border_of_heavy_values(spark, monkeypatch):
+    """Equal-sized heavy values with a rank on either side of a border: each round must take something out."""
+    from orderlens.operators import rank
+
+    def few(df, value, ranks, rows):
+        rounds = []
+
+        class Counted:
+            def agg(self, *a):
+                rounds.append(1)
+                assert len(rounds) < 40, "no end"
+                return df.agg(*a)
+
+            def filter(self, *a):
+                return df.filter(*a)
+
+        return rank.order_statistics(Counted(), value, ranks, rows)
+
+    for n_values, probs in ((2, [0.5]), (10, [0.1, 0.5, 0.9])):
+        df = spark.range(100_000).select((F.col("id") % n_values).cast("double").alias("v")).cache()
+        ranks = sorted({int(p * 100_000) + d for p in probs for d in (-1, 0)} | {0, 99_999})
+        assert few(df, "v", ranks, 100_000) == {r: float(r // (100_000 // n_values)) for r in ranks}
+    df = spark.range(100_000).select((F.col("id") % 2).cast("double").alias("v"))
+    assert exact_quantiles(df, "v", [0.5]).first()[0] == 0.5
+    nan = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, float("nan")).when(F.col("id") % 3 == 1, 1.0).otherwise(-0.0).alias("v"))
+    got = few(nan, "v", [19_999, 20_000, 39_999], 60_000)
+    assert got == {19_999: 0.0, 20_000: 1.0, 39_999: 1.0} and str(few(nan, "v", [40_000], 60_000)[40_000]) == "nan"
+
+
 def test_cumsum_equals_window(spark):
     random.seed(3)
     rows = [(i, random.randint(0, 5), random.randint(0, 3)) for i in range(200)]
