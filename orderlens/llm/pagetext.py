@@ -4,7 +4,7 @@ Each block of text on a page has a path of tags from the root. Text length and p
 per path and divided by the path's blocks; both ratios are smoothed along the page, fused, and paths
 above a threshold are content. Blocks that their tags or names mark as something else (menus, adverts,
 forms, comments ...) take no part; headings, lists and other short blocks that stand in the same element
-as content blocks belong to the article too.
+as content blocks belong to the article too, and so does what else stands in the element that holds the content.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ THRESHOLD = 0.4
 KERNEL = (0.4, 0.24, 0.06)
 #: an element whose content blocks hold this share of the page's content is part of the article
 CONTAINER = 0.1
+#: share of the content that an article or main element, or else the lowest element, must hold to be the article as a whole
+FRAME, WHOLE = 0.5, 0.9
 #: share of a block's characters inside links above which it is a menu
 LINKS = 0.5
 
@@ -245,12 +247,24 @@ def main_text(page: str | None) -> str:
             holder = b.element.parent if b.element.parent is not None else b.element
             holds[id(holder)] += len(b.text)
             total += len(b.text)
+    # the element that holds the article: content adds up to all elements above it
+    above: dict[int, list] = {}
+    for b in part:
+        if b.path in content:
+            e = b.element.parent
+            while e is not None and e.tag not in ("", "html", "body"):
+                above.setdefault(id(e), [e, 0])[1] += len(b.text)
+                e = e.parent
+    frames = [(len(e.path), id(e)) for e, n in above.values() if e.tag in ("article", "main") and n >= FRAME * total]
+    wholes = frames or [(len(e.path), id(e)) for e, n in above.values() if n >= WHOLE * total]
+    whole = max(wholes)[1] if wholes else None
     # an article element, if the page has one that holds content, is the article
     framed = [b for b in part if any(t.split(".")[0] == "article" for t in b.path)]
     framed_chars = sum(len(b.text) for b in framed if b.path in content)
     if framed_chars >= 0.5 * total:
         part = framed
-    holders = {k for k, n in holds.items() if n >= CONTAINER * total}
+    # a page without such an element, as one with its sections in the body: whatever holds content directly
+    holders = {k for k, n in holds.items() if n >= CONTAINER * total or whole is None} | {whole}
     kept = []
     for b in part:
         e, inside = b.element, b.path in content

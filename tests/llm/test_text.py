@@ -332,6 +332,18 @@ def test_other_parts_of_a_page_are_left_out():
     assert pagetext.main_text("<p>a < b <p>c<!-- x") == "a < b\nc"
 
 
+PROSE = "The council met again on Tuesday evening, and the members spoke at length about the old bridge near the mill. Nobody agreed. " * 4
+
+
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<div class=story>{}</div>", "{}"])
+@pytest.mark.parametrize("n", [3, 20])
+def test_short_blocks_of_long_articles_stay(frame, n):
+    """Sections with headings, lists and tables: how many there are must not decide what stays."""
+    sections = "".join(f"<section><h2>Part {k}</h2><p>{PROSE}</p><ul>{'<li>point</li>' * 9}</ul><table>{'<tr><td>cell</td></tr>' * 9}</table></section>" for k in range(n))
+    page = f"<html><body><nav><a href=/>Home</a></nav>{frame.format(sections)}<div class=sidebar>other</div><footer>end</footer></body></html>"
+    assert pagetext.main_text(page).split("\n") == [x for k in range(n) for x in (f"Part {k}", PROSE.strip(), *["point"] * 9, *["cell"] * 9)]
+
+
 def test_awkward_pages(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (2, None, ""), (None, "v", "<p>Hello there"), (4, "w", "<div>" * 3000 + "deep"),
                                    (5, "x", "<p>" + "long words, " * 50_000)], "page_id long, url string, html string")
