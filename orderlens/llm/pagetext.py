@@ -3,7 +3,7 @@
 Each block of text on a page has a path of tags from the root. Text length and punctuation are summed
 per path and divided by the path's blocks; both ratios are smoothed along the page, fused, and paths
 above a threshold are content. Blocks that their tags or names mark as something else (menus, adverts,
-forms, comments ...) take no part; headings, lists and other short blocks that stand in the same element
+forms, comments ...) take no part, nor do blocks of links outside the article; headings, lists and other short blocks that stand in the same element
 as content blocks belong to the article too, and so does what else stands in the element that holds the content.
 """
 
@@ -30,7 +30,7 @@ KERNEL = (0.4, 0.24, 0.06)
 CONTAINER = 0.1
 #: share of the content that an article or main element, or else the lowest element, must hold to be the article as a whole
 FRAME, WHOLE = 0.5, 0.9
-#: share of a block's characters inside links above which it is a menu
+#: share of a block's characters inside links above which it is a menu, if it stands outside the article
 LINKS = 0.5
 
 _TOKEN = re.compile(
@@ -39,6 +39,7 @@ _TOKEN = re.compile(
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)",
     re.DOTALL)
 _NAMES = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
+_HREF = re.compile(r"(?<![\w-])href\s*=", re.IGNORECASE)
 # names of HTML elements, by what they do here
 RAW = frozenset("script style noscript template textarea xmp iframe noembed noframes title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -104,7 +105,7 @@ def blocks(page: str) -> list[Block]:
     open_ = [root]
     out: list[Block] = []
     text: list[str] = []
-    linked = [0, 0]  # open links, characters in them
+    linked = [0, 0]  # number of open elements where a link is open (0: none is), characters in links
     at = 0
 
     def flush() -> None:
@@ -122,9 +123,14 @@ def blocks(page: str) -> list[Block]:
             if linked[0]:
                 linked[1] += len(part.strip())
 
+    def cut_off(to: int) -> None:
+        del open_[to:]
+        if linked[0] > len(open_):  # a link ends with the element that it stands in
+            linked[0] = 0
+
     def close(to: int) -> None:
         flush()
-        del open_[to:]
+        cut_off(to)
 
     end_raw = None
     for m in _TOKEN.finditer(page):
@@ -141,7 +147,7 @@ def blocks(page: str) -> list[Block]:
         ending = bool(m["close"] or m["close2"])
         attrs = m["attrs"] or m["attrs2"] or ""
         if tag == "a":
-            linked[0] = 0 if ending else 1
+            linked[0] = 0 if ending or not _HREF.search(attrs) else len(open_)
         if tag in ("br", "wbr"):
             text.append(" " if tag == "br" else "")
             continue
@@ -173,7 +179,7 @@ def blocks(page: str) -> list[Block]:
         if tag in ENDS_P:
             for k in range(len(open_) - 1, 0, -1):
                 if open_[k].tag == "p":
-                    del open_[k:]
+                    cut_off(k)
                     break
                 if open_[k].tag in ("button", "table", "td", "th", "li", "div"):
                     break
@@ -186,7 +192,7 @@ def blocks(page: str) -> list[Block]:
                 if open_[k].tag in ends:
                     to = k
             if to is not None:
-                del open_[to:]
+                cut_off(to)
         if tag in VOID:
             continue
         words, hidden, first = _names(attrs)
@@ -218,10 +224,17 @@ def _smoothed(values: list[float]) -> list[float]:
     return out
 
 
+def _within(e: Element | None, whole: int) -> bool:
+    while e is not None and id(e) != whole:
+        e = e.parent
+    return e is not None
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, a line for each of its blocks; empty where there is none."""
     all_ = blocks(page or "")
-    part = [b for b in all_ if not b.element.other and b.links <= LINKS * len(b.text)]
+    shown = [b for b in all_ if not b.element.other]
+    part = [b for b in shown if b.links <= LINKS * len(b.text)]
     if not part:
         return ""
     size: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0])
@@ -258,6 +271,11 @@ def main_text(page: str | None) -> str:
     frames = [(len(e.path), id(e)) for e, n in above.values() if e.tag in ("article", "main") and n >= FRAME * total]
     wholes = frames or [(len(e.path), id(e)) for e, n in above.values() if n >= WHOLE * total]
     whole = max(wholes)[1] if wholes else None
+    # in an article or main element blocks of links are the article's; in another, those between its first and last content
+    if whole is not None:
+        places = [k for k, b in enumerate(shown) if b.path in content and b.links <= LINKS * len(b.text) and _within(b.element, whole)]
+        part = [b for k, b in enumerate(shown) if b.links <= LINKS * len(b.text)
+                or (frames or places[0] < k < places[-1]) and _within(b.element, whole)]
     # an article element, if the page has one that holds content, is the article
     framed = [b for b in part if any(t.split(".")[0] == "article" for t in b.path)]
     framed_chars = sum(len(b.text) for b in framed if b.path in content)

@@ -344,6 +344,20 @@ def test_short_blocks_of_long_articles_stay(frame, n):
     assert pagetext.main_text(page).split("\n") == [x for k in range(n) for x in (f"Part {k}", PROSE.strip(), *["point"] * 9, *["cell"] * 9)]
 
 
+def test_links_inside_the_article_stay():
+    """Linked headings, lists of references and paragraphs that are a link; anchors and links without an end."""
+    body = f"<h2><a href=#x>A linked heading</a></h2><p>{PROSE}</p><p><a href=/y>This paragraph is a link.</a></p><p>{PROSE}</p>"
+    want = ["A linked heading", PROSE.strip(), "This paragraph is a link.", PROSE.strip()]
+    menu = "<ul><li><a href=/>Home</a></li><li><a href=/b>News</a></li></ul>"
+    refs = "<ol><li><a href=/r1>First source</a></li><li><a href=/r2>Second source</a></li></ol>"
+    text = lambda page: pagetext.main_text(page).split("\n")
+    assert text(f"<body>{menu}<article>{body}{refs}</article>{menu}</body>") == [*want, "First source", "Second source"]
+    assert text(f"<body><div class=page>{menu}<p>{PROSE}</p>{body}</div>{menu}</body>") == [PROSE.strip(), *want]
+    assert text(f"<body><a name=top><div class=page><p>{PROSE}</p><p>{PROSE}</p></div></body>") == [PROSE.strip()] * 2
+    assert text(f"<body><div><a href=/>Home</div><div class=page><p>{PROSE}</p><p>{PROSE}</p></div></body>") == [PROSE.strip()] * 2
+    assert pagetext.blocks("<p><a href=x>one<p>two")[1].links == 0
+
+
 def test_awkward_pages(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (2, None, ""), (None, "v", "<p>Hello there"), (4, "w", "<div>" * 3000 + "deep"),
                                    (5, "x", "<p>" + "long words, " * 50_000)], "page_id long, url string, html string")
