@@ -32,7 +32,7 @@ SAMPLE_SNIPPETS = 1500
 EXAMPLES = 2400
 EPOCHS = 6
 WINDOW, STRIDE = 64, 32
-#: characters read on both sides of a digit or at sign
+#: characters read on both sides of a digit or at sign, at least; on to white space, and on while a value reaches the edge
 AROUND = 24
 EMBEDDING, HIDDEN = 12, 20
 BATCH = 2048
@@ -46,7 +46,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TRIGGER = re.compile(r"[0-9]+|@|[(\[]at[)\]]")
+_WHITE = re.compile(r"\s")
+_AT_WORD = re.compile(r"@|[(\[]at[)\]]", re.IGNORECASE)
+_TRIGGER = re.compile(r"[0-9]+|@|[(\[][Aa][Tt][)\]]")
 
 Span = tuple[str, int, int]
 
@@ -387,11 +389,30 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) ->
 
 # --- at work
 
+def _left_space(text: str, at: int, least: int = 0) -> int:
+    """The next place at or before ``at`` that is behind white space, at least ``least``."""
+    at = max(at, least)
+    while at > least and not text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _right_space(text: str, at: int) -> int:
+    """The next place at or behind ``at`` that is before white space, or the end of the text."""
+    if at >= len(text):
+        return len(text)
+    m = _WHITE.search(text, at)
+    return m.start() if m else len(text)
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
-    """The parts of a text around digits and at signs; those that touch are one."""
+    """The parts of a text around digits and at signs, from white space to white space; those that touch are one."""
     out: list[tuple[int, int]] = []
     for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+        if out and m.end() + AROUND <= out[-1][1]:
+            continue
+        a = _left_space(text, m.start() - AROUND, out[-1][1] if out else 0)
+        b = _right_space(text, m.end() + AROUND)
         if out and a <= out[-1][1]:
             out[-1] = out[-1][0], b
         else:
@@ -430,7 +451,8 @@ def _plausible(kind: str, value: str) -> bool:
     """What a tagged span has to hold to be of its kind."""
     digits = re.sub("[^0-9]", "", value)
     if kind == "email":
-        return bool(re.search(r"\w\W*(?:@|[(\[]at[)\]])\W*\w", value)) and bool(re.search(r"\w\W*(?:\.|dot)\W*\w", re.split(r"@|[(\[]at[)\]]", value)[-1]))
+        return bool(re.search(r"\w\W*(?:@|[(\[]at[)\]])\W*\w", value, re.IGNORECASE)) and bool(
+            re.search(r"\w\W*(?:\.|dot)\W*\w", _AT_WORD.split(value)[-1], re.IGNORECASE))
     if kind == "ip":
         parts = re.findall("[0-9]+", value)
         return len(parts) == 4 and _octets(parts) and not re.search("[A-Za-z]", value)
@@ -466,12 +488,32 @@ def find_spans(tagger: Tagger, texts: list[str | None], at_once: int = 2000) ->
     """For every text the patterns' spans and the spans that the tagger adds, which touch none of them."""
     base = [base_spans(t) for t in texts]
     added: list[list[Span]] = [[] for _ in texts]
+    found: dict[int, dict[int, tuple[int, np.ndarray]]] = {}  # text -> start of a stretch -> its end, its tags
     todo = [(k, a, b) for k, t in enumerate(texts) if t for a, b in stretches(t)]
     for lo in range(0, len(todo), at_once):
         some = todo[lo:lo + at_once]
-        for (k, a, _), tags in zip(some, tag_stretches(tagger, [texts[k][a:b] for k, a, b in some]), strict=True):
+        while some:
+            wider: dict[int, list[tuple[int, int]]] = {}
+            for (k, a, b), tags in zip(some, tag_stretches(tagger, [texts[k][a:b] for k, a, b in some]), strict=True):
+                at = _left_space(texts[k], a - max(AROUND, b - a)) if TAGS[tags[0]] != "O" else a
+                end = _right_space(texts[k], b + max(AROUND, b - a)) if TAGS[tags[-1]] != "O" else b
+                found.setdefault(k, {})[a] = b, tags
+                if (at, end) != (a, b):
+                    wider.setdefault(k, []).append((at, end))
+            some = []
+            for k, more in wider.items():  # what a wider stretch touches is tagged with it
+                merged: list[tuple[int, int]] = []
+                for a, b in sorted([(a, b) for a, (b, _) in found[k].items()] + more):
+                    if merged and a <= merged[-1][1]:
+                        merged[-1] = merged[-1][0], max(b, merged[-1][1])
+                    else:
+                        merged.append((a, b))
+                found[k] = {a: found[k][a] for a, b in merged if a in found[k] and found[k][a][0] == b}
+                some += [(k, a, b) for a, b in merged if a not in found[k]]
+    for k, parts in found.items():
+        for a, (_, tags) in sorted(parts.items()):
             for kind, x, y in tagged_spans(tags, texts[k], a):
-                if all(y <= p or x >= q for _, p, q in base[k]):
+                if all(y <= p or x >= q for _, p, q in base[k] + added[k]):
                     added[k].append((kind, x, y))
     return list(zip(base, added, strict=True))
 

@@ -288,6 +288,31 @@ def test_tagger_adds_other_spellings_and_leaves_clean_text(spark, docs, tagger):
     assert not any(base or more for base, more in pii.find_spans(tagger, clean))
 
 
+def test_long_addresses_are_read_whole(monkeypatch):
+    """With a tagger that knows every rewritten address it sees: none is cut at the edge of a stretch."""
+    known = re.compile(r"(?:\w+ dot )*[\w.]* ?\(at\) ?[\w.]*(?: dot \w+)*", re.IGNORECASE)
+
+    def tagged(tagger, parts):
+        out = []
+        for s in parts:
+            tags = np.full(len(s), pii.TAGS.index("O"))
+            for m in known.finditer(s):
+                tags[m.start():m.end()] = pii.TAGS.index("I-email")
+                tags[m.start()] = pii.TAGS.index("B-email")
+            out.append(tags)
+        return out
+
+    monkeypatch.setattr(pii, "tag_stretches", tagged)
+    many = " dot ".join(f"part{chr(97 + k % 26)}" for k in range(40))
+    for address in ("joe (at) communications.department.example.org", "joe (AT) example.org", "a.very.long.local.part.of.an.address (at) b.org",
+                    "joe (at) averylongdomainnamewithoutanydotinside.example.org", f"joe (at) {many}", f"{many} (at) b.org"):
+        text = "x" * 90 + f", {address}; " + "y" * 90
+        (base, added), = pii.find_spans(None, [text])
+        assert not base and [text[a:b] for _, a, b in added] == [address]
+    two = "joe (at) " + many + " ,, ann (at) b.org"
+    assert len(pii.find_spans(None, [two])[0][1]) == 2
+
+
 def test_personal_data_of_awkward_rows(spark, tagger):
     mail = "write to a.b@c-d.org or +1 (523) 555-7040, card 4111111111111111 at 10.0.0.1"
     df = with_clashes(awkward(spark).union(spark.createDataFrame([(77, mail, "en", "a", 1)], awkward(spark).schema)))
