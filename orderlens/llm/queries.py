@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from orderlens.llm import decontaminate, langid, mixing, pagetext, pii, quality, simhash, substrings, tokens, toxicity
+from orderlens.llm import (
+    decontaminate, langid, mixing, pagetext, pii, quality, runs, simhash, substrings, tokens, topk, toxicity, turntrie,
+)
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -15,9 +17,14 @@ QUERIES = {
     "op8_substrings": substrings.op8_substrings,
     "op9_mixing": mixing.op9_mixing,
     "op10_pagetext": pagetext.op10_pagetext,
+    "op11_runs": runs.op11_runs,
+    "op12_topk": topk.op12_topk,
+    "op13_turntrie": turntrie.op13_turntrie,
 }
 
 ORACLES = {
     "op5_quality": quality.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op12_topk": topk.ORACLE,
+    "op13_turntrie": turntrie.ORACLE,
 }
