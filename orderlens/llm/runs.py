@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import id_as_text, id_back, read, words_of
@@ -264,26 +264,23 @@ def collapse_runs(docs: DataFrame, min_length: int = MIN_LENGTH, min_exponent: i
     return id_back(found, kind).select("doc_id", "n_words", zipped.alias("runs"), "collapsed")
 
 
-def with_planted_runs(text: Column, doc_id: Column) -> Column:
+def with_planted_runs(docs: DataFrame) -> DataFrame:
     """The contract's texts: where crc32 of the decimal doc_id ends in 0, the words from a on repeat with period p."""
-    h = F.crc32(doc_id.cast("string").cast("binary"))
-    words = words_of(text)
-    n = F.size(words).cast("long")
-    g = F.floor(h / 10).cast("long")
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
-
-    def planted(w: Column, a: Column, p: Column) -> Column:
-        return F.concat(F.slice(w, F.lit(1), a.cast("int")), F.transform(
-            F.sequence(a, F.size(w).cast("long") - 1), lambda i: F.element_at(w, (a + (i - a) % p + 1).cast("int"))))
-
-    rewritten = F.array_join(planted(words, a, p), " ")
-    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), rewritten).otherwise(text)
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # a column of its own: used several times below, but split once, and only where it is needed
+    split = docs.select("doc_id", "text", F.when(h % 10 == 0, words_of(F.col("text"))).alias("words"))
+    n, g = F.size("words").cast("long"), F.floor(h / 10).cast("long")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    rest = F.size("words") - a
+    again = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil(rest / p).cast("int")))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), a), F.slice(again, F.lit(1), rest)), " ")
+    return split.select("doc_id", F.when(F.size("words") > 0, planted).otherwise(F.col("text")).alias("text"))
 
 
 def op11_runs(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    found = collapse_runs(docs.select("doc_id", with_planted_runs(F.col("text"), F.col("doc_id")).alias("text")))
+    found = collapse_runs(with_planted_runs(docs))
     # quotients of whole numbers below 2**26 differ by more than a double's last digit, or are equal
     best = F.array_min(F.transform("runs", lambda r: F.struct(
         (-(r["length"] / r["period"])).alias("e"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length"))))
