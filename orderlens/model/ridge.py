@@ -1,9 +1,10 @@
 """Ridge (L2) logistic regression with k-fold cross-validation over a lambda path, lambda.min and
 lambda.1se.
 
-The path is followed by Newton's steps for all folds at once, each step one pass over the cached design; the
-final models are fitted by Spark ML. Only sums of fixed size per partition and coefficients reach
-the driver.
+All folds and lambdas are fitted together by Newton's steps: a step is one pass, one job, over the cached design
+for every model that has not settled, and a tree adds the partitions' sums up on the executors. The final models are fitted by Spark ML.
+Only sums of fixed size, from some square root of the
+partitions, and coefficients reach the driver.
 """
 
 from __future__ import annotations
@@ -28,11 +29,13 @@ from orderlens.schema import CV_FOLDS, MODEL_VERSION, SPLIT_SEED
 RIDGE_ALPHA_FOR_LMAX = 0.001
 LAMBDA_MIN_RATIO = 1e-4
 N_LAMBDA = 100
-# Newton's steps along the path: the change of a scaled coefficient that counts as none, the largest that
-# one step makes, and how many steps one lambda may take
+# Newton's steps: the change of a scaled coefficient that counts as none, the largest that one step makes, and how
+# many steps a model may take
 TOLERANCE = 1e-5
 MAX_CHANGE = 2.0
 MAX_STEPS = 50
+# rows that a pass works on at a time: some 16 MB for 500 models
+BLOCK_ROWS = 2048
 # iterations of the final fits
 MAX_ITERATIONS = 1000
 
@@ -79,28 +82,19 @@ def fold_of(id_col: str, folds: int = CV_FOLDS, seed: int = SPLIT_SEED) -> Colum
     return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(folds)).cast("int")
 
 
-def lambda_path(design: DataFrame, label: str, terms: list[str], n_lambda: int = N_LAMBDA,
-                ratio: float = LAMBDA_MIN_RATIO) -> tuple[list[float], int]:
+def lambda_path(sums: np.ndarray, n_lambda: int = N_LAMBDA, ratio: float = LAMBDA_MIN_RATIO) -> tuple[list[float], int]:
     """Decreasing log-spaced lambdas from lambda_max (glmnet's rule on standardised columns) to
-    ratio * lambda_max, and the row count. One aggregation pass over the data."""
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy")]
-    for i, t in enumerate(terms):
-        x = F.col(term_column(t))
-        aggs += [F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}"), F.sum(x * y).alias(f"c{i}")]
-    r = design.agg(*aggs).first()
-    n, ybar = r["n"], r["sy"] / r["n"]
-    best = 0.0
-    for i in range(len(terms)):
-        mean = r[f"s{i}"] / n
-        sd = math.sqrt(max(r[f"q{i}"] / n - mean * mean, 0.0))
-        if sd > 0:
-            best = max(best, abs(r[f"c{i}"] - n * mean * ybar) / sd / n)
+    ratio * lambda_max, and the row count; from the :func:`_moments` of all folds."""
+    n, sy = sums[:, 0].sum(), sums[:, 1].sum()
+    sx, sq, sc = sums[:, 2:].sum(0).reshape(3, -1)
+    sd = np.sqrt(np.maximum(sq / n - (sx / n) ** 2, 0.0))
+    some = sd > 0
+    best = float((np.abs(sc - sx * sy / n)[some] / sd[some] / n).max(initial=0.0))
     lmax = max(best / RIDGE_ALPHA_FOR_LMAX, 1e-6)
     if n_lambda == 1:
-        return [lmax], n
+        return [lmax], int(n)
     step = math.log(ratio) / (n_lambda - 1)
-    return [lmax * math.exp(step * k) for k in range(n_lambda)], n
+    return [lmax * math.exp(step * k) for k in range(n_lambda)], int(n)
 
 
 def _lr(lam: float, label: str) -> LogisticRegression:
@@ -109,45 +103,74 @@ def _lr(lam: float, label: str) -> LogisticRegression:
                               maxIter=MAX_ITERATIONS, tol=1e-9)
 
 
-def _moments(data: DataFrame, cols: list[str], folds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows per fold, and the standard deviation of every column over the rows outside each fold."""
-    aggs = [F.count(F.lit(1)).alias("n")] + [f(F.col(c)) for c in cols for f in (F.sum, lambda x: F.sum(x * x))]
-    n, sums = np.zeros(folds), np.zeros((folds, len(cols), 2))
-    for r in data.groupBy("_fold").agg(*aggs).collect():  # a row per fold
-        n[r["_fold"]] = r["n"]
-        sums[r["_fold"]] = np.array(r[2:], float).reshape(-1, 2)
-    rest, rows = sums.sum(0) - sums, (n.sum() - n)[:, None]
-    var = (rest[:, :, 1] - rest[:, :, 0] ** 2 / np.maximum(rows, 1)) / np.maximum(rows - 1, 1)
-    return n, np.sqrt(np.maximum(var, 0))
+def _summed(data: DataFrame, run, size: int) -> np.ndarray:
+    """The sum over all partitions of the array of ``size`` numbers that ``run`` makes of a partition's batches: one job.
 
+    Partitions are added up in a tree on the executors (a row of bytes each), so the driver gets
+    some square root of their number at most, however many there are."""
+    def arrays(batches):
+        yield pd.DataFrame({"s": [run(batches).tobytes()]})
 
-def _pass(data: DataFrame, cols: list[str], label: str, betas: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One pass over the data for the models of all folds: the summed held-out log-loss of each, and the
-    gradient and second derivatives of the summed log-loss over the rows outside its fold. A task sums its
-    partition; one row of fixed size per partition is added up on the driver."""
-    folds, width = betas.shape
+    # the one use of an RDD: DataFrames have no aggregate that adds arrays up in one job
+    parts = data.mapInPandas(arrays, "s binary").rdd.map(lambda r: np.frombuffer(r["s"]))
+    return parts.treeReduce(np.add) if parts.getNumPartitions() else np.zeros(size)
+
+
+def _moments(data: DataFrame, cols: list[str], label: str, folds: int) -> np.ndarray:
+    """Per fold: rows, sum of the label, and for every column the sums of x, x * x and x * label."""
+    width = 2 + 3 * len(cols)
+
+    def run(batches):
+        out = np.zeros((folds, width))
+        for b in batches:
+            x, y = b[cols].to_numpy(float), b[label].to_numpy(float)
+            each = np.column_stack([np.ones(len(b)), y, x, x * x, x * y[:, None]])
+            np.add.at(out, b["_fold"].to_numpy(), each)
+        return out
+
+    return _summed(data, run, folds * width).reshape(folds, width)
+
+
+def _spreads(sums: np.ndarray) -> np.ndarray:
+    """The standard deviation of every column over the rows outside each fold."""
+    rest = sums.sum(0) - sums
+    rows = rest[:, :1]
+    sx, sq, _ = np.split(rest[:, 2:], 3, axis=1)
+    return np.sqrt(np.maximum((sq - sx**2 / np.maximum(rows, 1)) / np.maximum(rows - 1, 1), 0))
+
+
+def _pass(data: DataFrame, cols: list[str], label: str, betas: np.ndarray, out_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One pass over the data for many models: the summed log-loss of each over the fold it leaves out (``out_of``), and the
+    gradient and second derivatives of the summed log-loss over all other rows.
+
+    The second derivatives of all models are one product of their weights with the rows' pairwise products of columns."""
+    models, width = betas.shape
+    upper = np.triu_indices(width)
+    size = 1 + width + len(upper[0])
+    folds = np.unique(out_of)
 
     def run(batches):
-        loss, g, h = np.zeros(folds), np.zeros((folds, width)), np.zeros((folds, width, width))
+        out = np.zeros((models, size))
         for b in batches:
-            x = np.column_stack([np.ones(len(b)), b[cols].to_numpy(float)])
-            y, fold = b[label].to_numpy(float), b["_fold"].to_numpy()
-            for f in range(folds):
-                m = x @ betas[f]
-                out = fold == f
-                mo, yo = m[out], y[out]
-                loss[f] += (np.log1p(np.exp(-np.abs(mo))) + np.maximum(mo, 0) - yo * mo).sum()
-                xi, mi, yi = x[~out], m[~out], y[~out]
-                p = 1 / (1 + np.exp(-np.clip(mi, -500, 500)))
-                g[f] += xi.T @ (p - yi)
-                h[f] += (xi * (p * (1 - p))[:, None]).T @ xi
-        yield pd.DataFrame({"s": [np.concatenate([loss, g.ravel(), h.ravel()])]})
-
-    total = np.zeros(folds * (1 + width + width * width))
-    for r in data.mapInPandas(run, "s array<double>").toLocalIterator():
-        total += np.array(r[0])
-    loss, g, h = np.split(total, [folds, folds * (1 + width)])
-    return loss, g.reshape(folds, width), h.reshape(folds, width, width)
+            design = np.column_stack([np.ones(len(b)), b[cols].to_numpy(float)])
+            label_of, fold_of_row = b[label].to_numpy(float), b["_fold"].to_numpy()
+            for fold in np.unique(fold_of_row):
+                rows = np.flatnonzero(fold_of_row == fold)
+                held, rest = np.flatnonzero(out_of == fold), np.flatnonzero(out_of != fold)
+                for k in range(0, len(rows), BLOCK_ROWS):
+                    x, y = design[rows[k:k + BLOCK_ROWS]], label_of[rows[k:k + BLOCK_ROWS], None]
+                    if fold in folds:
+                        m = x @ betas[held].T
+                        out[held, 0] += (np.log1p(np.exp(-np.abs(m))) + np.maximum(m, 0) - y * m).sum(0)
+                    p = 1 / (1 + np.exp(-np.clip(x @ betas[rest].T, -500, 500)))
+                    out[rest, 1:1 + width] += (p - y).T @ x
+                    out[rest, 1 + width:] += (p * (1 - p)).T @ (x[:, upper[0]] * x[:, upper[1]])
+        return out
+
+    total = _summed(data, run, models * size).reshape(models, size)
+    hess = np.zeros((models, width, width))
+    hess[:, upper[0], upper[1]] = hess[:, upper[1], upper[0]] = total[:, 1 + width:]
+    return total[:, 0], total[:, 1:1 + width], hess
 
 
 def cross_validate(design: DataFrame, label: str = "is_low_review", terms: list[str] | None = None,
@@ -156,51 +179,55 @@ def cross_validate(design: DataFrame, label: str = "is_low_review", terms: list[
     """Per lambda: mean and standard error, weighted by the folds' sizes, of the held-out mean log-loss; the
     lambdas; the number of training rows.
 
-    The models of all folds go down the path together, each from its solution at the lambda before: a
-    Newton step is one pass over the one cached frame, and along the path one or two steps do. A
-    step that would change a scaled coefficient by more than ``MAX_CHANGE`` is shortened. A lambda that has not settled after
-    ``MAX_STEPS`` passes raises.
+    The models of all folds and lambdas take their Newton steps together, one pass (one job) over the one cached frame a
+    step; those that have settled are left out of the next. A step that would change a scaled coefficient by more
+    than ``MAX_CHANGE`` is shortened. A model that has not settled after ``MAX_STEPS`` passes raises.
     """
     terms = list(terms or FEATURE_TERMS)
     cols = [term_column(t) for t in terms]
-    lambdas, rows = lambda_path(design, label, terms, n_lambda)
     data = design.select(F.col(label).cast("double").alias(label), *cols, fold_of(id_col, folds, seed).alias("_fold"))
     # deterministic lineage (hash folds): a lost cached block is recomputed identically
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n, sd = _moments(data, cols, folds)
+        sums = _moments(data, cols, label, folds)
+        lambdas, rows = lambda_path(sums, n_lambda)
+        n, sd = sums[:, 0], _spreads(sums)
         used = n.sum() - n
         live = sd > 0  # a column that is constant outside a fold keeps the coefficient 0, as its scale is unknown
-        scale = np.where(live, sd, 1.0)
-        betas = np.zeros((folds, len(cols) + 1))
-        table = []
-        for lam in lambdas:
-            for _ in range(MAX_STEPS):
-                loss, g, h = _pass(data, cols, label, betas)
-                change = 0.0
-                for f in range(folds):
-                    if not used[f]:
-                        continue
-                    penalty = np.concatenate([[0.0], lam * scale[f] ** 2])
-                    grad = g[f] / used[f] + penalty * betas[f]
-                    hess = h[f] / used[f] + np.diag(penalty)
-                    free = np.concatenate([[True], live[f]])
-                    step = np.zeros(len(free))
-                    step[free] = np.linalg.solve(hess[np.ix_(free, free)] + 1e-12 * np.eye(free.sum()), grad[free])
-                    size = np.abs(step * np.concatenate([[1.0], scale[f]])).max()
-                    betas[f] -= step * min(1.0, MAX_CHANGE / size) if size else step
-                    change = max(change, size)
-                if change < TOLERANCE:
-                    break
-            else:
-                raise RuntimeError(f"lambda {lam:g} has not settled after {MAX_STEPS} passes (last change {change:g})")
-            held = n > 0
-            means, weight = loss[held] / n[held], n[held] / n.sum()
-            mean, k = float((weight * means).sum()), int(held.sum())
-            spread = float((weight * (means - mean) ** 2).sum())
-            table.append({"lambda": lam, "mean_logloss": mean, "se_logloss": math.sqrt(spread / max(k - 1, 1)), "folds": k})
+        scale = np.column_stack([np.ones(folds), np.where(live, sd, 1.0)])
+        free = np.column_stack([np.ones(folds, bool), live])
+        # a model for every fold and lambda, those of one fold together
+        out_of, lam = np.repeat(np.arange(folds), len(lambdas)), np.tile(lambdas, folds)
+        betas, losses = np.zeros((len(lam), len(cols) + 1)), np.zeros(len(lam))
+        open_ = np.flatnonzero(used[out_of] > 0)
+        change = 0.0
+        for _ in range(MAX_STEPS):
+            if not len(open_):
+                break
+            fold = out_of[open_]
+            losses[open_], g, h = _pass(data, cols, label, betas[open_], fold)
+            penalty = lam[open_, None] * scale[fold] ** 2
+            penalty[:, 0] = 0.0
+            grad = np.where(free[fold], g / used[fold, None] + penalty * betas[open_], 0.0)
+            hess = h / used[fold, None, None] + np.einsum("ij,jk->ijk", penalty + 1e-12, np.eye(len(cols) + 1))
+            both = free[fold][:, :, None] & free[fold][:, None, :]
+            hess = np.where(both, hess, np.eye(len(cols) + 1))
+            step = np.linalg.solve(hess, grad[:, :, None])[:, :, 0]
+            size = np.abs(step * scale[fold]).max(axis=1)
+            betas[open_] -= step * np.minimum(1.0, MAX_CHANGE / np.maximum(size, 1e-300))[:, None]
+            change = float(size.max())
+            open_ = open_[size >= TOLERANCE]
+        if len(open_):
+            raise RuntimeError(f"lambda {lam[open_].min():g} has not settled after {MAX_STEPS} passes (last change {change:g})")
     finally:
         data.unpersist()
+    held = n > 0
+    means = losses.reshape(folds, -1)[held] / n[held, None]
+    weight, k = n[held, None] / n.sum(), int(held.sum())
+    mean = (weight * means).sum(0)
+    spread = (weight * (means - mean) ** 2).sum(0)
+    table = [{"lambda": x, "mean_logloss": float(m), "se_logloss": math.sqrt(s / max(k - 1, 1)), "folds": k}
+             for x, m, s in zip(lambdas, mean, spread)]
     return table, lambdas, rows
 
 

@@ -103,3 +103,31 @@ def test_choose_lambdas_one_se_rule():
              {"lambda": 0.1, "mean_logloss": 0.40, "se_logloss": 0.01},
              {"lambda": 0.01, "mean_logloss": 0.401, "se_logloss": 0.01}]
     assert ridge.choose_lambdas(table) == (0.1, 1.0)
+
+
+def test_all_folds_and_lambdas_in_few_jobs(spark):
+    """500 models take their steps together: one job a pass, in parallel over the partitions."""
+    sc = spark.sparkContext
+    cohort = layers(spark, SF).cohort
+    design = features.design_matrix(cohort, keep=("order_id", "is_low_review")).repartition(5, "order_id").checkpoint()
+    sc.setJobGroup("ridge-path", "")
+    try:
+        table, _, _ = ridge.cross_validate(design)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = sc.statusTracker().getJobIdsForGroup("ridge-path")
+    assert len(table) == 100 and 3 <= len(jobs) <= 15
+    assert all(len(sc.statusTracker().getJobInfo(j).stageIds) <= 3 for j in jobs)
+
+
+def test_constant_columns_and_a_fold_without_rows(spark, monkeypatch):
+    """A column that never varies keeps the coefficient 0; an empty fold has no part in the means."""
+    rows = [(str(k), k % 3 == 0, float(k % 7), 1.0) for k in range(60)]
+    design = spark.createDataFrame(rows, "order_id string, y boolean, a double, b double").select(
+        "order_id", F.col("y").cast("int").alias("y"), "a", "b")
+    monkeypatch.setattr(ridge, "term_column", lambda t: t)
+    monkeypatch.setattr(ridge, "fold_of", lambda *_: F.pmod(F.col("order_id").cast("int"), F.lit(2)).cast("int"))
+    table, lambdas, n = ridge.cross_validate(design, "y", ["a", "b"], folds=3, n_lambda=5)
+    alone, _, _ = ridge.cross_validate(design, "y", ["a"], folds=3, n_lambda=5)
+    assert n == 60 and all(r["folds"] == 2 for r in table) and len(lambdas) == 5
+    assert all(abs(r["mean_logloss"] - s["mean_logloss"]) < 1e-9 for r, s in zip(table, alone))
