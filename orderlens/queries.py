@@ -102,6 +102,38 @@ def fact_order_items(spark, sf_dir):
     return layers(spark, sf_dir).fact_order_items
 
 
+#: texts that CSV has to quote, by review: "{}" is the order's number
+REVIEW_TITLES = ('plain {}', 'with, comma {}', 'says "{}"', '', None)
+REVIEW_MESSAGES = ('line one\nline two of {}', 'ends in a newline {}\n', '"{}"', '\n\n', '', None, 'quote " and\nnewline, comma {}')
+
+
+def awkward_reviews(reviews: DataFrame) -> DataFrame:
+    """The reviews with titles and messages full of quotes, commas and newlines, NULLs and empty texts."""
+    k = F.col("order_id").cast("long")
+
+    def pick(texts):
+        out = F.lit(None).cast("string")
+        for i, t in enumerate(texts):
+            if t is not None:
+                out = F.when(k % len(texts) == i, F.replace(F.lit(t), F.lit("{}"), F.col("order_id"))).otherwise(out)
+        return out
+
+    return reviews.withColumns({"review_comment_title": pick(REVIEW_TITLES), "review_comment_message": pick(REVIEW_MESSAGES)})
+
+
+@register
+def csv_reviews(spark, sf_dir):
+    """Reviews with awkward texts, written as CSV and read back by many tasks a file."""
+    from orderlens.session import delete_path, scratch_path
+    from orderlens.sources.csv import read_csv
+    path = scratch_path(spark, "csv-reviews")
+    (awkward_reviews(layers(spark, sf_dir).raw.order_reviews).write.option("header", True).option("quote", '"')
+     .option("escape", '"').option("nullValue", "").option("emptyValue", '""').csv(path))
+    found = read_csv(spark, path, "order_reviews").checkpoint(eager=True)
+    delete_path(spark, path)
+    return found
+
+
 # --- marts ---
 @register
 def order_facts(spark, sf_dir):

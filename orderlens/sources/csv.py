@@ -2,11 +2,11 @@
 
 * columns bind by position to the declared schema; the header line is skipped;
 * an unquoted empty field is NULL, a quoted empty field is the empty string;
-* ``""`` inside quotes is one ``"``; a quoted field may hold newlines (``multiline`` tables);
+* ``""`` inside quotes is one ``"``; a quoted field may hold newlines (``multiline`` tables), which are kept as they are;
 * a malformed row aborts the load (``FAILFAST``), as COPY does.
 
-``multiLine`` CSV cannot be split inside a file, so it is used only for the tables that need it
-(review texts); everything else is read with splittable files. Loads are written to Parquet with
+Files are split over many tasks: line by line where no field holds a newline, else (review texts) by
+:mod:`orderlens.sources.csv_records`, which finds the records' borders inside a file. Loads are written to Parquet with
 all columns, so later reads get column pruning and pushdown.
 """
 
@@ -16,29 +16,33 @@ import os
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.schema import RAW_SCHEMAS
+from orderlens.sources.csv_records import quoted_records
 
 # a string that never occurs in the data, so only unquoted empties (not a literal) become NULL
 _NULL_SENTINEL = "\u0000\u0001orderlens-null\u0001\u0000"
 MULTILINE_TABLES = frozenset({"order_reviews"})
 
 
+_COPY_OPTIONS = {
+    "quote": '"', "escape": '"', "mode": "FAILFAST", "nullValue": _NULL_SENTINEL, "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_csv(spark: SparkSession, path: str | list[str], table: str, multiline: bool | None = None) -> DataFrame:
-    """Read one raw table from CSV with its declared schema."""
+    """Read one raw table from CSV with its declared schema.
+
+    ``multiline=True`` reads quoted newlines with one task a file (Spark's own reader), ``False`` line by line; by default
+    tables with newlines in their texts are read by many tasks a file, all others line by line.
+    """
     schema = RAW_SCHEMAS[table]
-    ml = table in MULTILINE_TABLES if multiline is None else multiline
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("enforceSchema", True)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", ml)
-            .option("mode", "FAILFAST")
-            .option("nullValue", _NULL_SENTINEL)
-            .option("emptyValue", "")
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
+    if multiline is None and table in MULTILINE_TABLES:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        return quoted_records(spark, path).select(F.from_csv("record", ddl, _COPY_OPTIONS).alias("r")).select("r.*")
+    return (spark.read.schema(schema).options(header=True, enforceSchema=True, multiLine=bool(multiline), **_COPY_OPTIONS)
             .csv(path))
 
 
