@@ -128,7 +128,8 @@ def csv_reviews(spark, sf_dir):
     from orderlens.sources.csv import read_csv
     path = scratch_path(spark, "csv-reviews")
     (awkward_reviews(layers(spark, sf_dir).raw.order_reviews).write.option("header", True).option("quote", '"')
-     .option("escape", '"').option("nullValue", "").option("emptyValue", '""').csv(path))
+     .option("escape", '"').option("nullValue", "").option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
     found = read_csv(spark, path, "order_reviews").checkpoint(eager=True)
     delete_path(spark, path)
     return found
@@ -214,7 +215,7 @@ def qa_duplicate_keys(spark, sf_dir):
         "order_facts": (L.order_facts, ["order_id"]),
         "item_facts": (marts.item_facts(L.fact_order_items), ["order_id", "order_item_id"]),
         "delivery_review": (L.delivery_review, ["order_id"]),
-        "sla_risk_scoring": (proxy_store(spark, sf_dir), ["order_id", "score_date"]),
+        "sla_risk_scoring": (proxy_store_keys(L.cohort), ["order_id", "score_date"]),
     })
 
 
@@ -343,6 +344,17 @@ def proxy_store(spark, sf_dir):
     return upsert_merge(existing, incoming, ["order_id", "score_date"])
 
 
+def proxy_store_keys(cohort: DataFrame) -> DataFrame:
+    """The keys of the same store, which take no cut-offs: a lazy plan."""
+    from functools import reduce
+
+    from orderlens.operators.keyed import upsert_merge
+    cap = F.col("delay_cap")
+    batches = [cohort, cohort, cohort.filter(cap > 0), cohort.filter(cap.between(4, 14))]
+    keyed = [b.select("order_id", F.lit(d).cast("date").alias("score_date")) for b, d in zip(batches, (DAY1, DAY2, DAY2, DAY3))]
+    return upsert_merge(reduce(DataFrame.unionByName, keyed[:2]), reduce(DataFrame.unionByName, keyed[2:]), ["order_id", "score_date"])
+
+
 @register
 def exact_quantile(spark, sf_dir):
     from orderlens.operators.rank import exact_quantiles
@@ -479,7 +491,34 @@ def declared_probability(spark, sf_dir):
     return rounded(evaluate.implied_probability(train, coefs))
 
 
-# --- the ridge model itself (fit by Spark ML; no SQL oracle: rows-only checks) ---
+# --- unadjusted effects, which SQL can follow: the same reports over them ---
+def crude(spark, sf_dir):
+    """Effects of delay bucket and month, and of a price band, which is no key term."""
+    from orderlens.model import evaluate
+    from orderlens.schema import DELAY_BUCKET_LEVELS, MONTH_LEVELS
+    factors = {"delay_bucket": (F.col("delay_bucket"), DELAY_BUCKET_LEVELS[0]), "month": (F.col("month"), str(MONTH_LEVELS[0])),
+               "price_band": (F.least(F.floor(F.col("price") / 100_000), F.lit(4)).cast("int"), "0")}
+    return evaluate.crude_effects(layers(spark, sf_dir).cohort, factors)
+
+
+@register
+def crude_effects(spark, sf_dir):
+    return rounded(crude(spark, sf_dir))
+
+
+@register
+def crude_key_terms(spark, sf_dir):
+    from orderlens.model import evaluate
+    return rounded(evaluate.key_terms(crude(spark, sf_dir)))
+
+
+@register
+def crude_top_effects(spark, sf_dir):
+    from orderlens.model import evaluate
+    return rounded(evaluate.top_effects(crude(spark, sf_dir)))
+
+
+# --- the ridge model itself (fit by Spark ML; no SQL oracle for its figures: rows-only checks) ---
 _MODELS: dict[tuple[str, str], tuple] = {}
 
 
@@ -514,6 +553,23 @@ def coefficients(spark, sf_dir):
     return _coefs(spark, m1se)
 
 
+#: a fit is at its optimum where no derivative is larger
+GRADIENT_TOLERANCE = 1e-5
+
+
+@register
+def ridge_settled(spark, sf_dir):
+    """Per term: is the fitted model (lambda.1se) at its optimum over the training split?"""
+    from orderlens.model import evaluate, features
+    from orderlens.model.score import predict
+    split, m1se, _ = trained(spark, sf_dir)
+    train = split.filter(F.col("split") == "train")
+    design = features.design_matrix(train, keep=("order_id", "is_low_review")).join(
+        predict(m1se, train).select("order_id", "risk_score"), "order_id")
+    g = evaluate.gradient(design, m1se.terms, m1se.betas, m1se.lambda_used)
+    return g.select("term", (F.abs("gradient") < GRADIENT_TOLERANCE).alias("settled"))
+
+
 @register
 def key_terms(spark, sf_dir):
     from orderlens.model import evaluate

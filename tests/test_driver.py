@@ -15,7 +15,7 @@ FAST = ["dim_date", "order_facts", "sla_orders", "sla_daily", "sla_delivered_dai
         "sla_order_enriched", "model_cohort", "low_review_by_bucket", "customer_rfm", "qa_late_percentiles",
         "qa_recent_days", "qa_duplicate_keys", "exact_quantile", "roc_auc", "youden", "confusion", "wbr_weekly",
         "align_columns", "stored_scores", "latest_score", "qa_dirty_keys", "qa_dirty_nulls", "dim_customer",
-        "declared_scores", "declared_probability"]
+        "declared_scores", "declared_probability", "csv_reviews", "crude_effects", "crude_key_terms", "crude_top_effects"]
 
 
 def _norm(v):
