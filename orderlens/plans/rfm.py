@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import rules as R
-from orderlens.operators.rank import global_ntile
+from orderlens.operators.cuts import ntiles
 from orderlens.schema import ORDER_STATUS_DELIVERED, RFM_TILES
 
 
@@ -33,13 +33,12 @@ def rfm_raw(order_facts: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def customer_rfm(order_facts: DataFrame, customers: DataFrame, tiles: int = RFM_TILES,
-                 num_partitions: int | None = None) -> DataFrame:
+def customer_rfm(order_facts: DataFrame, customers: DataFrame, tiles: int = RFM_TILES) -> DataFrame:
     """RFM scores: R = (tiles+1) - NTILE by recency ascending, F and M = NTILE ascending.
 
-    Ties inside a score column are broken by customer_id, so the result is deterministic. The three
-    NTILEs are three distributed global rankings (see :mod:`orderlens.operators.rank`), applied one
-    after the other on the same rows, so no join is needed to bring them together.
+    Ties inside a score column are broken by customer_id, so the result is deterministic. The persons are stored once; the
+    cut keys of all three NTILEs are found together (see :mod:`orderlens.operators.cuts`) and one projection
+    scores every person, so no row is sorted or moved for a rank.
     """
     # the one-row parameter table is a scalar subquery: computed once, no join
     as_of = rfm_params(order_facts).scalar()
@@ -48,13 +47,7 @@ def customer_rfm(order_facts: DataFrame, customers: DataFrame, tiles: int = RFM_
         "customer_id", as_of.alias("as_of_date"),
         F.datediff(as_of, F.col("last_purchase_date")).alias("recency_days"),
         "last_purchase_date", "frequency", "monetary_value")
-    cid = F.col("customer_id").asc()
-    scored = global_ntile(rfm, [F.col("recency_days").asc_nulls_last(), cid], tiles, "_r", num_partitions)
-    # the later rankings read the previous one's checkpoint: their input needs no staging of its own
-    scored = global_ntile(scored, [F.col("frequency").asc_nulls_last(), cid], tiles, "f_score", num_partitions,
-                          stage_input=False)
-    scored = global_ntile(scored, [F.col("monetary_value").asc_nulls_last(), cid], tiles, "m_score", num_partitions,
-                          stage_input=False)
+    scored = ntiles(rfm, {"_r": "recency_days", "f_score": "frequency", "m_score": "monetary_value"}, "customer_id", tiles)
     r = (F.lit(tiles + 1) - F.col("_r")).cast("int")
     out = scored.select("*", r.alias("r_score"))
     return out.select(
