@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import dates as D
 from orderlens.functions import rules as R
+from orderlens.operators.grouped import grouped_percentiles
 
 
 def order_facts(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
@@ -240,6 +241,17 @@ def model_cohort(enriched: DataFrame) -> DataFrame:
     )
 
 
+def delivery_days_daily(order_facts: DataFrame) -> DataFrame:
+    """Per delivered date: p50, p90 and p99 of the days from purchase to delivery, as fractions of a day, and p90 of the late
+    orders'. The values are nearly all distinct, so the days are searched together (see :mod:`orderlens.operators.grouped`)."""
+    days = order_facts.filter(F.col("delivered_customer_ts").isNotNull() & F.col("delivery_days").isNotNull()).select(
+        F.to_date("delivered_customer_ts").alias("delivered_date"), "delivery_days", "is_late")
+    late = F.when(F.col("is_late"), F.col("delivery_days"))
+    return grouped_percentiles(days, ["delivered_date"], {"all": F.col("delivery_days"), "late": late}, {
+        "p50_delivery_days": ("all", 0.5), "p90_delivery_days": ("all", 0.9), "p99_delivery_days": ("all", 0.99),
+        "p90_late_delivery_days": ("late", 0.9)})
+
+
 def low_review_by_bucket(cohort: DataFrame) -> DataFrame:
     """Observed low-review rate per delay bucket (the "8-day cliff")."""
     return cohort.groupBy("delay_bucket").agg(

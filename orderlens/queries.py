@@ -156,6 +156,11 @@ def sla_delivered_daily(spark, sf_dir):
     return rounded(marts.sla_delivered_daily(layers(spark, sf_dir).sla_orders))
 
 
+@register
+def delivery_days_daily(spark, sf_dir):
+    return rounded(marts.delivery_days_daily(layers(spark, sf_dir).order_facts))
+
+
 @register
 def item_facts(spark, sf_dir):
     return marts.item_facts(layers(spark, sf_dir).fact_order_items)
