@@ -1,24 +1,27 @@
 """Token counts by a compiled finite-state transducer.
 
-A byte-pair vocabulary is compiled into a deterministic transducer: its states are what the last
-characters leave open, and each transition carries the number of tokens it emits (below zero where a
-character lets earlier tokens merge). It rests on a property of byte-pair encoding: tokens
-``t1 .. tn`` are the encoding of their text exactly if the encoding of every two neighbours is those two
-tokens. So for each prefix of a text only its last token and its count matter, and of those only the
-ones at which a vocabulary piece can still begin; these form the state. States and transitions are
-built when first needed, and dropped together above ``MAX_STATES``; so memory is bounded.
-
-No piece goes on past a space that follows another character, so there every state falls back to the
-first one. A chunk of a text is a map from states to states and counts; up to its first such point
-it is kept as characters, behind its last one too, and in between as a count. Maps compose
-associatively (:func:`compose`), so chunks are counted each on its own and combined in a tree.
+It rests on a property of byte-pair encoding: tokens ``t1 .. tn`` are the encoding of their text exactly if the encoding
+of every two neighbours is those two tokens. So for each prefix of a text only its last token and its count matter. The
+vocabulary is compiled once, on the driver, into arrays (:mod:`orderlens.llm.piecearrays`) that are broadcast; their size
+depends on the vocabulary alone.
+
+No piece goes on past a space that follows another character, so a text is counted word by word. The words of many
+texts that are not known yet go through the arrays side by side; their counts are kept up to ``MAX_WORDS``. A word of
+``LONG`` characters or more is read once, with the last tokens of as many prefixes as the longest piece has
+characters (:meth:`Transducer.long`), so a text without spaces takes no more memory than its characters.
+
+A chunk of a text is a map: up to its first word border it is kept as characters, behind its last one too, and in
+between as a count. Maps compose associatively (:func:`compose`), so chunks are counted each on its own and combined
+in a tree. The few words at their seams go through a small transducer whose states are what the last characters leave
+open and whose transitions carry the tokens they emit (below zero where a character lets earlier tokens
+merge); its states are built when first needed and dropped together above ``MAX_STATES``.
 """
 
 from __future__ import annotations
 
-import gc
 import re
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -26,13 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import id_as_text, id_back, read
+from orderlens.llm.piecearrays import PieceArrays
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
-MAX_STATES = 200_000
+MAX_STATES = 20_000
 MAX_WORDS = 600_000
 MAX_PAIRS = 500_000
 CHUNK = 1 << 16
+#: characters from which a word is read on its own and its count not kept
+LONG = 64
+#: characters of texts whose words go through the arrays together
+TOGETHER = 1 << 21
 GAP = "▁"  # the visible space of the vocabulary
 
 
@@ -57,8 +65,8 @@ class _State:
 class Transducer:
     """Counts the tokens of words: gaps, if any, followed by other characters, if any."""
 
-    def __init__(self, pieces: dict[str, float]):
-        self.pieces = pieces
+    def __init__(self, pieces: dict[str, float], arrays: PieceArrays | None = None):
+        self.pieces, self.arrays = pieces, arrays
         self.prefixes = {p[:k] for p in pieces for k in range(1, len(p))}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.own: dict[str, bool] = {}
@@ -67,6 +75,7 @@ class Transducer:
             raise ValueError("a piece of the vocabulary goes on past a space")
         # gaps merge last and from the left, to the longest piece of gaps and a rest
         self.longest = max((len(p) for p in pieces if not p.strip(GAP)), default=1)
+        self.reach = max(map(len, pieces), default=1)
         self.rests = [len(self.merged(GAP * k)) for k in range(self.longest)]
         self.clear()
 
@@ -144,24 +153,59 @@ class Transducer:
         gaps = len(word) - len(body)
         if not body:
             n = self.gaps(gaps)
+        elif len(word) >= LONG:
+            n, lone = self.long(word[max(gaps - 1, 0):])
+            n += self._before(gaps, lone)
         else:
             state, n, step = self.start, 0, self.step
             for char in word[max(gaps - 1, 0):]:  # the last gap belongs to the word
                 move = state.next.get(char)
                 state, more = step(state, char) if move is None else move
                 n += more
-            if gaps > 1:  # a last gap that no piece of the word takes joins those before it
-                n += self.gaps(gaps) - 1 if state.past[-1][2] else self.gaps(gaps - 1)
+            n += self._before(gaps, state.past[-1][2])
         if len(self.states) > MAX_STATES:
             self.clear()
         if len(self.words) > MAX_WORDS:
             self.words.clear()
         if len(self.pairs) > MAX_PAIRS:
             self.pairs.clear()
-        if len(word) < 64:
+        if len(word) < LONG:
             self.words[word] = n
         return n
 
+    def _before(self, gaps: int, lone: bool) -> int:
+        """Tokens of the gaps before a word's last one; a last gap that no piece of the word takes joins them."""
+        return 0 if gaps < 2 else self.gaps(gaps) - 1 if lone else self.gaps(gaps - 1)
+
+    def long(self, text: str) -> tuple[int, bool]:
+        """Tokens of a word of any length, and whether its first is a lone gap: one reading with the last tokens of the
+        last few prefixes."""
+        past: deque = deque([(None, 0, False)], maxlen=self.reach)  # as in a state: last token before, count, lone gap first
+        for i in range(len(text)):
+            for k in range(min(len(past), i + 1), 0, -1):
+                piece = text[i + 1 - k:i + 1]
+                if k > 1 and piece not in self.pieces:
+                    continue
+                left, n, lone = past[-k]
+                if self._fits(left, piece):
+                    n += 1 if piece in self.pieces else len(piece.encode("utf-8", "surrogatepass"))
+                    past.append((piece, n, piece == GAP if left is None else lone))
+                    break
+            else:
+                raise AssertionError(f"no last token at {i}")
+            if len(self.pairs) > MAX_PAIRS:
+                self.pairs.clear()
+        return past[-1][1:]
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Count words that are not known yet, all together."""
+        new = [w for w in words if w not in self.words and len(w) < LONG and w.strip(GAP)]
+        if self.arrays is None or not new:
+            return
+        gaps = [len(w) - len(w.lstrip(GAP)) for w in new]
+        counts, lone = self.arrays.count([w[max(g - 1, 0):] for w, g in zip(new, gaps)])
+        self.words.update((w, n + self._before(g, one)) for w, g, n, one in zip(new, gaps, counts.tolist(), lone.tolist()))
+
 
 _WORD = re.compile(f"{GAP}*[^{GAP}]+|{GAP}+")
 
@@ -178,9 +222,12 @@ class ChunkMap:
 
 def chunk_map(t: Transducer, text: str) -> ChunkMap:
     """The map of a chunk of escaped text (its spaces are gaps)."""
-    words = _WORD.findall(text)
+    return _map_of(t, _WORD.findall(text))
+
+
+def _map_of(t: Transducer, words: list[str]) -> ChunkMap:
     if len(words) < 2:
-        return ChunkMap(text, 0, None)
+        return ChunkMap("".join(words), 0, None)
     get = t.words.get
     return ChunkMap(words[0], sum(c if (c := get(w)) is not None else t.count(w) for w in words[1:-1]), words[-1])
 
@@ -201,18 +248,44 @@ def compose(t: Transducer, a: ChunkMap, b: ChunkMap) -> ChunkMap:
     return ChunkMap(a.head, a.count + seam + b.count, b.tail)
 
 
-def count_tokens(t: Transducer, text: str | None, chunk: int = CHUNK) -> int:
-    """Tokens of a whole text, without begin or end tokens; 0 for NULL and the empty text."""
-    if not text:
+def chunk_words(text: str | None, chunk: int = CHUNK) -> list[list[str]]:
+    """The words of every chunk of a text, which begins with a gap."""
+    return [_WORD.findall((GAP if at == 0 else "") + text[at:at + chunk].replace(" ", GAP)) for at in range(0, len(text or ""), chunk)]
+
+
+def combined(t: Transducer, chunks: list[list[str]]) -> int:
+    """Tokens of a text by the words of its chunks."""
+    if not chunks:
         return 0
-    maps = [chunk_map(t, (GAP if at == 0 else "") + text[at:at + chunk].replace(" ", GAP))
-            for at in range(0, len(text), chunk)]
+    maps = [_map_of(t, words) for words in chunks]
     while len(maps) > 1:  # the scan's tree: neighbours in pairs
         maps = [compose(t, maps[k], maps[k + 1]) if k + 1 < len(maps) else maps[k] for k in range(0, len(maps), 2)]
     m = maps[0]
     return t.count(m.head) + m.count + (t.count(m.tail) if m.tail is not None else 0)
 
 
+def count_tokens(t: Transducer, text: str | None, chunk: int = CHUNK) -> int:
+    """Tokens of a whole text, without begin or end tokens; 0 for NULL and the empty text."""
+    return combined(t, chunk_words(text, chunk))
+
+
+def count_all(t: Transducer, texts: list[str | None]) -> list[int]:
+    """Tokens of many texts; the new words of ``TOGETHER`` characters of them are counted at a time."""
+    out, at = [], 0
+    while at < len(texts):
+        chunks, size = [], 0
+        while at + len(chunks) < len(texts) and size < TOGETHER:
+            text = texts[at + len(chunks)]
+            chunks.append(chunk_words(text))
+            size += len(text or "")
+        if len(t.words) > MAX_WORDS:
+            t.words.clear()
+        t.learn({w for c in chunks for words in c for w in words})
+        out += [combined(t, c) for c in chunks]
+        at += len(chunks)
+    return out
+
+
 _COMPILED: dict[str, Transducer] = {}
 
 
@@ -224,20 +297,16 @@ def with_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     vocabulary at ``path`` (bounded by the model) is read by the driver and broadcast.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((path, load_pieces(path)))
+    pieces = load_pieces(path)
+    sent = spark.sparkContext.broadcast((path, pieces, PieceArrays(pieces, GAP)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, pieces = sent.value
+        name, pieces, arrays = sent.value
         if name not in _COMPILED:
-            _COMPILED[name] = Transducer(pieces)
+            _COMPILED[name] = Transducer(pieces, arrays)
         t = _COMPILED[name]
         for b in batches:
-            gc.disable()  # states hold no cycles, and looking for some among all of them takes an eighth of the time
-            try:
-                n = [count_tokens(t, x) for x in b["text"]]
-            finally:
-                gc.enable()
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": b["n_bytes"], "n_tokens": n})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": b["n_bytes"], "n_tokens": count_all(t, b["text"].tolist())})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))

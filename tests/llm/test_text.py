@@ -3,6 +3,7 @@
 import html
 import itertools
 import random
+import tracemalloc
 import re
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from awkward import LOREM, SF, awkward, rows, with_clashes
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontaminate, langid, pagetext, pii, tokens, toxicity
+from orderlens.llm import decontaminate, langid, pagetext, piecearrays, pii, tokens, toxicity
 from orderlens.llm.common import held_out
 
 
@@ -390,3 +391,38 @@ def test_awkward_pages(spark):
     got = rows(out.select("page_id", "url", "n_chars"))
     assert got == [(1, "u", 0), (2, None, 0), (2, None, 0), (4, "w", 4), (5, "x", 599_999), (None, "v", 11)]
     assert pagetext.extract(pages.limit(0)).count() == 0
+
+
+def test_tokens_of_many_words_at_once(docs, model_path):
+    """The arrays against the transducer's scalar steps, and the merges themselves, on real and random words."""
+    pieces = tokens.load_pieces(model_path)
+    arrays = piecearrays.PieceArrays(pieces, tokens.GAP)
+    t = tokens.Transducer(pieces)
+    rng = random.Random(8)
+    chars = "abcdeéß漢字😀\ud800\t0123'.=" + tokens.GAP
+    words = {w for r in docs.limit(60).collect() for w in tokens._WORD.findall(tokens.GAP + (r["text"] or "").replace(" ", tokens.GAP))}
+    words |= {tokens.GAP * rng.randrange(2) + "".join(rng.choice(chars[:-1]) for _ in range(rng.randint(1, 40))) for _ in range(500)}
+    words |= {c * k for c in "a.=漢" for k in (1, 2, 3, 5, 8, 13, 60)}
+    words = [w.lstrip(tokens.GAP) if k % 2 else w for k, w in enumerate(sorted(words)) if w.strip(tokens.GAP) and len(w) - len(w.lstrip(tokens.GAP)) < 2]
+    counts, lone = arrays.count(words)
+    for w, n, one in zip(words, counts.tolist(), lone.tolist()):
+        assert n == sum(1 if p in pieces else len(p.encode("utf-8", "surrogatepass")) for p in t.merged(w)), w
+        assert (n, one) == t.long(w) and one == (t.merged(w)[0] == tokens.GAP)
+    names = rng.sample(sorted(p for p in pieces if tokens.GAP not in p[1:]), 400)
+    number = {p: k for k, p in enumerate(sorted((p for p in pieces if len(p) == 1)) + sorted((p for p in pieces if len(p) > 1), key=lambda p: -pieces[p]))}
+    for a, b in zip(names, names[1:]):
+        assert bool(arrays.fits(np.array([number[a]]), np.array([number[b]]))[0]) == (t.merged(a + b) == [a, b])
+
+
+def test_text_without_spaces_takes_little_memory(model_path):
+    pieces = tokens.load_pieces(model_path)
+    t = tokens.Transducer(pieces, piecearrays.PieceArrays(pieces, tokens.GAP))
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefghij.=é漢") for _ in range(200_000))
+    tracemalloc.start()
+    n = tokens.count_all(t, [text, None, "", text[:100]])
+    assert tracemalloc.get_traced_memory()[1] < 60e6 and len(t.states) < 100
+    tracemalloc.stop()
+    import sentencepiece
+    lib = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    assert n == [len(lib.encode(text)), 0, 0, len(lib.encode(text[:100]))]
