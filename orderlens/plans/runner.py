@@ -1,8 +1,9 @@
 """The whole run, in order: warehouse, marts, quality gate, model, daily scores, weekly report.
 
 Materialised layers (fact, marts, weekly report) are written as Parquet and read back, so each stage
-starts from stored tables (lineage is cut at every layer, as the warehouse's tables do). The views
-(enriched orders, model cohort, scored orders) stay lazy plans over the stored marts.
+starts from stored tables (lineage is cut at every layer, as the warehouse's tables do). They go into a folder of the run's
+own; a manifest that is written last switches readers to all of them at once (:class:`orderlens.sources.tables.Versions`). The
+views (enriched orders, model cohort, scored orders) stay lazy plans over the published marts.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from orderlens.model.score import ScoreStore, assemble_scores, predict, run_summ
 from orderlens.operators.keyed import insert_if_absent_rows
 from orderlens.plans import marts, quality, report, rfm, warehouse
 from orderlens.schema import DW_KEYS
-from orderlens.session import delete_path, scratch_path
+from orderlens.session import delete_path
 from orderlens.sources.adapter import RawTables
-from orderlens.sources.tables import Layer
+from orderlens.sources.tables import Layer, Versions
 
 log = logging.getLogger("orderlens")
 
@@ -53,7 +54,7 @@ def build_warehouse(raw: RawTables, dw: Layer, result: RunResult) -> None:
 
 
 def build_marts(raw: RawTables, mart: Layer) -> dict[str, DataFrame]:
-    """The item fact and the marts, written to ``mart`` (a staging layer: the gate comes before publishing)."""
+    """The item fact and the marts, written to ``mart`` (the run's own folder: the gate comes before publishing)."""
     out = {}
     fact = out["fact_order_items"] = mart.overwrite(
         "fact_order_items", warehouse.fact_order_items(raw.order_items, raw.orders))
@@ -67,16 +68,6 @@ def build_marts(raw: RawTables, mart: Layer) -> dict[str, DataFrame]:
     return out
 
 
-def publish(staged: dict[str, DataFrame], dw: Layer, mart: Layer, result: RunResult) -> dict[str, DataFrame]:
-    """Full refresh of the fact and the marts from tables that passed the gate."""
-    out = {}
-    for name, df in staged.items():
-        layer = dw if name == "fact_order_items" else mart
-        out[name] = layer.overwrite(name, df)
-        result.tables[name] = layer.path(name)
-    return out
-
-
 def quality_checks(dw: Layer, m: dict[str, DataFrame]) -> dict[str, DataFrame]:
     fact = m["fact_order_items"]
     return {
@@ -106,15 +97,19 @@ def run(spark: SparkSession, raw: RawTables, out_dir: str, score_date: dt.date |
     result = RunResult()
     dw, mart = Layer(spark, os.path.join(out_dir, "dw")), Layer(spark, os.path.join(out_dir, "mart"))
     build_warehouse(raw, dw, result)
-    staging = Layer(spark, scratch_path(spark, "run-staging"))
-    staged = build_marts(raw, staging)
+    versions = Versions(spark, out_dir)
+    own = Layer(spark, versions.new())
+    m = build_marts(raw, own)
     # every check is evaluated and stored; bad data stops here, with the published tables as they were
     qa = Layer(spark, os.path.join(out_dir, "qa"))
-    result.checks = {name: qa.overwrite(name, df) for name, df in quality_checks(dw, staged).items()}
+    result.checks = {name: qa.overwrite(name, df) for name, df in quality_checks(dw, m).items()}
     if gate:
-        quality.gate(result.checks)
-    m = publish(staged, dw, mart, result)
-    delete_path(spark, staging.root)
+        try:
+            quality.gate(result.checks)
+        except Exception:
+            delete_path(spark, own.root)
+            raise
+    result.tables.update({name: own.path(name) for name in m})
 
     enriched = marts.sla_order_enriched(m["sla_orders"], m["delivery_review"])
     cohort = marts.model_cohort(enriched)
@@ -131,7 +126,7 @@ def run(spark: SparkSession, raw: RawTables, out_dir: str, score_date: dt.date |
 
     day = score_date or dt.date.today()
     batch = assemble_scores(predict(model, cohort), day, model.version, mode=flag_mode)
-    store = ScoreStore(spark, os.path.join(out_dir, "mart", "sla_risk_scoring"))
+    store = ScoreStore(spark, mart.path("sla_risk_scoring"))
     store.upsert(batch)
     stored = quality.score_checks(store.read())
     result.checks.update({name: qa.overwrite(name, df) for name, df in stored.items()})
@@ -147,17 +142,18 @@ def run(spark: SparkSession, raw: RawTables, out_dir: str, score_date: dt.date |
 
     # the weekly report reads no review column: its view leaves the review mart out
     scored = report.sla_order_scored(marts.sla_order_enriched(m["sla_orders"], None), store.read())
-    mart.overwrite("sla_wbr_weekly", report.wbr_weekly(scored))
-    result.tables["sla_wbr_weekly"] = mart.path("sla_wbr_weekly")
+    own.overwrite("sla_wbr_weekly", report.wbr_weekly(scored))
+    result.tables["sla_wbr_weekly"] = own.path("sla_wbr_weekly")
+    versions.publish(result.tables)
     return result
 
 
 def views(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """The lazy views over a finished run: enriched orders, model cohort, scored orders, follow-up list.
+    """The lazy views over the published run: enriched orders, model cohort, scored orders, follow-up list.
     Also registered as temp views under the same names."""
-    mart = Layer(spark, os.path.join(out_dir, "mart"))
-    enriched = marts.sla_order_enriched(mart.read("sla_orders"), mart.read("delivery_review"))
-    store = ScoreStore(spark, mart.path("sla_risk_scoring"))
+    tables = Versions(spark, out_dir).current()
+    enriched = marts.sla_order_enriched(spark.read.parquet(tables["sla_orders"]), spark.read.parquet(tables["delivery_review"]))
+    store = ScoreStore(spark, tables["sla_risk_scoring"])
     scored = report.sla_order_scored(enriched, store.read())
     out = {
         "v_sla_order_enriched": enriched,
@@ -165,7 +161,7 @@ def views(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
         "v_sla_order_scored": scored,
         "follow_up_list": report.follow_up_list(scored),
         # stored order is not a promise: the weekly report is ordered when read
-        "sla_wbr_weekly": mart.read("sla_wbr_weekly").orderBy("week_start"),
+        "sla_wbr_weekly": spark.read.parquet(tables["sla_wbr_weekly"]).orderBy("week_start"),
     }
     for name, df in out.items():
         df.createOrReplaceTempView(name)

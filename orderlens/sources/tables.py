@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +49,62 @@ class Layer:
     def append(self, name: str, df: DataFrame) -> DataFrame:
         df.write.mode("append").parquet(self.path(name))
         return self.read(name)
+
+
+class Versions:
+    """Published sets of tables: a folder for every run, and a manifest that names the tables of one run.
+
+    A run writes its tables below :meth:`new` and publishes them by one new file in ``<root>/manifests``, written elsewhere
+    and renamed into place; readers take the manifest with the greatest number. Until then, and if the run stops, they see the
+    set before, whole. One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _numbers(self) -> list[int]:
+        fs, p = self._fs(f"{self.root}/manifests")
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+
+    def _tables(self, number: int) -> dict[str, str]:
+        text = "".join(r[0] for r in self.spark.read.text(f"{self.root}/manifests/{number:010d}.json", wholetext=True).collect())
+        return json.loads(text)["tables"]
+
+    def new(self) -> str:
+        """A folder that no other run uses."""
+        return f"{self.root}/versions/{uuid.uuid4().hex}"
+
+    def current(self) -> dict[str, str]:
+        """Table -> path of the published set."""
+        numbers = self._numbers()
+        if not numbers:
+            raise FileNotFoundError(f"nothing is published below {self.root}")
+        return self._tables(numbers[-1])
+
+    def publish(self, tables: dict[str, str], keep: int = 2) -> int:
+        """Switch readers to ``tables``; returns the manifest's number. Manifests older than the last ``keep`` go, and the version
+        folders that no kept one names (of old runs, and of runs that stopped); readers of the set before can finish."""
+        numbers = self._numbers()
+        number = numbers[-1] + 1 if numbers else 1
+        fs, temporary = self._fs(f"{self.root}/manifests/.{uuid.uuid4().hex}")
+        out = fs.create(temporary)
+        out.write(bytearray(json.dumps({"tables": tables}).encode()))
+        out.close()
+        place = self._fs(f"{self.root}/manifests/{number:010d}.json")[1]
+        if not fs.rename(temporary, place):
+            raise RuntimeError(f"manifest {number} could not be put in place")
+        kept = [n for n in numbers if n > number - keep] + [number]
+        for n in numbers:
+            if n not in kept:
+                old, p = self._fs(f"{self.root}/manifests/{n:010d}.json")
+                old.delete(p, False)
+        used = "\n".join(path for n in kept for path in self._tables(n).values())
+        for status in fs.listStatus(self._fs(f"{self.root}/versions")[1]):
+            if f"/versions/{status.getPath().getName()}/" not in used:
+                fs.delete(status.getPath(), True)
+        return number
