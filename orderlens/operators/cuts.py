@@ -43,16 +43,19 @@ def _numbers(c: Column, kind: T.DataType) -> list[Column]:
     raise TypeError(f"tiles need numbers, dates or timestamps, not {kind.simpleString()}")
 
 
-def _components(df: DataFrame, value: str, tie: str, tie_bytes: int) -> list[Column]:
-    """Numbers that are never NULL and whose lexicographic order is that of (value, NULL last; tie)."""
+def _value_parts(df: DataFrame, value: str) -> list[Column]:
+    """Numbers that are never NULL and order as the value does, NULL last."""
     v = F.col(value)
-    out = [F.when(v.isNull(), 1).otherwise(0)] + [F.coalesce(c, F.lit(0)) for c in _numbers(v, df.schema[value].dataType)]
+    return [F.when(v.isNull(), 1).otherwise(0)] + [F.coalesce(c, F.lit(0)) for c in _numbers(v, df.schema[value].dataType)]
+
+
+def _tie_parts(df: DataFrame, tie: str, tie_bytes: int) -> list[Column]:
     if not isinstance(df.schema[tie].dataType, T.StringType):
-        return out + _numbers(F.col(tie), df.schema[tie].dataType)
+        return _numbers(F.col(tie), df.schema[tie].dataType)
     raw = F.col(tie).cast("binary")
-    for at in range(0, max(tie_bytes, 1), CHUNK):
-        out.append(F.conv(F.rpad(F.hex(F.substring(raw, at + 1, CHUNK)), 2 * CHUNK, "0"), 16, 10).cast("double"))
-    return out + [F.length(raw)]  # texts that are equal when filled up with zero bytes: the shorter first
+    chunks = [F.conv(F.rpad(F.hex(F.substring(raw, at + 1, CHUNK)), 2 * CHUNK, "0"), 16, 10).cast("double")
+              for at in range(0, max(tie_bytes, 1), CHUNK)]
+    return chunks + [F.length(raw)]  # texts that are equal when filled up with zero bytes: the shorter first
 
 
 @dataclass
@@ -80,7 +83,13 @@ class _Wanted:
 def keys_at(df: DataFrame, ranks: Mapping[str, Sequence[int]], tie: str, rows: int, tie_bytes: int) -> dict[tuple[str, int], tuple]:
     """(value column, 0-based rank) -> (value, tie) of the row at that rank by (value ascending, NULL last; tie). ``df`` should
     be stored; ``tie`` must be unique and not NULL."""
-    parts = {v: _components(df, v, tie, tie_bytes) for v in ranks}
+    # the parts of all keys are stored once, so that the rounds compare plain numbers
+    made = {f"_v{i}_{j}": c for i, v in enumerate(ranks) for j, c in enumerate(_value_parts(df, v))}
+    ties = {f"_t{j}": c for j, c in enumerate(_tie_parts(df, tie, tie_bytes))}
+    df = df.select(*[F.col(v) for v in ranks], F.col(tie), *[c.alias(n) for n, c in (made | ties).items()]).checkpoint(eager=True)
+    ends = df.agg(*[f(n).alias(f"{n}_{k}") for n in made | ties for k, f in enumerate((F.min, F.max))]).first()
+    told = [n for n in made | ties if ends[f"{n}_0"] != ends[f"{n}_1"]]  # a part that is the same in all rows orders nothing
+    parts = {v: [F.col(n) for n in told if n in ties or n.startswith(f"_v{i}_")] or [F.lit(0)] for i, v in enumerate(ranks)}
     todo = [_Wanted(v, r, 0, rows) for v, rs in ranks.items() for r in rs]
     small: list[_Wanted] = []
     margin = 2.0 / ACCURACY
