@@ -7,13 +7,13 @@ character n-grams (with marks at both ends): by the longest length of which the
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +31,8 @@ UNDETERMINED = "und"
 #: unknown words whose scores a task keeps
 MAX_KEPT = 400_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+# letters only: digits, and numerals such as the circled two, one half or the Roman eight, are none
+_WORD = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -80,7 +81,8 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     n = known.count()
-    sample = known.filter(unit_hash(11, F.col("doc_id")) < sample_rows / max(n, 1)).select("text", "lang")
+    # drawn by id and text: rows that share an id, or have none, are drawn one by one
+    sample = known.filter(unit_hash(11, F.col("doc_id"), F.col("text")) < sample_rows / max(n, 1)).select("text", "lang")
     counts = cut(_counts(sample))
     totals = {(r["n"], r["lang"]): r["total"] for r in
               counts.groupBy("n", "lang").agg(F.sum("count").alias("total")).collect()}

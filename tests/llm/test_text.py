@@ -83,6 +83,43 @@ def test_unknown_words_back_off_to_shorter_grams():
     assert s.word_score("zz") == 0.0 and s.predict("tree tree")[0] == "a" and s.predict("zq")[0] == "b"
 
 
+def test_numerals_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "② ½ Ⅷ ٣ 12", None), (2, "ⅷ word", None), *[(k, f"some words {k}", "en") for k in range(10, 40)]],
+                                 "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, langid.learn(docs)).filter("doc_id < 3").collect()}
+    assert got == {1: "und", 2: "en"} and langid.words_of("½Tree②top naïve") == ["tree", "top", "naïve"]
+
+
+def test_language_equals_plain_backoff(docs):
+    """Every whole text against a plain word-first backoff, character by character and language by language."""
+    model = langid.learn(docs)
+
+    def score(word, j):
+        for n in range(langid.MAX_GRAM + 1):
+            size = n and langid.MAX_GRAM + 1 - n
+            marked = word if size <= 1 else f"^{word}$"
+            parts = [word] if size == 0 else [marked[k:k + size] for k in range(len(marked) - size + 1)]
+            known = [model.tables[size][x][j] for x in parts if x in model.tables[size]]
+            if known:
+                return sum(known) / len(known)
+        return 0.0
+
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(docs, model).collect()}
+    kept: dict = {}
+    for r in docs.select("doc_id", "text").collect():
+        words = "".join(c if c.isalpha() else " " for c in (r["text"] or "").lower()).split()
+        for w in set(words) - kept.keys():
+            kept[w] = [score(w, j) for j in range(len(model.langs))]
+        totals = [sum(kept[w][j] for w in words) for j in range(len(model.langs))]
+        pred, share = got[r["doc_id"]]
+        if not words:
+            assert (pred, share) == ("und", 0.0)
+            continue
+        best = max(totals)
+        assert abs(totals[model.langs.index(pred)] - best) < 1e-6
+        assert abs(share - 1 / sum(np.exp(x - best) for x in totals)) < 1e-6
+
+
 # --- toxicity
 def osa(a, b):
     d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
