@@ -5,6 +5,9 @@ per path and divided by the path's blocks; both ratios are smoothed along the pa
 above a threshold are content. Blocks that their tags or names mark as something else (menus, adverts,
 forms, comments ...) take no part, nor do blocks of links outside the article; headings, lists and other short blocks that stand in the same element
 as content blocks belong to the article too, and so does what else stands in the element that holds the content.
+Inside an article or main element a name that may be a topic too (``legal-analysis``) only lowers its paths' ratios.
+
+Time and memory are linear in the page, however deep its elements are nested.
 """
 
 from __future__ import annotations
@@ -12,9 +15,10 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,6 +36,8 @@ CONTAINER = 0.1
 FRAME, WHOLE = 0.5, 0.9
 #: share of a block's characters inside links above which it is a menu, if it stands outside the article
 LINKS = 0.5
+#: what the ratio of a path counts whose name makes it doubtful, and the share of a doubtful element's characters that must be content
+DOUBTFUL, PROVEN = 0.5, 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -61,29 +67,43 @@ OTHER_NAMES = frozenset(
     "overlay dialog comment comments respond reply replies disqus share sharing social related recommended recommendations "
     "newsletter subscribe subscription signup login signin search breadcrumb breadcrumbs pagination pager toolbar widget widgets "
     "contentinfo complementary skip tags copyright legal disclaimer form".split())
+# those of them that name a part of a page and hardly a topic: they mark it inside the article as well
+PART_NAMES = frozenset(
+    "nav navbar navigation menu submenu sidebar masthead topbar ad ads advert adverts advertisement sponsored popup modal overlay "
+    "comment comments respond replies disqus newsletter subscribe signup login signin breadcrumb breadcrumbs pagination pager "
+    "toolbar widget widgets".split())
+P_ENDS_BEHIND = ("button", "table", "td", "th", "li", "div")
 _WORDS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
     parent: Element | None
-    label: str  # tag, and the names of general elements
     other: bool  # not the article
-    path: tuple[str, ...] = ()
+    order: int  # elements are numbered in page order, so those inside one follow it without a gap
+    path: int  # number of its path of labels: tags, and the names of general elements
+    depth: int  # labels of the path
+    framed: bool  # an article element, or inside one
+    inside: bool  # inside an article or main element
+    doubt: Element | None  # the outermost element, itself included, whose name may be a topic
 
 
-@dataclass
+@dataclass(eq=False)
 class Block:
     element: Element
     text: str
     links: int  # characters in links
-    path: tuple[str, ...] = field(default=())
+
+    @property
+    def path(self) -> int:
+        return self.element.path
 
 
-def _names(attrs: str) -> tuple[set[str], bool, str]:
-    words, hidden, first = set(), False, ""
+def _names(attrs: str) -> tuple[set[str], bool, str, bool]:
+    """Words of the names, whether the element is hidden, its class, and whether a whole attribute names another part."""
+    words, hidden, first, whole = set(), False, "", False
     for m in _NAMES.finditer(attrs):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name == "style":
@@ -93,38 +113,53 @@ def _names(attrs: str) -> tuple[set[str], bool, str]:
         elif name == "aria-hidden":
             hidden |= value == "true"
         else:
-            words |= set(_WORDS.findall(value))
+            found = set(_WORDS.findall(value))
+            words |= found
+            whole |= bool(found) and found <= OTHER_NAMES
             if name == "class":
                 first = value
-    return words, hidden, first
+    return words, hidden, first, whole
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks of text in order, white space turned into single spaces, empty ones left out."""
-    root = Element("", None, "", False)
-    open_ = [root]
+    return parse(page)[0]
+
+
+def parse(page: str) -> tuple[list[Block], list[Element]]:
+    """The blocks of :func:`blocks`, and all elements in page order."""
+    root = Element("", None, False, 0, 0, 0, False, False, None)
+    elements, open_ = [root], [root]
+    places: dict[str, list[int]] = defaultdict(list)  # by tag: places in open_, ascending
+    paths: dict[tuple[int, str], int] = {}  # (path above, label) -> path
     out: list[Block] = []
     text: list[str] = []
     linked = [0, 0]  # number of open elements where a link is open (0: none is), characters in links
+    unseen = ["", 0, 0]  # tag of a hidden inline element, how many of its tag are open in it, number of open elements at its start
     at = 0
 
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=0)
+
     def flush() -> None:
         joined = " ".join("".join(text).split())
         if joined:
-            holder = open_[-1]
-            out.append(Block(holder, joined, linked[1], holder.path))
+            out.append(Block(open_[-1], joined, linked[1]))
         text.clear()
         linked[1] = 0
 
     def add(raw: str, decode: bool = True) -> None:
-        if raw:
+        if raw and not unseen[1]:
             part = html.unescape(raw) if decode else raw
             text.append(part)
             if linked[0]:
                 linked[1] += len(part.strip())
 
     def cut_off(to: int) -> None:
-        del open_[to:]
+        while len(open_) > to:
+            places[open_.pop().tag].pop()
+        if unseen[2] > len(open_):  # so does a hidden inline element
+            unseen[1:] = 0, 0
         if linked[0] > len(open_):  # a link ends with the element that it stands in
             linked[0] = 0
 
@@ -152,20 +187,18 @@ def blocks(page: str) -> list[Block]:
             text.append(" " if tag == "br" else "")
             continue
         if tag in INLINE:
-            if not ending and tag not in VOID:
-                _, hidden, _ = _names(attrs)
-                if hidden:  # what it holds is not shown
-                    found = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
-                    at = found.end() if found else at
+            if tag in VOID:
+                continue
+            if unseen[1]:
+                if tag == unseen[0]:
+                    unseen[1] += -1 if ending else 1
+                    unseen[2] *= unseen[1] > 0
+            elif not ending and _names(attrs)[1]:  # what it holds is not shown
+                unseen[:] = tag, 1, len(open_)
             continue
         if ending:
-            if tag == "p" and not any(x.tag == "p" for x in open_):
-                flush()
-                continue
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag == tag:
-                    close(k)
-                    break
+            if places[tag]:
+                close(places[tag][-1])
             else:
                 flush()
             continue
@@ -176,39 +209,38 @@ def blocks(page: str) -> list[Block]:
             flush()
             continue
         flush()
-        if tag in ENDS_P:
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag == "p":
-                    cut_off(k)
-                    break
-                if open_[k].tag in ("button", "table", "td", "th", "li", "div"):
-                    break
+        if tag in ENDS_P and places["p"] and places["p"][-1] > last(P_ENDS_BEHIND):
+            cut_off(places["p"][-1])
         if tag in CLOSES:
             ends, limit = CLOSES[tag]
-            to = None
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag in limit:
-                    break
-                if open_[k].tag in ends:
-                    to = k
-            if to is not None:
-                cut_off(to)
+            border = last(limit)
+            behind = [places[t][k] for t in ends for k in [bisect_right(places[t], border)] if k < len(places[t])]
+            if behind:
+                cut_off(min(behind))
         if tag in VOID:
             continue
-        words, hidden, first = _names(attrs)
+        words, hidden, first, whole = _names(attrs)
         above = open_[-1]
-        inside = any(x.tag in ("article", "main") for x in open_)
+        inside = above.inside or above.tag in ("article", "main")
         marked = bool(words & OTHER_NAMES) and tag not in ("html", "body", "main") and not (tag == "article" and "comment" not in words and "comments" not in words)
         if inside and tag in ("header", "h1", "h2", "h3", "hgroup") and not words & (OTHER_NAMES - {"header"}):
             marked = False
-        other = above.other or hidden or marked or tag in OTHER_TAGS or tag == "header" and not inside
+        # inside the article a name is proof if it names a part of a page or nothing else; else the ratios decide
+        doubtful = marked and inside and not whole and not words & PART_NAMES
+        marked &= not doubtful
+        other = above.other or hidden or bool(unseen[1]) or marked or tag in OTHER_TAGS or tag == "header" and not inside
         label = tag if tag in ("html", "body", "article", "main") or not first else f"{tag}.{first}"
-        e = Element(tag, above, label, other)
-        e.path = above.path if tag in ("html", "body") else (*above.path, label)
+        general = tag in ("html", "body")
+        path = above.path if general else paths.setdefault((above.path, label + "?" * doubtful), len(paths) + 1)
+        e = Element(tag, above, other, len(elements), path, above.depth + (not general), above.framed or tag == "article", inside, above.doubt)
+        if doubtful and e.doubt is None:
+            e.doubt = e
+        elements.append(e)
+        places[tag].append(len(open_))
         open_.append(e)
     add(page[at:])
     flush()
-    return out
+    return out, elements
 
 
 def _smoothed(values: list[float]) -> list[float]:
@@ -224,20 +256,9 @@ def _smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def _within(e: Element | None, whole: int) -> bool:
-    while e is not None and id(e) != whole:
-        e = e.parent
-    return e is not None
-
-
-def main_text(page: str | None) -> str:
-    """The article of a page, a line for each of its blocks; empty where there is none."""
-    all_ = blocks(page or "")
-    shown = [b for b in all_ if not b.element.other]
-    part = [b for b in shown if b.links <= LINKS * len(b.text)]
-    if not part:
-        return ""
-    size: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0])
+def ratios(part: list[Block]) -> tuple[dict[int, float], dict[int, int]]:
+    """Per path: its fused ratio of text and punctuation, smoothed over the blocks in page order, and its characters."""
+    size: dict[int, list[int]] = defaultdict(lambda: [0, 0, 0])
     for b in part:
         s = size[b.path]
         s[0] += len(b.text)
@@ -245,53 +266,72 @@ def main_text(page: str | None) -> str:
         s[2] += 1
     length = _smoothed([math.log1p(size[b.path][0] / size[b.path][2]) for b in part])
     points = _smoothed([math.log1p(size[b.path][1] / size[b.path][2]) for b in part])
-    fused: dict[tuple, list[float]] = defaultdict(list)
+    fused: dict[int, list[float]] = defaultdict(list)
     for b, x, y in zip(part, length, points, strict=True):
         fused[b.path].append(x * (1 + y))
     score = {p: sum(v) / len(v) for p, v in fused.items()}
-    chars = sum(s[0] for s in size.values())
-    mean = sum(score[p] * s[0] for p, s in size.items()) / chars
-    content = {p for p, x in score.items() if x >= THRESHOLD * mean}
-    # the elements that hold the content's blocks, by how much of it
-    holds: dict[int, int] = defaultdict(int)
+    return score, {p: s[0] for p, s in size.items()}
+
+
+def _proven(shown: list[Block], content: set[int]) -> list[Block]:
+    """The blocks without those of doubtful elements that are not mostly content."""
+    chars: dict[Element, list[int]] = defaultdict(lambda: [0, 0])
+    for b in shown:
+        if b.element.doubt is not None:
+            n = chars[b.element.doubt]
+            n[0] += len(b.text)
+            n[1] += len(b.text) * (b.path in content and b.links <= LINKS * len(b.text))
+    return [b for b in shown if b.element.doubt is None or chars[b.element.doubt][1] >= PROVEN * chars[b.element.doubt][0]]
+
+
+def main_text(page: str | None) -> str:
+    """The article of a page, a line for each of its blocks; empty where there is none."""
+    all_, elements = parse(page or "")
+    shown = [b for b in all_ if not b.element.other]
+    part = [b for b in shown if b.links <= LINKS * len(b.text)]
+    if not part:
+        return ""
+    score, size = ratios(part)
+    chars = sum(size.values())
+    mean = sum(score[p] * n for p, n in size.items()) / chars
+    doubtful = {b.path for b in part if b.element.doubt is not None}
+    content = {p for p, x in score.items() if x * (DOUBTFUL if p in doubtful else 1) >= THRESHOLD * mean}
+    shown = _proven(shown, content)
+    part = [b for b in shown if b.links <= LINKS * len(b.text)]
+    # the characters of content that an element's blocks hold, and with all that stands inside it
+    direct, all_in = [0] * len(elements), [0] * len(elements)
     total = 0
     for b in part:
         if b.path in content:
             holder = b.element.parent if b.element.parent is not None else b.element
-            holds[id(holder)] += len(b.text)
+            direct[holder.order] += len(b.text)
             total += len(b.text)
-    # the element that holds the article: content adds up to all elements above it
-    above: dict[int, list] = {}
-    for b in part:
-        if b.path in content:
-            e = b.element.parent
-            while e is not None and e.tag not in ("", "html", "body"):
-                above.setdefault(id(e), [e, 0])[1] += len(b.text)
-                e = e.parent
-    frames = [(len(e.path), id(e)) for e, n in above.values() if e.tag in ("article", "main") and n >= FRAME * total]
-    wholes = frames or [(len(e.path), id(e)) for e, n in above.values() if n >= WHOLE * total]
-    whole = max(wholes)[1] if wholes else None
+    all_in[:] = direct
+    end = list(range(len(elements)))  # the last element inside each
+    for e in reversed(elements[1:]):
+        all_in[e.parent.order] += all_in[e.order]
+        end[e.parent.order] = max(end[e.parent.order], end[e.order])
+    # the element that holds the article
+    above = [e for e in elements if all_in[e.order] and e.tag not in ("", "html", "body")]
+    frames = [e for e in above if e.tag in ("article", "main") and all_in[e.order] >= FRAME * total]
+    whole = max(frames or [e for e in above if all_in[e.order] >= WHOLE * total], key=lambda e: (e.depth, e.order), default=None)
     # in an article or main element blocks of links are the article's; in another, those between its first and last content
     if whole is not None:
-        places = [k for k, b in enumerate(shown) if b.path in content and b.links <= LINKS * len(b.text) and _within(b.element, whole)]
-        part = [b for k, b in enumerate(shown) if b.links <= LINKS * len(b.text)
-                or (frames or places[0] < k < places[-1]) and _within(b.element, whole)]
+        within = [whole.order <= b.element.order <= end[whole.order] for b in shown]
+        at = [k for k, b in enumerate(shown) if b.path in content and b.links <= LINKS * len(b.text) and within[k]]
+        part = [b for k, b in enumerate(shown) if b.links <= LINKS * len(b.text) or (frames or at[0] < k < at[-1]) and within[k]]
     # an article element, if the page has one that holds content, is the article
-    framed = [b for b in part if any(t.split(".")[0] == "article" for t in b.path)]
+    framed = [b for b in part if b.element.framed]
     framed_chars = sum(len(b.text) for b in framed if b.path in content)
     if framed_chars >= 0.5 * total:
         part = framed
     # a page without such an element, as one with its sections in the body: whatever holds content directly
-    holders = {k for k, n in holds.items() if n >= CONTAINER * total or whole is None} | {whole}
-    kept = []
-    for b in part:
-        e, inside = b.element, b.path in content
-        while not inside and e is not None:
-            inside = id(e) in holders
-            e = e.parent
-        if inside:
-            kept.append(b.text)
-    return "\n".join(kept)
+    kept_in = [n > 0 and (n >= CONTAINER * total or whole is None) for n in direct]
+    if whole is not None:
+        kept_in[whole.order] = True
+    for e in elements[1:]:
+        kept_in[e.order] |= kept_in[e.parent.order]
+    return "\n".join(b.text for b in part if b.path in content or kept_in[b.element.order])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 import html
 import itertools
+import math
 import random
-import tracemalloc
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -421,6 +423,64 @@ def test_links_inside_the_article_stay():
     assert pagetext.blocks("<p><a href=x>one<p>two")[1].links == 0
 
 
+@pytest.mark.parametrize("frame", ["article", "main"])
+def test_names_that_may_be_topics_lower_the_ratio_only(frame):
+    section = lambda name: f'<section class="{name}"><h2>{name}</h2><p>{PROSE}</p></section>'
+    topics = ["legal-analysis", "social history", "search-methods"]
+    other = '<div class="related-posts"><p>Read more</p></div><div class="share-buttons">Tweet Like</div>'
+    page = f"<body><nav>x</nav><{frame}><h1>T</h1><p>{PROSE}</p>{''.join(map(section, topics))}{other}{section('comments-area')}{section('copyright legal')}</{frame}></body>"
+    got = pagetext.main_text(page).split("\n")
+    assert got == ["T", PROSE.strip(), *[x for n in topics for x in (n, PROSE.strip())]]
+    assert pagetext.main_text(f"<body><p>{PROSE}</p>{section('search-methods')}</body>") == PROSE.strip()
+
+
+def test_hidden_inline_elements_end_at_their_own_tag():
+    assert pagetext.main_text("<p>a <span hidden>secret <span>x</span> tail</span> b") == "a b"
+    assert pagetext.main_text("<p>a <b style='display:none'>x<i>y</b>z</i></p><p>c <span hidden>d</p><p>e") == "a z\nc\ne"
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<div><p>some words, here.", "<table><tr><td><ul><li><p>x, y", "<p><span hidden>x", "<x-a><p><section>w"])
+def test_deep_and_broken_pages_take_linear_time(piece):
+    def seconds(n):
+        began = time.process_time()
+        pagetext.main_text(piece * n + "the end, here.")
+        return time.process_time() - began
+
+    seconds(500)
+    assert seconds(40_000) < 20 * max(seconds(5_000), 0.05)  # eight times the page; quadratic would be 64 times
+
+
+def test_path_ratios_equal_a_plain_computation(spark):
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").select("html").collect()][:40]
+    for page in [*pages, PAGE, f"<body><article>{'<section class=x><h2>A, b</h2><p>c. d, e</p></section>' * 7}</article><div class=x><p>f</p></div></body>"]:
+        part = [b for b in pagetext.blocks(page) if not b.element.other]
+
+        def path(b):
+            labels, e = [], b.element
+            while e is not None:
+                labels.append(e)
+                e = e.parent
+            return labels
+
+        # same path number, same tags from the root
+        tags = {}
+        for b in part:
+            seen = tuple(e.tag for e in path(b) if e.tag not in ("html", "body"))
+            assert tags.setdefault(b.path, seen) == seen
+        score, size = pagetext.ratios(part)
+        of = {p: [b for b in part if b.path == p] for p in tags}
+        raw = [(math.log1p(sum(len(b.text) for b in of[c.path]) / len(of[c.path])),
+                math.log1p(sum(ch in ".,;:!?…。，、；：！？¿¡" for b in of[c.path] for ch in b.text) / len(of[c.path]))) for c in part]
+
+        def smooth(k, j):
+            near = [(w, k + d) for d, w in ((-2, .06), (-1, .24), (0, .4), (1, .24), (2, .06)) if 0 <= k + d < len(part)]
+            return sum(w * raw[i][j] for w, i in near) / sum(w for w, _ in near)
+
+        for p, blocks in of.items():
+            fused = [smooth(k, 0) * (1 + smooth(k, 1)) for k, b in enumerate(part) if b.path == p]
+            assert abs(score[p] - sum(fused) / len(fused)) < 1e-9 and size[p] == sum(len(b.text) for b in blocks)
+
+
 def test_awkward_pages(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (2, None, ""), (None, "v", "<p>Hello there"), (4, "w", "<div>" * 3000 + "deep"),
                                    (5, "x", "<p>" + "long words, " * 50_000)], "page_id long, url string, html string")
