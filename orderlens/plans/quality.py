@@ -5,21 +5,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators.keyed import duplicate_keys
 
 
-def fact_profile(fact: DataFrame) -> DataFrame:
-    """Purchase time range, row count and NULL counts of the key timestamps."""
-    return fact.agg(
+def fact_metrics() -> list[Column]:
+    return [
         F.min("purchase_ts").alias("min_purchase_ts"),
         F.max("purchase_ts").alias("max_purchase_ts"),
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(F.col("purchase_ts").isNull()).alias("null_purchase_ts"),
         F.count_if(F.col("delivered_customer_ts").isNull()).alias("delivered_customer_ts_nulls"),
-    )
+    ]
+
+
+def fact_profile(fact: DataFrame) -> DataFrame:
+    """Purchase time range, row count and NULL counts of the key timestamps."""
+    return fact.agg(*fact_metrics())
 
 
 def key_profile(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -38,6 +42,29 @@ def duplicate_key_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]])
     return reduce(DataFrame.unionByName, parts)
 
 
+def key_checks(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Rows, distinct keys and keys occurring more than once, per table: :func:`key_profile` and
+    :func:`duplicate_key_counts` from one scan of the key columns and one shuffle of partial counts.
+    A key with a NULL is no distinct key, but repeats like any other."""
+    parts = []
+    for name, (df, keys) in tables.items():
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select("_n", known.alias("_known"))
+        parts.append(per.agg(F.lit(name).alias("t"), F.coalesce(F.sum("_n"), F.lit(0)).alias("total_records"),
+                             F.count_if("_known").alias("distinct_pk"), F.count_if(F.col("_n") > 1).alias("duplicate_keys")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def null_metrics(columns: Sequence[str]) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
+
+
+def nulls_of(name: str, row: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of :func:`null_counts` from a one-row frame of :func:`null_metrics`."""
+    stack = ", ".join(f"'{c}', `null_{c}`" for c in columns)
+    return row.select(F.lit(name).alias("t"), F.expr(f"stack({len(columns)}, {stack}) AS (column_name, null_cnt)"))
+
+
 def null_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """NULL count of each declared NOT NULL column: (t, column_name, null_cnt)."""
     parts = []
@@ -49,9 +76,8 @@ def null_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
-def rfm_profile(rfm: DataFrame) -> DataFrame:
-    """Row count, NULL ids, negative recency, frequency and monetary ranges."""
-    return rfm.agg(
+def rfm_metrics() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("customer_id").isNull()).alias("null_customer_id"),
         F.count_if(F.col("recency_days") < 0).alias("negative_recency"),
@@ -59,7 +85,12 @@ def rfm_profile(rfm: DataFrame) -> DataFrame:
         F.max("frequency").alias("max_freq"),
         F.min("monetary_value").alias("min_m"),
         F.max("monetary_value").alias("max_m"),
-    )
+    ]
+
+
+def rfm_profile(rfm: DataFrame) -> DataFrame:
+    """Row count, NULL ids, negative recency, frequency and monetary ranges."""
+    return rfm.agg(*rfm_metrics())
 
 
 def segment_distribution(rfm: DataFrame) -> DataFrame:

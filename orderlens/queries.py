@@ -291,6 +291,30 @@ def qa_dirty_nulls(spark, sf_dir):
     return quality.null_counts({"dirty_fact": (dirty_fact(layers(spark, sf_dir).fact_order_items), ["order_id", "order_item_id"])})
 
 
+@register
+def qa_staged(spark, sf_dir):
+    """Checks taken while tables are written, and their keys from one scan: the item fact, the same with faults, and the
+    customers, staged below the checkpoint folder."""
+    from functools import reduce
+
+    from orderlens.session import delete_path, scratch_path
+    from orderlens.sources.tables import Layer
+    L = layers(spark, sf_dir)
+    item_key = ["order_id", "order_item_id"]
+    tables = {"fact_order_items": (L.fact_order_items, item_key), "dirty_fact": (dirty_fact(L.fact_order_items), item_key),
+              "customer_rfm": (L.customer_rfm, ["customer_id"])}
+    staged = Layer(spark, scratch_path(spark, "qa-staged"))
+    keys, seen = {}, []
+    for name, (df, key) in tables.items():
+        metrics = [F.count(F.lit(1)).alias("rows_written"), *quality.null_metrics(key[:1])]
+        stored, row = staged.overwrite_observed(name, df, metrics)
+        keys[name] = (stored, key)
+        seen.append(row.select(F.lit(name).alias("t"), "rows_written", F.col(f"null_{key[0]}").alias("null_cnt")))
+    found = quality.key_checks(keys).join(reduce(DataFrame.unionByName, seen), "t").checkpoint(eager=True)  # a row per table
+    delete_path(spark, staged.root)
+    return found
+
+
 @register
 def qa_rfm(spark, sf_dir):
     return quality.rfm_profile(layers(spark, sf_dir).customer_rfm)

@@ -6,7 +6,9 @@ import json
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from orderlens.schema import RAW_SCHEMAS
 from orderlens.sources.adapter import RawTables
@@ -46,6 +48,21 @@ class Layer:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.read(name)
 
+    def overwrite_observed(self, name: str, df: DataFrame, metrics: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+        """:meth:`overwrite`, and a one-row frame of ``metrics`` (named aggregates, no distinct ones) over the rows written.
+
+        They are taken by the tasks that write, so the table isn't read for them. They stand right below the write,
+        in the stage whose tasks each count once, also when one is run again. A plan that Spark proves empty observes
+        nothing: then the stored (empty) table is asked.
+        """
+        seen = Observation()
+        stored = self.overwrite(name, df.observe(seen, *metrics))
+        asked = stored.agg(*metrics)
+        found = seen.get
+        if not found:
+            return stored, asked
+        return stored, self.spark.createDataFrame([tuple(found[c] for c in asked.columns)], asked.schema)
+
     def append(self, name: str, df: DataFrame) -> DataFrame:
         df.write.mode("append").parquet(self.path(name))
         return self.read(name)
