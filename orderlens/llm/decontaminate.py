@@ -3,7 +3,8 @@
 Texts are brought to a template: numbers, names and units become typed placeholders, other words are
 lower-cased. A capitalised word that opens a sentence, line, quotation or bracket may be a name or not; it
 is read both ways, and a window matches if one of its readings does. The windows of five template words of every benchmark item are hash-joined with those of
-the documents. A document that holds 0.8 or more of an item's windows is checked slot by slot: what the
+the documents. A window of placeholders only is no evidence and counts on neither side. An item with too few words beside its
+placeholders (a table of numbers) has no template to go by: its windows hold the values themselves, and only equal values match. A document that holds 0.8 or more of an item's windows is checked slot by slot: what the
 document has in place of the item's numbers, names and units must be a consistent renaming (a value
 always replaced by the same one, different values by different ones). If the document holds the template
 several times, one place that is consistent is enough. Unchanged values make the leak
@@ -32,12 +33,19 @@ WINDOW = 5
 CONTAINED = 0.8
 #: share of an item's matched slots that may contradict the renaming
 SLACK = 1 - CONTAINED
+#: share of an item's template words that must be words, not placeholders; an item below it is read by its values
+LITERAL = 0.25
+#: placeholders in a window that is read by its values
+VALUED = 3
 #: benchmark windows up to which the table of them is sent to every task (about 100 bytes each)
 BROADCAST_WINDOWS = 1_000_000
 
 NUM, NAME, UNIT = "", "", ""
 #: before a word that may be a name
 OPEN = "\ue0ff"
+#: before the value of a slot, in windows read by values
+VALUE = "\ue0fe"
+MARKS = frozenset((NUM, NAME, UNIT))
 # units, written after a number
 UNITS = ("km", "m", "cm", "mm", "mi", "miles", "mile", "ft", "feet", "foot", "inches", "inch", "yards", "kg", "g", "mg",
          "lb", "lbs", "pounds", "pound", "oz", "tons", "l", "ml", "liters", "litres", "gallons", "s", "sec", "seconds",
@@ -47,7 +55,7 @@ _NUMBER = re.compile(rf"(?<!\w)(?P<n>\d+(?:[.,:/]\d+)*)(?!\d)(?:\s?(?P<u>%|°|
 _DIGIT = re.compile(r"\d")
 _CAPITAL = re.compile(r" ([A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]\w*)")
 _OPENING = re.compile(r"[A-ZÀ-ÖØ-Þ](?<!\w.)[a-zß-öø-ÿ]")
-_MARKS = re.compile(f"[{NUM}{NAME}{UNIT}{OPEN}]")
+_MARKS = re.compile(f"[{NUM}{NAME}{UNIT}{OPEN}{VALUE}]")
 _WORD = re.compile(rf"{OPEN}?\w+|[{NUM}{NAME}{UNIT}]")
 _PRIME = 0x9E3779B97F4A7C15
 
@@ -96,6 +104,26 @@ def slots(text: str | None) -> list[str]:
     return [text[start:end].lower() for start, end, _ in _spans(text)]
 
 
+def _by_values(words: list[str]) -> bool:
+    """Whether an item has too few words beside its placeholders to be known by its template."""
+    return sum(w not in MARKS for w in words) < LITERAL * len(words)
+
+
+def _valued(words: list[str], values: list[str]) -> tuple[list[str], np.ndarray]:
+    """The template words with the slots' values instead of the placeholders, and the starts of the windows of ``VALUED``
+    placeholders or more."""
+    value = iter(values)
+    slot = np.array([w in MARKS for w in words], bool)
+    filled = [f"{VALUE}{next(value)}" if m else w for w, m in zip(words, slot, strict=True)]
+    return filled, np.flatnonzero(_per_window(slot) >= VALUED)
+
+
+def _per_window(slot: np.ndarray) -> np.ndarray:
+    """The placeholders in every window."""
+    total = np.concatenate([[0], np.cumsum(slot)])
+    return total[WINDOW:] - total[:-WINDOW]
+
+
 def _word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) | 1
 
@@ -115,13 +143,15 @@ def window_hashes(words: np.ndarray, width: int = WINDOW) -> np.ndarray:
 #: for each set of places in a window (as bits), its non-empty subsets
 _SUBSETS = np.array([[c if c & m == c else 0 for c in range(1, 1 << WINDOW)] for m in range(1 << WINDOW)])
 _PLACES = np.arange(WINDOW)
+_BITS = np.array([bin(c).count("1") for c in range(1 << WINDOW)])
 
 
-def _readings(plain: np.ndarray, opens: list[int], name: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _readings(plain: np.ndarray, slot: np.ndarray, opens: list[int], name: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """(places, hashes) of the windows of word hashes as they stand, and of those with some words of ``opens`` read as names,
-    for every choice of such words. Windows with a word hash 0 are left out."""
+    for every choice of such words. Windows with a word hash 0, and of placeholders (``slot``) only, are left out."""
     n = len(plain) - WINDOW + 1
     known = plain != 0
+    marks = _per_window(slot)
 
     def whole(known: np.ndarray) -> np.ndarray:
         out = known[:n].copy()
@@ -130,6 +160,7 @@ def _readings(plain: np.ndarray, opens: list[int], name: int) -> list[tuple[np.n
         return np.flatnonzero(out)
 
     at = whole(known)
+    at = at[marks[at] < WINDOW]
     out = [(at, window_hashes(plain)[at] if len(at) else np.zeros(0, np.uint64))]
     if not opens:
         return out
@@ -146,7 +177,7 @@ def _readings(plain: np.ndarray, opens: list[int], name: int) -> list[tuple[np.n
     at, choice = at[row], choices[row, col]
     words = plain[at[:, None] + _PLACES]
     words[(choice[:, None] >> _PLACES & 1).astype(bool)] = name
-    ok = (words != 0).all(axis=1)
+    ok = (words != 0).all(axis=1) & (marks[at] + _BITS[choice] < WINDOW)
     at, words = at[ok], words[ok]
     hs = np.zeros(len(at), np.uint64)
     for k in range(WINDOW):
@@ -168,7 +199,7 @@ class Item:
     opens: frozenset[int]
     values: list[str]
     hashes: list[int]  # of the windows as they stand
-    n_windows: int
+    n_windows: int  # different ones that count
 
 
 @dataclass
@@ -180,6 +211,10 @@ class Index:
     vocabulary: dict[str, int] = field(default_factory=dict)
     short: dict[tuple[str, ...], list[int]] = field(default_factory=lambda: defaultdict(list))
     hashes: np.ndarray | None = None
+    #: windows of items read by their values: hash -> items
+    valued: dict[int, list[int]] = field(default_factory=lambda: defaultdict(list))
+    valued_words: dict[str, int] = field(default_factory=dict)
+    valued_hashes: np.ndarray | None = None
 
     @classmethod
     def of(cls, rows: list[tuple[object, str | None]]) -> Index:
@@ -195,17 +230,46 @@ class Index:
                     ix.short[reading].append(k)
                 ix.items.append(Item(item_id, words, frozenset(opens), slots(text), [], 0))
                 continue
+            values = slots(text)
+            if _by_values(words):
+                filled, at = _valued(words, values)
+                for w in filled:
+                    ix.valued_words.setdefault(w, _word_hash(w))
+                hs = window_hashes(np.array([ix.valued_words[w] for w in filled], np.uint64))[at].tolist()
+                for h in set(hs):
+                    ix.valued[h].append(k)
+                ix.items.append(Item(item_id, words, frozenset(opens), values, hs, len(set(hs))))
+                continue
             for w in words:
                 ix.vocabulary.setdefault(w, _word_hash(w))
             plain = np.array([ix.vocabulary[w] for w in words], np.uint64)
-            for places, hs in _readings(plain, opens, name):
+            slot = np.array([w in MARKS for w in words], bool)
+            for places, hs in _readings(plain, slot, opens, name):
                 for q, h in zip(places.tolist(), hs.tolist(), strict=True):
                     ix.at[h].append((k, q))
-            hs = window_hashes(plain).tolist()
-            ix.items.append(Item(item_id, words, frozenset(opens), slots(text), hs, len(set(hs))))
+            hs = window_hashes(plain)
+            counted = len(np.unique(hs[_per_window(slot) < WINDOW]))
+            ix.items.append(Item(item_id, words, frozenset(opens), values, hs.tolist(), counted))
         ix.hashes = np.array(sorted(ix.at), np.uint64)
+        ix.valued_hashes = np.array(sorted(ix.valued), np.uint64)
         return ix
 
+    def _equal_values(self, words: list[str], values: list[str]) -> list[tuple[object, float, str]]:
+        """The items read by their values that the text holds: all are ``exact``."""
+        filled, at = _valued(words, values)
+        if not len(at):
+            return []
+        get = self.valued_words.get
+        ids = np.fromiter((get(w, 0) for w in filled), np.uint64, len(filled))
+        known = np.concatenate([[0], np.cumsum(ids != 0)])
+        at = at[known[at + WINDOW] - known[at] == WINDOW]
+        if not len(at):
+            return []
+        hs = np.intersect1d(window_hashes(ids)[at], self.valued_hashes)
+        held = Counter(k for h in hs.tolist() for k in self.valued[h])
+        return [(self.items[k].item_id, n / self.items[k].n_windows, "exact") for k, n in held.items()
+                if n >= CONTAINED * self.items[k].n_windows]
+
     def leaks(self, text: str | None) -> list[tuple[object, float, str]]:
         """(item_id, share of the item's windows, kind) of the items that the text holds."""
         words, opens = _read(text)
@@ -213,14 +277,19 @@ class Index:
             found = sorted({k for reading in _short_readings(words, opens) for k in self.short.get(reading, ())})
             return [(self.items[k].item_id, 1.0, kind) for k in found
                     if (kind := _kind(self.items[k], words, frozenset(opens), slots(text), [(0, 0)]))]
+        out, values, may = [], None, frozenset(opens)
+        if len(self.valued_hashes):
+            values = slots(text)
+            out += self._equal_values(words, values)
         if not len(self.hashes):
-            return []
+            return out
         get = self.vocabulary.get
         ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
         met: dict[int, list[tuple[int, int]]] = defaultdict(list)
         held: dict[int, set[int]] = defaultdict(set)
         plain: dict[int, list[tuple[int, int]]] = defaultdict(list)  # matches without an opening word as a name
-        for choice, (spots, hs) in enumerate(_readings(ids, opens, self.vocabulary[NAME])):
+        slot = np.fromiter((w in MARKS for w in words), bool, len(words))
+        for choice, (spots, hs) in enumerate(_readings(ids, slot, opens, self.vocabulary[NAME])):
             if not len(spots):
                 continue
             where = np.minimum(np.searchsorted(self.hashes, hs), len(self.hashes) - 1)
@@ -232,7 +301,6 @@ class Index:
                     held[k].add(own)
                     if not choice and own == h:
                         plain[k].append((p, q))
-        out, values, may = [], None, frozenset(opens)
         for k, found in held.items():
             item = self.items[k]
             least = CONTAINED * item.n_windows
@@ -278,9 +346,8 @@ def _kind(item: Item, words: list[str], opens: frozenset[int], values: list[str]
     """``exact`` if an alignment of the item with the text has its values, ``reparameterised`` if one renames them
     consistently, None if the slots contradict each other in all. Opening words that differ, or that stand against a name,
     are slots too; with no ``opens``, only what is a slot on both sides."""
-    marks = (NUM, NAME, UNIT)
-    own = np.cumsum([w in marks for w in item.words])
-    theirs = np.cumsum([w in marks for w in words])
+    own = np.cumsum([w in MARKS for w in item.words])
+    theirs = np.cumsum([w in MARKS for w in words])
     found = None
     for shift, some in _alignments(item, met):
         kind = _kind_at(item, words, opens, values, own, theirs, shift, some)
@@ -298,17 +365,16 @@ def _kind_at(item: Item, words: list[str], opens: frozenset[int], values: list[s
     for p, q in sorted(met, key=lambda x: abs(x[0] - x[1] - shift)):
         for d in range(width):
             partner.setdefault(q + d, p + d)
-    marks = (NUM, NAME, UNIT)
     pairs, n = [], 0
     for q, p in sorted(partner.items()):
         a, b = item.words[q], words[p]
-        mark = a if a in marks else NAME if b == NAME or q in item.opens and p in opens else None
+        mark = a if a in MARKS else NAME if b == NAME or q in item.opens and p in opens else None
         if mark is None:
             continue
-        x = item.values[own[q] - 1] if a in marks else a
-        y = values[theirs[p] - 1] if b in marks else b
+        x = item.values[own[q] - 1] if a in MARKS else a
+        y = values[theirs[p] - 1] if b in MARKS else b
         pairs.append((mark, x, y))
-        n += a in marks or x != y  # equal opening words only bear witness
+        n += a in MARKS or x != y  # equal opening words only bear witness
     if all(a == b for _, a, b in pairs):
         return "exact"
     there: dict[tuple[str, str], str] = {}
@@ -352,7 +418,7 @@ def _by_join(ours: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     name = _word_hash(NAME)
 
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def windows(batches: Iterator[pd.DataFrame], items: bool) -> Iterator[pd.DataFrame]:
         for b in batches:
             for key, text in zip(b["key"], b["text"], strict=True):
                 words, opens = _read(text)
@@ -361,21 +427,29 @@ def _by_join(ours: DataFrame, benchmark: DataFrame) -> DataFrame:
                                   for x in _short_readings(words, opens) if x], np.uint64)
                     own = h[:1].repeat(len(h))
                 else:
-                    plain = np.array([_word_hash(w) for w in words], np.uint64)
-                    alone = window_hashes(plain)
-                    found = _readings(plain, opens, name)
-                    h, own = np.concatenate([x for _, x in found]), np.concatenate([alone[at] for at, _ in found])
+                    h = own = np.zeros(0, np.uint64)
+                    valued = _by_values(words)
+                    if valued or not items:  # an item is read one way, a document both
+                        filled, at = _valued(words, slots(text))
+                        h = own = np.unique(window_hashes(np.array([_word_hash(w) for w in filled], np.uint64))[at])
+                    if not valued or not items:
+                        plain = np.array([_word_hash(w) for w in words], np.uint64)
+                        alone = window_hashes(plain)
+                        found = _readings(plain, np.array([w in MARKS for w in words], bool), opens, name)
+                        h = np.concatenate([h, *[x for _, x in found]])
+                        own = np.concatenate([own, *[alone[at] for at, _ in found]])
                     h, own = np.unique(np.stack([h, own]), axis=1)
                 yield pd.DataFrame({"key": pd.Series([key] * len(h), dtype=b["key"].dtype), "h": h.view(np.int64), "n": len(np.unique(own))})
 
-    def keyed(df: DataFrame, key: str) -> DataFrame:
+    def keyed(df: DataFrame, key: str, items: bool) -> DataFrame:
         kind = df.schema[key].dataType.simpleString()
-        return df.select(F.col(key).alias("key"), "text").mapInPandas(windows, f"key {kind}, h long, n long")
+        return df.select(F.col(key).alias("key"), "text").mapInPandas(
+            lambda batches: windows(batches, items), f"key {kind}, h long, n long")
 
     theirs = cut(benchmark.select("item_id", F.col("text").alias("_item")).withColumn("_nr", F.monotonically_increasing_id()))
     # an item has a row for each reading of each of its windows: their count is at least that of the windows held
-    d = keyed(ours, "_row").select(F.col("key").alias("_row"), "h").distinct()
-    b = keyed(theirs.withColumnRenamed("_item", "text"), "_nr").select(F.col("key").alias("_nr"), F.col("h").alias("_h"), "n")
+    d = keyed(ours, "_row", False).select(F.col("key").alias("_row"), "h").distinct()
+    b = keyed(theirs.withColumnRenamed("_item", "text"), "_nr", True).select(F.col("key").alias("_nr"), F.col("h").alias("_h"), "n")
     met = d.join(b, F.col("h") == F.col("_h")).groupBy("_row", "_nr", "n").count()
     met = met.filter(F.col("count") >= CONTAINED * F.col("n")).select("_row", "_nr")
     pairs = met.join(theirs, "_nr").join(ours, "_row")
@@ -395,7 +469,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = B
     """A row per document and benchmark item that it holds: doc_id, item_id, contained, kind.
 
     NULL and empty texts have no windows and no leaks; a text of fewer than five template words, on
-    either side, matches only one with the same whole template; long texts are taken whole; repeated
+    either side, matches only one with the same whole template; an item of which less than a quarter are words (a table of
+    numbers) matches by equal values only; long texts are taken whole; repeated
     rows each give their rows; empty tables: no rows. Columns besides doc_id, text (documents) and
     item_id, text (benchmark) are not read. The benchmark is sent to every task if it has at most
     ``broadcast_windows`` windows, else joined by shuffle.

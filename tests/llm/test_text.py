@@ -269,6 +269,30 @@ def test_leaks_go_by_row_not_by_id(spark):
         assert rows(kept.select("doc_id", "text")) == [(7, LOREM), (None, LOREM)]
 
 
+def test_tables_of_numbers_are_known_by_their_values(spark):
+    rng = random.Random(5)
+
+    def numbers(n):
+        return " ".join(str(rng.randrange(10**6)) for _ in range(n))
+
+    tables = [numbers(n) for n in (10, 20, 50, 100)]
+    asked = "Find the sum of all of these numbers: 4 5 6 7 8"
+    bench = spark.createDataFrame([*enumerate(tables), (9, asked), (10, "7 km 8 km 9 km 10 km 11 km")], "item_id long, text string")
+    other = asked.replace("4", "14").replace("7", "17")
+    texts = [numbers(200), "1 2 3 4 5 6 7 8", f"{numbers(60)} {tables[1]} {numbers(60)}", f"Here they are: {tables[3]}.", other, asked,
+             "17 km 18 km 19 km 20 km 21 km", " ".join(f"{k} km" for k in range(1, 20))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = [(2, 1, "exact"), (3, 3, "exact"), (4, 9, "reparameterised"), (5, 9, "exact"), (7, 10, "exact")]
+    for most in (1000, 0):
+        got = decontaminate.find_leaks(docs, bench, most).collect()
+        assert sorted((r["doc_id"], r["item_id"], r["kind"]) for r in got) == want
+    index = decontaminate.Index.of([(1, tables[3])])
+    long = numbers(20_000)
+    start = time.process_time()
+    assert index.leaks(long) == [] and index.leaks(f"{long} {tables[3]}") == [(1, 1.0, "exact")]
+    assert time.process_time() - start < 10
+
+
 # --- personal data
 def plain_spans(t):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
