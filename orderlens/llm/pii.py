@@ -377,7 +377,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = SEED) ->
             if out:
                 yield pd.DataFrame(out, columns=["u", "snippet"])
 
-    u = unit_hash(seed, F.col("doc_id"))
+    u = unit_hash(seed, F.col("doc_id"), F.col("text"))
     sample = docs.select(u.alias("u"), "text").filter((F.col("u") < sample_rows / max(n, 1)) & F.col("text").isNotNull())
     got = sample.mapInPandas(snippets, "u double, snippet string").orderBy("u", "snippet").limit(SAMPLE_SNIPPETS).collect()
     rng = np.random.default_rng(seed)

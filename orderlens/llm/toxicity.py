@@ -6,7 +6,8 @@ Levenshtein automata (one edit from five letters on, two from nine; a swap of ne
 which is made deterministic as it is used. Each hit is put in a class: how many edits it needed and whether its
 term is weak, whether the words around it mark it as quoted or reported instead of meant, and whether other words of the text are hits
 of the same kind. A class's weight is the share of toxic
-documents among the labelled ones that show it; a document scores as its heaviest hit.
+documents among the labelled ones that show it; a hit that needed edits also counts by the trust in its term, which
+falls with every clean labelled document that holds an unknown word near the term. A document scores as its heaviest hit.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ PREFIXES = range(4, 9)
 #: share of toxic documents among those with a term: to be a term at all, and to be a strong one
 MIN_PRECISION = 0.5
 STRONG = 0.8
-#: near words in clean documents, by the toxic documents with a term, above which it takes no edits
-MAX_NEAR = 0.05
+#: documents that the trust in a term's edits starts with
+TRUST_ROWS = 4
 #: learned terms kept at most, those in the most toxic documents first
 MAX_TERMS = 5000
 #: words on each side of a hit that are looked at
@@ -68,12 +69,19 @@ def terms_of(text: str | None) -> set[str]:
 def _labelled(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
     """text, toxic, half of about ``sample_rows`` labelled documents outside the held-out fold."""
     known = labels.filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "toxic")
+    known = known.filter(F.col("doc_id").isNotNull()).distinct()
     n = known.count()
     u = unit_hash(7, F.col("doc_id"))
-    known = known.filter(u < sample_rows / max(n, 1)).select(
-        F.col("doc_id").alias("_id"), "toxic", (F.floor(u * 2**40) % 2).cast("int").alias("half"))
-    # bounded by the sample
-    return docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("text", "toxic", "half")
+    known = cut(known.filter(u < sample_rows / max(n, 1)).select(
+        F.col("doc_id").alias("_id"), "toxic", (F.floor(u * 2**40) % 2).cast("int").alias("half")))
+    if known.count() <= 2 * sample_rows:
+        known = F.broadcast(known)
+    # an id may have many documents: they are drawn by their texts, equal ones count once
+    m = docs.select("doc_id").join(known, F.col("doc_id") == F.col("_id")).count()
+    rows = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id"))
+    if m > 2 * sample_rows:
+        rows = rows.filter(unit_hash(8, F.col("doc_id"), F.col("text")) < sample_rows / m).dropDuplicates(["doc_id", "text", "toxic"])
+    return rows.select("text", "toxic", "half")
 
 
 def _count_terms(sample: DataFrame) -> DataFrame:
@@ -142,7 +150,7 @@ class Matcher:
     character the one that has to follow.
     """
 
-    def __init__(self, terms: list[str], exact: frozenset[str] = frozenset()):
+    def __init__(self, terms: list[str]):
         self.term: dict[int, str] = {}
         self.next: list[dict[str, int]] = [{}]
         self.word, self.stem, self.allowed = [-1], [-1], [0]
@@ -151,7 +159,7 @@ class Matcher:
         for t in terms:
             node, kind, text = 0, t[0].lower(), t[2:]
             weak = t[0].isupper()
-            most = 0 if weak or t in exact else _edits(text)
+            most = 0 if weak else _edits(text)
             self.allowed[0] = max(self.allowed[0], most)
             for c in text:
                 if c not in self.next[node]:
@@ -251,20 +259,20 @@ class Matcher:
 @dataclass
 class Model:
     terms: list[str]
-    #: terms with too many near words in clean documents: taken as they are, without edits
-    exact: frozenset[str] = frozenset()
     #: near words that clean documents use: no misspellings
     clean_words: frozenset[str] = frozenset()
     #: by grade, quoted, and whether several words hit
     weights: dict[tuple[int, bool, bool], float] = field(default_factory=dict)
     no_hit: float = 0.0
+    #: by term, what a hit by edits counts for; 1 where none is told
+    trust: dict[str, float] = field(default_factory=dict)
 
 
 class Scorer:
     def __init__(self, model: Model):
         self.model = model
-        self.matcher = Matcher(model.terms, model.exact)
-        self.known: dict[str, int | None] = {}
+        self.matcher = Matcher(model.terms)
+        self.known: dict[str, tuple[int, float] | None] = {}
 
     def near(self, token: str) -> Iterator[tuple[str, int]]:
         """The parts of a lower-cased token that are near the lexicon, with their grades."""
@@ -273,30 +281,47 @@ class Scorer:
             if word and (e := self.matcher.grade(word)) is not None:
                 yield word, e
 
-    def _least(self, token: str) -> int | None:
-        found = min((e for w, e in self.near(token) if e < 2 or w not in self.model.clean_words), default=None)
+    def fresh(self, token: str) -> Iterator[tuple[str, int]]:
+        """Those of :meth:`near` that are no words of clean documents."""
+        return ((w, e) for w, e in self.near(token) if e < 2 or w not in self.model.clean_words)
+
+    def _least(self, token: str) -> tuple[int, float] | None:
+        """The least grade in a token, and the trust in it."""
+        best = min(self.fresh(token), key=lambda x: (x[1], x[0]), default=None)
+        found = None
+        if best is not None:
+            word, e = best
+            trust = self.model.trust
+            found = e, 1.0 if e < 2 else max((trust.get(t, 1.0) for t in self.matcher.near_terms(word)), default=1.0)
         if len(self.known) > MAX_WORDS:
             self.known.clear()
         if len(token) < 64:
             self.known[token] = found
         return found
 
-    def classes(self, text: str | None) -> set[tuple[int, bool, bool]]:
-        """The classes (grade, quoted, several words) of the hits in a whole text."""
+    def hits(self, text: str | None) -> dict[tuple[int, bool, bool], float]:
+        """The classes (grade, quoted, several words) of the hits in a whole text, each with the greatest trust in one of them."""
         tokens = (text or "").lower().split()
         known, miss = self.known, self._least
-        hits = []
+        met = []
         for k, t in enumerate(tokens):
             e = known[t] if t in known else miss(t)
             if e is not None:
-                hits.append((k, e))
+                met.append((k, *e))
         words: dict[tuple[int, bool], set[str]] = defaultdict(set)
-        for k, e in hits:
-            words[e, _quoted(tokens, k)].add(_EDGE.sub("", tokens[k]))
-        return {(*c, len(w) > 1) for c, w in words.items()}
+        trusts: dict[tuple[int, bool], float] = defaultdict(float)
+        for k, e, trust in met:
+            c = e, _quoted(tokens, k)
+            words[c].add(_EDGE.sub("", tokens[k]))
+            trusts[c] = max(trusts[c], trust)
+        return {(*c, len(w) > 1): trusts[c] for c, w in words.items()}
+
+    def classes(self, text: str | None) -> set[tuple[int, bool, bool]]:
+        """The classes of the hits in a whole text."""
+        return set(self.hits(text))
 
     def score(self, text: str | None) -> float:
-        return max((self.model.weights.get(c, _prior(c)) for c in self.classes(text)), default=self.model.no_hit)
+        return max((self.model.weights.get(c, _prior(c)) * trust for c, trust in self.hits(text).items()), default=self.model.no_hit)
 
 
 def _quoted(tokens: list[str], at: int) -> bool:
@@ -323,7 +348,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     Terms are counted on the sample by Spark; only significant ones (a likelihood ratio against the
     share of toxic documents, for as many tests as there are terms) come to the driver. Near words of one
-    half's clean documents are excepted, the weights come from the other half.
+    half's clean documents are excepted, the trust in terms and the weights come from the other half.
     """
     sample = cut(_labelled(docs, labels, sample_rows))
     row = sample.agg(F.count(F.lit(1)), F.sum("toxic")).first()
@@ -346,16 +371,29 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         s = Scorer(Model(sent.value))
         for b in batches:
             words = {w for text in b["text"] for t in set((text or "").lower().split()) for w, e in s.near(t) if e > 1}
-            pairs = [(w, t) for w in sorted(words) for t in sorted(s.matcher.near_terms(w))]
-            if pairs:
-                yield pd.DataFrame(pairs, columns=["word", "term"])
+            if words:
+                yield pd.DataFrame({"word": sorted(words)})
 
-    clean = sample.filter((F.col("toxic") == 0) & (F.col("half") == 0)).select("text").mapInPandas(near_words, "word string, term string")
+    clean = sample.filter((F.col("toxic") == 0) & (F.col("half") == 0)).select("text").mapInPandas(near_words, "word string")
     near = clean.distinct().collect()  # bounded by the sample
-    near_of = Counter(r["term"] for r in near)
-    held = {r["term"]: r["toxic"] for r in rows}
-    exact = frozenset(t for t in terms if near_of[t] > MAX_NEAR * held[t[0].lower() + t[1:]])
-    model = Model(terms, exact, frozenset(r["word"] for r in near))
+    model = Model(terms, frozenset(r["word"] for r in near))
+    sent_near = docs.sparkSession.sparkContext.broadcast(model)
+
+    def unknown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The terms that a document comes to by edits only."""
+        s = Scorer(sent_near.value)
+        for b in batches:
+            out = []
+            for text, toxic in zip(b["text"], b["toxic"], strict=True):
+                found = {x for t in set((text or "").lower().split()) for x in s.fresh(t)}
+                if not toxic or all(e > 1 for _, e in found):
+                    out += [(t, toxic) for t in sorted({t for w, e in found if e > 1 for t in s.matcher.near_terms(w)})]
+            yield pd.DataFrame(out, columns=["term", "toxic"])
+
+    half = sample.filter(F.col("half") == 1).select("text", F.col("toxic").cast("int").alias("toxic"))
+    for r in half.mapInPandas(unknown, "term string, toxic int").groupBy("term").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).collect():  # a row for a term
+        model.trust[r["term"]] = (r["toxic"] + TRUST_ROWS) / (r["n"] + TRUST_ROWS)
     sent_model = docs.sparkSession.sparkContext.broadcast(model)
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -363,13 +401,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         for b in batches:
             out = []
             for text, toxic in zip(b["text"], b["toxic"], strict=True):
-                cs = s.classes(text)
-                # a class is weighed on documents that show nothing heavier
+                # a class is weighed on documents that show nothing heavier; hits that can't decide by their trust don't weigh
+                cs = [c for c, trust in s.hits(text).items() if c[0] < 2 or trust * PRIOR[c[0]] >= THRESHOLD]
                 c = min(cs, key=lambda c: (c[1], c[0])) if cs else (-1, False, False)
                 out.append((*c, toxic))
             yield pd.DataFrame(out, columns=["grade", "quoted", "several", "toxic"])
 
-    half = sample.filter(F.col("half") == 1).select("text", F.col("toxic").cast("int").alias("toxic"))
     shown = half.mapInPandas(seen, "grade int, quoted boolean, several boolean, toxic int").groupBy("grade", "quoted", "several").agg(
         F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).collect()
     for r in shown:

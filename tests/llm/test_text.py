@@ -176,6 +176,59 @@ def test_toxicity_of_the_held_out_fold(spark, docs):
     assert set(docs.columns) < set(kept.columns) and 0.8 * docs.count() < kept.count() < docs.count()
 
 
+def misspelled(word, rng):
+    """One edit inside a word: a swap, another character, one left out, one put in."""
+    k, c = rng.randrange(1, len(word) - 1), rng.choice("aeiourstn")
+    return rng.choice([word[:k] + word[k + 1] + word[k] + word[k + 2:], word[:k] + c + word[k + 1:], word[:k] + word[k + 1:], word[:k] + c + word[k:]])
+
+
+def test_misspelled_terms_in_held_out_texts(spark, docs):
+    """The toxic texts of the held-out fold with every strong term misspelled by one edit, and all other signs left out."""
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = toxicity.learn(docs, labels)
+    s, rng = toxicity.Scorer(model), random.Random(3)
+    strong = [t for t in model.terms if t[0].islower() and len(t) > 6]
+    held = docs.join(labels, "doc_id").filter((F.col("toxic") == 1) & held_out(F.col("doc_id"))).select("text").collect()
+    got = []
+    for text, _ in itertools.product([r["text"] or "" for r in held], range(20)):
+        tokens, planted = [], 0
+        for token in text.lower().split():
+            word, hit = token.strip(".,;:!?\"'"), list(s.near(token))
+            stems = [t[2:] for t in strong if word == t[2:] or t[0] == "p" and word.startswith(t[2:])]
+            if not hit:
+                tokens.append(token)
+            elif stems:
+                stem = max(stems, key=len)
+                wrong = misspelled(stem, rng) + word[len(stem):]
+                if wrong != word and wrong not in model.clean_words:
+                    tokens.append(wrong)
+                    planted += 1
+        if planted:
+            got.append(s.score(" ".join(tokens)) >= toxicity.THRESHOLD)
+    assert len(got) >= 100 and sum(got) >= 0.9 * len(got), (len(got), sum(got))
+
+
+def test_edits_of_a_term_count_less_the_more_clean_texts_hold_words_near_it(spark):
+    """Of two terms, the one that unknown words of clean texts come near by chance loses its edits, the other keeps them."""
+    clean = [f"day {'abcdefghijklmnopqrst'[k % 20]}umbler{k} of rain" for k in range(40)]
+    near = ["stu" + c + "id" for c in "abcdefghijklmnoqrstvwxyz"]
+    rows = [f"you are a total scoundrel number {k}" for k in range(200)] + [f"you are a stupid one of {k}" for k in range(200)]
+    rows += [f"my {near[k % len(near)]}{chr(97 + k // len(near))} is well" for k in range(600)] + clean * 20
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") < 400).cast("int").alias("toxic"))
+    model = toxicity.learn(docs, labels)
+    s = toxicity.Scorer(model)
+    assert s.score("a scoundrel") >= 0.3 and s.score("so stupid") >= 0.3 and s.score("a scuondrel came") >= 0.3
+    assert model.trust.get("w:scoundrel", 1.0) == 1.0 and s.score("all is well") < 0.3
+
+
+def test_labels_that_repeat_an_id_are_sampled_by_text(spark):
+    docs = spark.createDataFrame([(k % 3 or None, f"text {k} {'idiot' if k % 2 else 'fine'}") for k in range(3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    n = toxicity._labelled(docs, labels, 100).count()
+    assert 0 < n < 300
+
+
 def test_toxicity_of_awkward_rows(spark):
     df = with_clashes(awkward(spark))
     labels = spark.createDataFrame([(k, None, k % 2) for k in range(12)] + [(None, 1, 1), (5, 0, None), (6, 0, 7)], "doc_id long, quality int, toxic int")
