@@ -7,13 +7,15 @@ which is made deterministic as it is used. Each hit is put in a class: how many
 term is weak, whether the words around it mark it as quoted or reported instead of meant, and whether other words of the text are hits
 of the same kind. A class's weight is the share of toxic
 documents among the labelled ones that show it; a hit that needed edits also counts by the trust in its term, which
-falls with every clean labelled document that holds an unknown word near the term. A document scores as its heaviest hit.
+falls with every clean labelled document that holds an unknown word near the term. Misspelled toxic documents being rare among
+labelled ones, both are also learned from the toxic ones with their terms misspelled. A document scores as its heaviest hit.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,6 +36,8 @@ MIN_PRECISION = 0.5
 STRONG = 0.8
 #: documents that the trust in a term's edits starts with
 TRUST_ROWS = 4
+#: what a toxic document counts for, beside itself, with its terms misspelled
+MISSPELLED = 0.1
 #: learned terms kept at most, those in the most toxic documents first
 MAX_TERMS = 5000
 #: words on each side of a hit that are looked at
@@ -316,6 +320,19 @@ class Scorer:
             trusts[c] = max(trusts[c], trust)
         return {(*c, len(w) > 1): trusts[c] for c, w in words.items()}
 
+    def misspelled(self, text: str | None) -> str | None:
+        """The text with an edit in every strong hit of five letters or more, and without its other hits; None if it has no such hit."""
+        out, planted = [], False
+        for token in (text or "").lower().split():
+            hit = self._least(token)
+            word = _EDGE.sub("", token)
+            if hit is None:
+                out.append(token)
+            elif hit[0] == 0 and len(word) >= 5:
+                out.append(token.replace(word, one_edit(word), 1))
+                planted = True
+        return " ".join(out) if planted else None
+
     def classes(self, text: str | None) -> set[tuple[int, bool, bool]]:
         """The classes of the hits in a whole text."""
         return set(self.hits(text))
@@ -324,6 +341,15 @@ class Scorer:
         return max((self.model.weights.get(c, _prior(c)) * trust for c, trust in self.hits(text).items()), default=self.model.no_hit)
 
 
+def one_edit(word: str) -> str:
+    """A word of five letters or more with one edit among its second to fifth letters, chosen by its hash."""
+    h = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+    k, kind = 1 + h % 3, h // 3 % 3
+    if kind == 0 and word[k] != word[k + 1]:
+        return word[:k] + word[k + 1] + word[k] + word[k + 2:]
+    return word[:k] + ("" if kind == 1 else "e" if word[k] != "e" else "a") + word[k + 1:]
+
+
 def _quoted(tokens: list[str], at: int) -> bool:
     """Whether the words around mark a hit as another's: inside quotation marks, or reported just before."""
     before, after = tokens[max(0, at - CONTEXT):at], tokens[at + 1:at + 1 + CONTEXT]
@@ -387,12 +413,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             for text, toxic in zip(b["text"], b["toxic"], strict=True):
                 found = {x for t in set((text or "").lower().split()) for x in s.fresh(t)}
                 if not toxic or all(e > 1 for _, e in found):
-                    out += [(t, toxic) for t in sorted({t for w, e in found if e > 1 for t in s.matcher.near_terms(w)})]
-            yield pd.DataFrame(out, columns=["term", "toxic"])
+                    out += [(t, toxic, 1.0) for t in sorted({t for w, e in found if e > 1 for t in s.matcher.near_terms(w)})]
+                if toxic and (wrong := s.misspelled(text)) is not None:
+                    found = {x for t in set(wrong.split()) for x in s.fresh(t)}
+                    out += [(t, toxic, MISSPELLED) for t in sorted({t for w, e in found if e > 1 for t in s.matcher.near_terms(w)})]
+            yield pd.DataFrame(out, columns=["term", "toxic", "weight"])
 
     half = sample.filter(F.col("half") == 1).select("text", F.col("toxic").cast("int").alias("toxic"))
-    for r in half.mapInPandas(unknown, "term string, toxic int").groupBy("term").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).collect():  # a row for a term
+    for r in half.mapInPandas(unknown, "term string, toxic int, weight double").groupBy("term").agg(
+            F.sum("weight").alias("n"), F.sum(F.col("toxic") * F.col("weight")).alias("toxic")).collect():  # a row for a term
         model.trust[r["term"]] = (r["toxic"] + TRUST_ROWS) / (r["n"] + TRUST_ROWS)
     sent_model = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -401,14 +430,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         for b in batches:
             out = []
             for text, toxic in zip(b["text"], b["toxic"], strict=True):
-                # a class is weighed on documents that show nothing heavier; hits that can't decide by their trust don't weigh
-                cs = [c for c, trust in s.hits(text).items() if c[0] < 2 or trust * PRIOR[c[0]] >= THRESHOLD]
-                c = min(cs, key=lambda c: (c[1], c[0])) if cs else (-1, False, False)
-                out.append((*c, toxic))
-            yield pd.DataFrame(out, columns=["grade", "quoted", "several", "toxic"])
-
-    shown = half.mapInPandas(seen, "grade int, quoted boolean, several boolean, toxic int").groupBy("grade", "quoted", "several").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).collect()
+                out.append((*shows(s, text), toxic, 1.0))
+                if toxic and (wrong := s.misspelled(text)) is not None and (c := shows(s, wrong))[0] > 1:
+                    out.append((*c, toxic, MISSPELLED))
+            yield pd.DataFrame(out, columns=["grade", "quoted", "several", "toxic", "weight"])
+
+    def shows(s: Scorer, text: str | None) -> tuple[int, bool, bool]:
+        """A class is weighed on documents that show nothing heavier; hits that can't decide by their trust don't weigh."""
+        cs = [c for c, trust in s.hits(text).items() if c[0] < 2 or trust * PRIOR[c[0]] >= THRESHOLD]
+        return min(cs, key=lambda c: (c[1], c[0])) if cs else (-1, False, False)
+
+    shown = half.mapInPandas(seen, "grade int, quoted boolean, several boolean, toxic int, weight double").groupBy(
+        "grade", "quoted", "several").agg(F.sum("weight").alias("n"), F.sum(F.col("toxic") * F.col("weight")).alias("toxic")).collect()
     for r in shown:
         if r["grade"] < 0:
             model.no_hit = (r["toxic"] + base) / (r["n"] + 1)
