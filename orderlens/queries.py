@@ -500,6 +500,27 @@ def latest_score(spark, sf_dir):
     return latest_scores(proxy_store(spark, sf_dir))
 
 
+def bucketed_store(spark, sf_dir):
+    """The proxy store laid out by order: written, then upserted with the re-scores."""
+    from orderlens.model.bucketed import BucketedScoreStore
+    from orderlens.session import scratch_path
+    existing, incoming = proxy_store_parts(spark, sf_dir)
+    store = BucketedScoreStore(spark, scratch_path(spark, "bucketed-scores"))
+    store.upsert(existing)
+    store.upsert(incoming.drop("model_version"))
+    return store
+
+
+@register
+def bucketed_latest_score(spark, sf_dir):
+    return bucketed_store(spark, sf_dir).latest()
+
+
+@register
+def bucketed_order_scored(spark, sf_dir):
+    return bucketed_store(spark, sf_dir).scored(layers(spark, sf_dir).enriched)
+
+
 @register
 def insert_if_absent(spark, sf_dir):
     """Existing table: the proxy scores of day 1 and 2. Incoming: the day-2 re-scores and day-3 scores.

@@ -14,7 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem".split()
 FAST = ["dim_date", "order_facts", "sla_orders", "sla_daily", "sla_delivered_daily", "delivery_review",
         "sla_order_enriched", "model_cohort", "low_review_by_bucket", "customer_rfm", "qa_late_percentiles",
         "qa_recent_days", "qa_duplicate_keys", "exact_quantile", "roc_auc", "youden", "confusion", "wbr_weekly",
-        "align_columns", "stored_scores", "latest_score", "qa_dirty_keys", "qa_staged", "qa_dirty_nulls", "dim_customer",
+        "align_columns", "stored_scores", "latest_score", "bucketed_latest_score", "bucketed_order_scored", "qa_dirty_keys", "qa_staged", "qa_dirty_nulls", "dim_customer",
         "declared_scores", "declared_probability", "csv_reviews", "crude_effects", "crude_key_terms", "crude_top_effects"]
 
 
