@@ -288,7 +288,8 @@ class Index:
         met: dict[int, list[tuple[int, int]]] = defaultdict(list)
         held: dict[int, set[int]] = defaultdict(set)
         plain: dict[int, list[tuple[int, int]]] = defaultdict(list)  # matches without an opening word as a name
-        slot = np.fromiter((w in MARKS for w in words), bool, len(words))
+        # a placeholder that no item has is an unknown word, whose windows are left out
+        slot = np.isin(ids, np.array([self.vocabulary[m] for m in MARKS if m in self.vocabulary], np.uint64))
         for choice, (spots, hs) in enumerate(_readings(ids, slot, opens, self.vocabulary[NAME])):
             if not len(spots):
                 continue
