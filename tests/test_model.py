@@ -131,3 +131,16 @@ def test_constant_columns_and_a_fold_without_rows(spark, monkeypatch):
     alone, _, _ = ridge.cross_validate(design, "y", ["a"], folds=3, n_lambda=5)
     assert n == 60 and all(r["folds"] == 2 for r in table) and len(lambdas) == 5
     assert all(abs(r["mean_logloss"] - s["mean_logloss"]) < 1e-9 for r, s in zip(table, alone))
+
+
+def test_a_fitted_model_scores_in_a_session_that_has_observed_a_query(spark):
+    """The training summary holds the session; a model that carries it can't be sent to tasks after an observation."""
+    from pyspark.sql import Observation
+
+    rows = [(str(i), i % 3 == 0, float(i % 7)) for i in range(60)]
+    design = spark.createDataFrame(rows, "order_id string, low boolean, a double").select("order_id", F.col("low").cast("int").alias("low"), "a")
+    model = ridge.fit_ridge(design, 0.1, "low", ["a"])
+    assert not model.stages[-1].hasSummary
+    seen = Observation()
+    assert design.observe(seen, F.count(F.lit(1)).alias("n")).count() == 60 and seen.get["n"] == 60
+    assert model.transform(design).select("probability").distinct().count() == 7
