@@ -70,3 +70,15 @@ def test_gate_reads_each_staged_table_once_and_its_keys_alone(spark):
     m["fact_order_items"], seen["fact_order_items"] = mart.overwrite_observed("fact_bad", bad, runner.observed_of_fact())
     with pytest.raises(ValueError, match="not_null"):
         quality.gate(runner.quality_checks(dw, m, seen))
+
+
+def test_the_faulty_fact_reads_its_fact_once(spark, tmp_path):
+    from orderlens.queries import dirty_fact
+
+    rows = [("a", 1), ("a", 2), ("b", 3), (None, 2), (None, 3), ("c", None), ("d", 4), ("a", 2)]
+    spark.createDataFrame(rows, "order_id string, order_item_id int").write.parquet(str(tmp_path / "fact"))
+    fact = dirty_fact(spark.read.parquet(str(tmp_path / "fact")))
+    twice, lost = [r for r in rows if r[1] == 2], [(None, r[1]) for r in rows if r[1] == 3]
+    assert sorted(map(str, map(tuple, fact.collect()))) == sorted(map(str, rows + twice + lost))
+    assert fact.columns == ["order_id", "order_item_id"]
+    assert fact._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
