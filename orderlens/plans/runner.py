@@ -21,7 +21,7 @@ from orderlens.model.score import ScoreStore, assemble_scores, predict, run_summ
 from orderlens.operators.keyed import insert_if_absent_rows
 from orderlens.plans import marts, quality, report, rfm, warehouse
 from orderlens.schema import DW_KEYS
-from orderlens.session import delete_path
+from orderlens.session import checkpoint_dir, delete_path
 from orderlens.sources.adapter import RawTables
 from orderlens.sources.tables import Layer, Versions
 
@@ -126,7 +126,8 @@ def run(spark: SparkSession, raw: RawTables, out_dir: str, score_date: dt.date |
     result.tables.update({name: own.path(name) for name in m})
 
     enriched = marts.sla_order_enriched(m["sla_orders"], m["delivery_review"])
-    cohort = marts.model_cohort(enriched)
+    checkpoint_dir(spark)
+    cohort = marts.model_cohort(enriched).checkpoint(eager=True)  # read by the level check, the split and the scores
     model_path = model_path or os.path.join(out_dir, "model")
     features.check_levels(cohort)  # an unknown month or bucket is a data error, not an all-zero row
     if retrain or not Layer(spark, model_path).exists("orderlens_meta"):

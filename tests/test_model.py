@@ -144,3 +144,39 @@ def test_a_fitted_model_scores_in_a_session_that_has_observed_a_query(spark):
     seen = Observation()
     assert design.observe(seen, F.count(F.lit(1)).alias("n")).count() == 60 and seen.get["n"] == 60
     assert model.transform(design).select("probability").distinct().count() == 7
+
+
+@pytest.mark.parametrize("ids", [[str(i) for i in range(23)], ["a"] * 9 + ["b"] * 4, [None] * 6 + ["a", "b", "b", None], ["x"], []])
+def test_split_is_exact_without_a_sort_of_all_rows(spark, ids):
+    """The rows of the sorted order come first, also where ids repeat or are missing, and no shuffle moves them all."""
+    import hashlib
+
+    df = spark.createDataFrame([(x, k) for k, x in enumerate(ids)], "order_id string, k int")
+    split = features.train_test_split(df)
+    got = sorted((x is not None, hashlib.md5(f"{x}{features.SPLIT_SEED}".encode()).hexdigest() if x is not None else "", x or "", s != "train")
+                 for x, _, s in split.collect())
+    assert [g[2] for g in got] == [x or "" for x in sorted(ids, key=lambda x: (
+        x is not None, hashlib.md5(f"{x}{features.SPLIT_SEED}".encode()).hexdigest() if x is not None else ""))]
+    n_train = math.floor(features.TRAIN_FRACTION * len(ids))
+    assert [g[3] for g in got] == [False] * n_train + [True] * (len(ids) - n_train)
+    if len(set(ids)) == len(ids) and ids:
+        assert "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_pass_reads_stored_blocks_and_sums_exactly(spark):
+    rng = np.random.default_rng(3)
+    rows = [(float(a), float(b), float(rng.random() < 0.4), int(k % 3)) for k, (a, b) in enumerate(rng.normal(size=(700, 2)))]
+    data = spark.createDataFrame(rows, "a double, b double, y double, _fold int").repartition(3)
+    blocks = ridge._blocks(data, ["a", "b"], "y")
+    X, y, fold = np.array([[1.0, r[0], r[1]] for r in rows]), np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
+    betas, out_of = np.array([[0.1, -0.3, 0.5], [900.0, 2.0, 1.0], [-900.0, 1.0, 0.0]]), np.array([0, 1, 2])
+    loss, grad, hess = ridge._pass(blocks, betas, out_of)
+    for k, b in enumerate(betas):
+        m, held = X @ b, fold == out_of[k]
+        p = 1 / (1 + np.exp(-np.clip(m, -500, 500)))
+        assert np.isclose(loss[k], (np.log1p(np.exp(-np.abs(m))) + np.maximum(m, 0) - y * m)[held].sum())
+        assert np.allclose(grad[k], X[~held].T @ (p - y)[~held])
+        assert np.allclose(hess[k], (X[~held].T * (p * (1 - p))[~held]) @ X[~held])
+    sums = ridge._moments(blocks, 2, 3)
+    assert np.allclose(sums[1], np.concatenate([[(fold == 1).sum(), y[fold == 1].sum()], X[fold == 1, 1:].sum(0),
+                                                (X[fold == 1, 1:] ** 2).sum(0), y[fold == 1] @ X[fold == 1, 1:]]))
