@@ -18,6 +18,7 @@ from orderlens.operators.rank import exact_quantiles
 from orderlens.schema import (AMBER_PERCENTILE, DEFAULT_THRESHOLD_GREEN, DEFAULT_THRESHOLD_RED, MODEL_VERSION,
                               RED_PERCENTILE, SCORE_SCHEMA)
 from orderlens.session import delete_path, scratch_path
+from orderlens.sources.tables import plain_columns
 
 SCORE_KEY = ("order_id", "score_date")
 DEC6 = "decimal(10,6)"
@@ -101,7 +102,8 @@ class ScoreStore:
     ``upsert`` rewrites only the score dates present in the batch (dynamic partition overwrite): the
     affected partitions' existing rows minus the batch keys, plus the batch with a fresh
     ``created_at``. The merge is staged to the checkpoint folder first, so the table is never read
-    and overwritten by the same lazy plan, and a failed job leaves the table as it was.
+    and overwritten by the same lazy plan, and a failed job leaves the table as it was. A batch of dates that the
+    table has no row of is merged with nothing: it is written at once.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -128,15 +130,21 @@ class ScoreStore:
             raise ValueError("score batch has more than one row for an (order_id, score_date)")
         dates = [r[0] for r in batch.select("score_date").distinct().collect()]  # days in one batch
         incoming = batch.withColumn("created_at", F.current_timestamp())
+        incoming = incoming.select(*SCORE_SCHEMA.fieldNames())
         existing = self.read().filter(F.col("score_date").isin(dates))
-        merged = upsert_merge(existing, incoming.select(*SCORE_SCHEMA.fieldNames()), list(SCORE_KEY))
+        if not existing.limit(1).count():
+            self._replace(incoming)
+            return
+        merged = upsert_merge(existing, incoming, list(SCORE_KEY))
         stage = scratch_path(self.spark, "score-upsert")
         merged.write.mode("overwrite").parquet(stage)
-        staged = self.spark.read.schema(SCORE_SCHEMA).parquet(stage)
+        self._replace(self.spark.read.schema(SCORE_SCHEMA).parquet(stage))
+        delete_path(self.spark, stage)  # the overwrite has committed; the staged copy is spent
+
+    def _replace(self, rows: DataFrame) -> None:
         # no repartition by date: a daily batch is one date, and one task must not write it all
-        (staged.write.mode("overwrite")
+        (rows.write.mode("overwrite").options(**plain_columns(rows.schema))
          .option("partitionOverwriteMode", "dynamic").partitionBy("score_date").parquet(self.path))
-        delete_path(self.spark, stage)  # the overwrite has committed; the staged copy is spent
 
 
 def with_defaults(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 
 from orderlens.schema import RAW_SCHEMAS
 from orderlens.sources.adapter import RawTables
@@ -27,6 +28,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def plain_columns(schema: T.StructType) -> dict[str, str]:
+    """Write options: ids and timestamps, whose values hardly repeat, are stored without a Parquet dictionary. A writer would
+    look every value up in one that it gives up once it is full."""
+    return {f"parquet.enable.dictionary#{f.name}": "false" for f in schema.fields
+            if f.name.endswith("_id") or isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+
+
 class Layer:
     """A folder of Parquet tables (``<root>/<name>``)."""
 
@@ -45,7 +53,7 @@ class Layer:
 
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
         """Full refresh (truncate + load / drop + create-as): write, then read back the stored table."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").options(**plain_columns(df.schema)).parquet(self.path(name))
         return self.read(name)
 
     def overwrite_observed(self, name: str, df: DataFrame, metrics: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
@@ -64,7 +72,7 @@ class Layer:
         return stored, self.spark.createDataFrame([tuple(found[c] for c in asked.columns)], asked.schema)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("append").parquet(self.path(name))
+        df.write.mode("append").options(**plain_columns(df.schema)).parquet(self.path(name))
         return self.read(name)
 
 

@@ -6,6 +6,7 @@ from decimal import Decimal
 from helpers import customer, raw
 from pyspark.sql import functions as F
 
+from orderlens.model import score
 from orderlens.model.score import ScoreStore, assemble_scores
 from orderlens.operators.keyed import insert_if_absent, latest_per_key, upsert_merge
 from orderlens.plans import report, warehouse
@@ -67,6 +68,19 @@ def test_score_store_upsert_idempotent_and_latest(spark):
     assert store.read().filter(F.col("score_date") == dt.date(2024, 1, 1)).count() == 2
 
 
+def test_a_new_day_is_written_without_a_staged_copy(spark, monkeypatch):
+    store = ScoreStore(spark, scratch_path(spark, "new-day"))
+    staged = []
+    monkeypatch.setattr(score, "scratch_path", lambda *a: staged.append(a) or scratch_path(*a))
+    for day in ("2024-01-01", "2024-01-02"):
+        store.upsert(assemble_scores(_scores(spark, [("1", 0.1), ("2", 0.2)]), day))
+    assert not staged
+    store.upsert(assemble_scores(_scores(spark, [("2", 0.9)]), "2024-01-02"))
+    assert len(staged) == 1
+    got = sorted((str(r["score_date"]), r["order_id"], float(r["risk_score"])) for r in store.read().collect())
+    assert got == [("2024-01-01", "1", 0.1), ("2024-01-01", "2", 0.2), ("2024-01-02", "1", 0.1), ("2024-01-02", "2", 0.9)]
+
+
 def test_latest_per_key_picks_greatest_date(spark):
     df = spark.createDataFrame([("1", dt.date(2024, 1, 1), "a"), ("1", dt.date(2024, 1, 3), "c"),
                                 ("1", dt.date(2024, 1, 2), "b")], "order_id string, score_date date, v string")

@@ -21,6 +21,20 @@ def test_raw_round_trip_keeps_declared_schema(spark):
         assert df.count() == src[name].count()
 
 
+def test_ids_and_timestamps_are_stored_without_a_dictionary(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    layer = Layer(spark, scratch_path(spark, "plain"))
+    rows = spark.range(100).selectExpr("cast(id as string) order_id", "timestamp_ntz '2024-01-01' purchase_ts", "'x' status")
+    stored = layer.overwrite("t", rows.coalesce(1))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
+    path, = glob.glob(layer.path("t").removeprefix("file:") + "/*.parquet")
+    columns = pq.ParquetFile(path).metadata.row_group(0)
+    assert {columns.column(k).path_in_schema: columns.column(k).has_dictionary_page for k in range(3)} == {
+        "order_id": False, "purchase_ts": False, "status": True}
+
+
 def test_overwrite_replaces_and_append_adds(spark):
     layer = Layer(spark, scratch_path(spark, "layer"))
     a = spark.createDataFrame([(1,), (2,)], "k int")
